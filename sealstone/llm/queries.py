@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from sealstone.llm import quality_rules, source_mix, url_templates
+from sealstone.llm import packing, quality_rules, simhash, source_mix, token_attribution, url_templates
 
 QUERIES = {
+    "op2_token_attribution": token_attribution.op2_token_attribution,
     "op3_mix_sources": source_mix.op3_mix_sources,
+    "op6_best_two_fit": packing.op6_best_two_fit,
     "op8_url_templates": url_templates.op8_url_templates,
     "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_simhash": simhash.op10_simhash,
 }
 SQL = {
     "op3_mix_sources": source_mix.OP3_SQL,
