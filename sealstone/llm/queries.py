@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from sealstone.llm import packing, quality_rules, simhash, source_mix, token_attribution, topk_search, toxicity, url_templates
+from sealstone.llm import line_dedup, packing, quality_rules, simhash, source_mix, token_attribution, topk_search, toxicity, url_templates
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_token_attribution": token_attribution.op2_token_attribution,
     "op3_mix_sources": source_mix.op3_mix_sources,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_branch_and_bound": topk_search.op5_branch_and_bound,
     "op6_best_two_fit": packing.op6_best_two_fit,
     "op8_url_templates": url_templates.op8_url_templates,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 SQL = {
     "op3_mix_sources": source_mix.OP3_SQL,
+    "op4_line_dedup": line_dedup.OP4_SQL,
     "op5_branch_and_bound": topk_search.OP5_SQL,
     "op8_url_templates": url_templates.OP8_SQL,
     "op9_quality_rules": quality_rules.OP9_SQL,
