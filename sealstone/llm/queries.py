@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sealstone.llm import line_dedup, packing, quality_rules, simhash, source_mix, token_attribution, topk_search, toxicity, url_templates
+from sealstone.llm import line_dedup, packing, quality_rules, sanitise, simhash, source_mix, token_attribution, topk_search, toxicity, url_templates
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_branch_and_bound": topk_search.op5_branch_and_bound,
     "op6_best_two_fit": packing.op6_best_two_fit,
+    "op7_pii": sanitise.op7_pii,
     "op8_url_templates": url_templates.op8_url_templates,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_simhash": simhash.op10_simhash,
@@ -19,6 +20,7 @@ SQL = {
     "op3_mix_sources": source_mix.OP3_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
     "op5_branch_and_bound": topk_search.OP5_SQL,
+    "op7_pii": sanitise.OP7_SQL,
     "op8_url_templates": url_templates.OP8_SQL,
     "op9_quality_rules": quality_rules.OP9_SQL,
 }
