@@ -1,9 +1,9 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every document gets a 48-bit hash of its id. Words are summed by source and by the hash's top 16 bits; the running sum over
-buckets tells in which bucket a source's budget ends. Only that bucket's documents are summed again, by the next 16 bits, and
-once more by the last 16. What remains is one threshold for each source, and the documents are filtered by comparing their
-hash with it: nothing is sorted, and no task ever holds more than 65,536 sums of one source.
+Every document gets a 48-bit hash of its id. Words are summed by source and by the hash's top 12 bits; the running sum over
+buckets tells in which bucket a source's budget ends. Only that bucket's documents are summed again, by the next 12 bits, and
+so on down to the last 12. What remains is one threshold for each source, and the documents are filtered by comparing their
+hash with it: nothing is sorted, and no task ever holds more than 4,096 sums of one source.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from sealstone.llm.common import n_words, saved, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_REPEATS = 3.0
-LEVELS, BITS = 3, 16
+LEVELS, BITS = 4, 12
 
 
 def _hash48(doc_id: Column) -> Column:
@@ -37,7 +37,9 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, most: float =
     by_fill = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
     every = Window.partitionBy()
     level = (share * F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(by_fill.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))) / F.sum("w").over(by_fill.rowsBetween(0, Window.unboundedFollowing))
-    found = ranked.withColumn("level", level).withColumn("level", F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(every))
+    # The first source, in this order, that the level doesn't fill ends the search; from there on none is filled.
+    found = ranked.withColumn("level", level).withColumn("nth", F.row_number().over(by_fill))
+    found = found.withColumn("level", F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.struct("nth", "level"))).over(every)["level"])
     return found.select("source", "source_size", F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("w"))).alias("target"))
 
 
@@ -102,10 +104,10 @@ ranked AS (
   SELECT *, CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w,
          3.0::DOUBLE * source_size AS cap FROM sources),
 levels AS (
-  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  SELECT *, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS nth, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
          / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM ranked),
 goals AS (
-  SELECT source, source_size, least(cap, w * min(CASE WHEN level * w <= cap THEN level END) OVER ()) AS target FROM levels),
+  SELECT source, source_size, least(cap, w * arg_min(level, nth) FILTER (WHERE level * w <= cap) OVER ()) AS target FROM levels),
 runs AS (
   SELECT s.*, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size) ELSE 0 END AS whole,
          sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
