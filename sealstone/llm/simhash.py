@@ -15,12 +15,14 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sealstone.llm.common import saved, table
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
+#: The pipeline's stage takes shingles of five words.
+STAGE_SHINGLE = 5
 #: Two more blocks than the radius: a pair within it shares two blocks at least.
 SPARE_BLOCKS = 2
 #: Fingerprints under one key beyond which its comparison is cut into pairs of chunks.
@@ -141,14 +143,18 @@ def _links(blocks: list[np.ndarray], radius: int) -> list[np.ndarray]:
     return out
 
 
+def _th() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("th")
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp of each row of docs (doc_id, text); a null text has no words."""
+    """doc_id, th (tells rows with one id apart) and fp of each row of docs (doc_id, text); a null text has no words."""
 
     def each(batches):
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": np.array([fingerprint(t or "", shingle) for t in pdf["text"]], dtype=np.int64)})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "th": pdf["th"], "fp": np.array([fingerprint(t or "", shingle) for t in pdf["text"]], dtype=np.int64)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(each, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _th()).mapInPandas(each, "doc_id long, th long, fp long")
 
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -196,7 +202,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp and component_id, the smallest doc_id that is reached over links of at most `radius` bits, for each row of docs.
+    """doc_id, th, fp and component_id, the smallest doc_id that is reached over links of at most `radius` bits, for each row of docs.
 
     Null and empty texts have fingerprint zero and are linked like others; null ids are kept and are no component's name, unless it
     has no other; repeated rows are one another's copies; an empty table gives an empty result; other columns play no part.
@@ -207,9 +213,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     of = reps.join(nodes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     names = of.groupBy("component").agg(F.min("rep").alias("component_id"))
     of = saved(of.join(names, "component").select("fp", "component_id"), "simhash-components")
-    return fps.join(of, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(of, "fp").select("doc_id", "th", "fp", "component_id")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component: the one with the smallest id, and of rows with that id the one with the smallest text hash."""
+    found = near_duplicates(docs, STAGE_SHINGLE)
+    chosen = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "th")).alias("k"))
+    rows = found.groupBy("doc_id", "th").agg(F.count("*").alias("rows"))
+    chosen = chosen.select("k.*").join(rows.withColumnsRenamed({"doc_id": "id", "th": "t"}), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("t")))
+    chosen = saved(chosen.select("id", "t", "rows"), "simhash-chosen")
+    kept = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _th()).join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("t")))
+    once, repeated = kept.where("rows = 1"), kept.where("rows > 1").dropDuplicates(["doc_id", "th"])
+    return once.unionByName(repeated).select("row.*")
