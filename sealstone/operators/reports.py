@@ -43,6 +43,6 @@ def throughput(events: DataFrame, order: list[str], time: str, every: int = 50,
     """
     w = Window.partitionBy(*by).orderBy(*order)
     begun = F.min(time).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    seconds = F.col(time).cast("double") - begun.cast("double")
+    seconds = F.col(time).cast("timestamp").cast("double") - begun.cast("timestamp").cast("double")
     numbered = events.select("*", F.row_number().over(w).alias("done"), seconds.alias("_s"))
     return numbered.where(F.col("done") % every == 0).select(*by, "done", F.round(F.col("_s") / F.col("done"), 4).alias("avg_s"))
