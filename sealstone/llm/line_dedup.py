@@ -19,6 +19,8 @@ from sealstone.llm.common import saved, table, words
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCH = 1 << 18
+#: Bits of the filters for shared tokens and for lines in pairs.
+TOKEN_BITS, LINE_BITS = 1 << 22, 1 << 21
 LOW = (1 << 32) - 1
 
 
@@ -29,20 +31,39 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "th", "line", words(F.col("s")).alias("w")).where(F.size("w") >= SHINGLE)
 
 
-def _shingles(key=lambda h: h) -> Column:
-    """key of each shingle's hash; words are hashed with their length in view, so that no joined text is built."""
-    return F.transform(F.sequence(F.lit(0), F.size("w") - SHINGLE), lambda i: key(F.xxhash64(*[F.get("w", i + j) for j in range(SHINGLE)])))
+def _shingles() -> Column:
+    """The hash of each shingle. Zipping the words with themselves, shifted, is one built-in call, and leaves one small function for each."""
+    n = F.size("w")
+    shifted = F.arrays_zip(*[F.slice("w", F.lit(j + 1), n) for j in range(SHINGLE)])
+    return F.transform(F.slice(shifted, F.lit(1), n - (SHINGLE - 1)), lambda s: F.xxhash64(s))
 
 
-def _levels(docs: DataFrame) -> bytes:
+def _levels(lines: DataFrame) -> bytes:
     """The binary logarithm of each of the sketch's counters, a byte each."""
-    buckets = _lines(docs).select(F.explode(_shingles(lambda h: h.bitwiseAND(SKETCH - 1).cast("int"))).alias("b"))
+    buckets = lines.select(F.explode("toks").alias("t")).groupBy(F.col("t").bitwiseAND(SKETCH - 1).alias("b")).count()
     levels = bytearray(SKETCH)
-    for r in buckets.groupBy("b").count().collect():  # SKETCH numbers
+    for r in buckets.collect():  # SKETCH numbers
         levels[r["b"]] = int(math.log2(r["count"]))
     return bytes(levels)
 
 
+def _filter_of(values: DataFrame, size: int) -> bytes:
+    """A filter of `size` bits, seven a byte, with the bit of each value's low bits set. It spares rows a shuffle where it can and
+    never drops one that matters; the driver gets size / 56 numbers at most."""
+    low = f"(cast(v as bigint) & {size - 1})"
+    words = values.groupBy(F.expr(f"{low} div 56").alias("i")).agg(F.expr(f"bit_or(shiftleft(1L, cast({low} % 56 as int)))").alias("bits"))
+    out = bytearray(8 * (size // 56 + 1))
+    for r in words.collect():
+        out[8 * r["i"] : 8 * r["i"] + 8] = bytes(r["bits"] >> 7 * k & 127 for k in range(8))
+    return bytes(out)
+
+
+def _may_be_in(bits: Column, value: Column, size: int) -> Column:
+    at = value.bitwiseAND(size - 1).cast("long")
+    byte = F.ascii(F.substring(bits, (F.floor(at / 7) + 1).cast("int"), F.lit(1)).cast("string"))
+    return F.getbit(byte, (at % 7).cast("int")) == 1
+
+
 def _overlap(n: Column, m: Column) -> Column:
     """The least number of common tokens of sets of n and m that are similar."""
     return F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (n + m) - 1e-9)
@@ -68,30 +89,31 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, th and line of each line that an earlier one is similar to, in the order of doc_id, th and line."""
-    low = F.lit(LOW)
-    # A token is 32 bits of its hash; sorted with its level above, the rarest come first.
-    level = F.lit(_levels(docs))
-    key = lambda h: F.shiftleft(F.ascii(F.substring(level, h.bitwiseAND(SKETCH - 1).cast("int") + 1, 1).cast("string")).cast("long"), 32) + F.shiftrightunsigned(h, 18).bitwiseAND(low)
-    toks = F.transform(F.sort_array(F.array_distinct(_shingles(key))), lambda x: (x.bitwiseAND(low) - (1 << 31)).cast("int"))
+    # A token is 32 bits of its shingle's hash; a line's tokens are kept in plain order, and put in order of rarity for its prefix.
+    toks = F.sort_array(F.array_distinct(F.transform(_shingles(), lambda h: (F.shiftrightunsigned(h, 32) - (1 << 31)).cast("int"))))
     lines = _lines(docs).select("doc_id", "th", "line", toks.alias("toks")).withColumn("sig", F.xxhash64("toks"))
     lines = saved(lines, "lines")
-    n = F.size("toks")
-    prefix = F.slice("toks", F.lit(1), n - F.ceil(F.lit(SIMILARITY) * n - 1e-9).cast("int") + 1)
-    reps = lines.groupBy("sig").agg(F.min(F.struct("doc_id", "th", "line", n.alias("n"), prefix.alias("prefix"))).alias("first"))
+    n, level = F.size("toks"), F.lit(_levels(lines))
+    rarity = lambda t: F.ascii(F.substring(level, t.bitwiseAND(SKETCH - 1) + 1, F.lit(1)).cast("string")).cast("long")
+    keyed = F.sort_array(F.transform("toks", lambda t: F.shiftleft(rarity(t), 32) + t.cast("long").bitwiseAND(F.lit(LOW))))
+    prefix = F.transform(F.slice(keyed, F.lit(1), n - F.ceil(F.lit(SIMILARITY) * n - 1e-9).cast("int") + 1), lambda k: (k.bitwiseAND(F.lit(LOW)) - (1 << 31)).cast("int"))
+    reps = lines.select("sig", F.struct("doc_id", "th", "line", n.alias("n"), prefix.alias("prefix")).alias("r")).groupBy("sig").agg(F.min("r").alias("first"))
     reps = saved(reps.select("sig", "first.*"), "line-sets")
     same = lines.select("doc_id", "th", "line", "sig").join(reps.select("sig", F.struct("doc_id", "th", "line").alias("first")), "sig")
     ord_ = F.struct("doc_id", "th", "line")
     copies = same.where(~ord_.eqNullSafe(F.col("first"))).select("doc_id", "th", "line")
 
     index = reps.select("sig", "n", F.posexplode("prefix").alias("pos", "tok"))
-    shared = index.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1").select("tok")
+    shared = saved(index.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1").select("tok"), "line-shared")
+    index = index.where(_may_be_in(F.lit(_filter_of(shared.select(F.col("tok").alias("v")), TOKEN_BITS)), F.col("tok"), TOKEN_BITS))
     postings = saved(index.join(shared, "tok").join(reps.select("sig", ord_.alias("ord")), "sig"), "line-postings")
     center = postings.groupBy("tok").agg(F.min(F.struct("ord", "sig", "n", "pos")).alias("c"))
     star = postings.join(center, "tok").select("sig", "n", "pos", F.col("c.sig").alias("c_sig"), F.col("c.n").alias("c_n"), F.col("c.pos").alias("c_pos"))
     star = star.where((F.col("sig") != F.col("c_sig")) & _may_match("", "c_"))
     star = saved(star.select(F.col("sig").alias("later"), F.col("c_sig").alias("earlier")).distinct(), "line-pairs")
     wanted = postings.select("sig").distinct()
-    sets = lines.join(wanted.join(reps.select("sig", *[F.col(c).alias(f"f_{c}") for c in ("doc_id", "th", "line")]), "sig"), "sig")
+    wanted_bits = F.lit(_filter_of(wanted.select(F.col("sig").alias("v")), LINE_BITS))
+    sets = lines.where(_may_be_in(wanted_bits, F.col("sig"), LINE_BITS)).join(wanted.join(reps.select("sig", *[F.col(c).alias(f"f_{c}") for c in ("doc_id", "th", "line")]), "sig"), "sig")
     sets = saved(sets.where(F.col("doc_id").eqNullSafe(F.col("f_doc_id")) & (F.col("th") == F.col("f_th")) & (F.col("line") == F.col("f_line"))).select("sig", "toks").distinct(), "line-tokens")
     gone = saved(_verified(star, sets).select(F.col("later").alias("sig")).distinct(), "line-gone")
 
