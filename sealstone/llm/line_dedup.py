@@ -70,12 +70,14 @@ def _overlap(n: Column, m: Column) -> Column:
 
 
 def _may_match(a: str, b: str) -> Column:
-    """Length and positional filter of two postings of one token."""
+    """Length and positional filter of two postings of one token.
+
+    A similar pair passes at its first common token in the shared order, which is in both prefixes and has all other common
+    tokens behind it; whether it passes at later ones doesn't matter.
+    """
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
     rest = 1 + F.least(n - F.col(f"{a}pos") - 1, m - F.col(f"{b}pos") - 1)
-    # The token may stand anywhere before in the other's prefix, so up to the smaller position tokens may be common already.
-    before = F.least(F.col(f"{a}pos"), F.col(f"{b}pos"))
-    return (F.least(n, m) >= F.lit(SIMILARITY) * F.greatest(n, m) - 1e-9) & (rest + before >= _overlap(n, m))
+    return (F.least(n, m) >= F.lit(SIMILARITY) * F.greatest(n, m) - 1e-9) & (rest >= _overlap(n, m))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -181,7 +181,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Links u, v to (u, component): every node of a link and the smallest node that it reaches.
+    """Links u, v to (u, component): every node of a link that isn't the smallest of its component, and that smallest one.
 
     Large-star and small-star rounds alternate until nothing changes; each round is written to the shared folder. Only the number
     of links and a sum of their hashes come to the driver. A node with many links is counted before it is shuffled, and Spark can
