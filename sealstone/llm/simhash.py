@@ -22,7 +22,7 @@ from sealstone.llm.common import saved, table
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: The pipeline's stage takes shingles of five words.
-STAGE_SHINGLE = 5
+STAGE_SHINGLE, STAGE_RADIUS, STAGE_CHUNK = 5, 24, 512
 #: Two more blocks than the radius: a pair within it shares two blocks at least.
 SPARE_BLOCKS = 2
 #: Fingerprints under one key beyond which its comparison is cut into pairs of chunks.
@@ -221,9 +221,105 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _sets(text: str, shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, sorted."""
+    words = text.encode().lower().split()
+    if not words:
+        return np.zeros(0, dtype="<u8")
+    k, digest = min(shingle, len(words)), xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(b" ".join(words[i : i + k]), SEED) for i in range(len(words) - k + 1)], dtype="<u8"))
+
+
+def _described(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, th and, of the set of shingles: sig, n, fp (SimHash), anchors (the least hash of each of ANCHORS parts) and the set, 32 bits each."""
+
+    def each(batches):
+        for pdf in batches:
+            out = []
+            for text in pdf["text"]:
+                h = _sets(text or "", shingle)
+                part = (h >> np.uint64(61)).astype(np.int64)
+                first = np.flatnonzero(np.diff(part, prepend=-1))  # sorted, so that each part's least comes first
+                bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) if len(h) else np.zeros(64)
+                fp = np.packbits(2 * bits > len(h), bitorder="little").view("<i8")[0]
+                short = np.unique((h & np.uint64(0xFFFFFFFF)).astype("<u4"))
+                out.append((xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63), len(short), int(fp), h[first].view("<i8").tolist(), short.tobytes()))
+            cols = pd.DataFrame(out, columns=["sig", "n", "fp", "anchors", "set"])
+            yield pd.concat([pdf[["doc_id", "th"]].astype({"doc_id": "Int64"}).reset_index(drop=True), cols], axis=1)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _th()).mapInPandas(each, "doc_id long, th long, sig long, n long, fp long, anchors array<long>, set binary")
+
+
+def _similar(block, anchor: int, similarity: float, radius: int) -> np.ndarray:
+    """Links (two rows of sigs) that connect a block's sets of at least this Jaccard similarity.
+
+    Bit-sliced comparison finds the pairs whose fingerprints are near enough; what it leaves is verified on the sets, unless an
+    earlier anchor of both has their pair, or they are connected already.
+    """
+    sig = np.array([r["sig"] for r in block], dtype=np.int64)
+    n = np.array([r["n"] for r in block], dtype=np.int64)
+    i, j = close_in_block(np.array([r["fp"] for r in block], dtype=np.int64), radius)
+    fits = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
+    i, j = i[fits], j[fits]
+    sets = [np.frombuffer(r["set"], dtype="<u4") for r in block]
+    earlier = [set(np.asarray(r["anchors"], dtype=np.int64)[np.asarray(r["anchors"], dtype=np.int64).view(np.uint64) < np.uint64(anchor & (1 << 64) - 1)].tolist()) for r in block]
+    label = list(range(len(block)))
+
+    def root(x: int) -> int:
+        while label[x] != x:
+            label[x] = label[label[x]]
+            x = label[x]
+        return x
+
+    for a in np.unique(i):
+        others = [b for b in j[i == a].tolist() if root(a) != root(b) and not earlier[a] & earlier[b]]
+        if not others:
+            continue
+        values, sizes = np.concatenate([sets[b] for b in others]), np.array([len(sets[b]) for b in others])
+        at = np.minimum(np.searchsorted(sets[a], values), len(sets[a]) - 1)
+        common = np.add.reduceat((sets[a][at] == values).astype(np.int64), np.concatenate(([0], np.cumsum(sizes)[:-1])))
+        for b, c, m in zip(others, common.tolist(), sizes.tolist()):
+            if c >= similarity * (len(sets[a]) + m - c) - 1e-9:
+                label[max(root(a), root(b))] = min(root(a), root(b))
+    roots = np.array([root(x) for x in range(len(block))])
+    return np.stack((sig[roots], sig))[:, roots != np.arange(len(block))]
+
+
+def near_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = 0.8, radius: int = STAGE_RADIUS) -> DataFrame:
+    """doc_id, th and component of each row of docs: what is connected over pairs whose sets of shingles have at least this Jaccard
+    similarity. Texts with equal sets are one; texts without words are equal.
+
+    No radius that pigeonhole keys can serve holds all such pairs, so the keys are anchors: the least hash of each of eight parts of a set.
+    A pair at 0.8 shares one with a probability of 1 - 0.2^8, and lies within the radius, 24 of 64 bits, with one of over 0.999. Keys
+    with many sets are cut into pairs of chunks; a comparison returns a spanning forest of its verified links.
+    """
+    rows = saved(_described(docs, shingle), "copies-sets")
+    same = rows.groupBy("sig").agg(F.min(F.struct("doc_id", "th")).alias("rep"))
+    reps = saved(same.select("sig", "rep.*"), "copies-distinct")
+    keyed = rows.select("sig", "doc_id", "th", "anchors").join(reps.select(F.col("sig").alias("s"), F.col("doc_id").alias("d"), F.col("th").alias("t")), (F.col("sig") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
+    keyed = keyed.select("sig", F.explode("anchors").alias("key")).distinct()
+    many = keyed.groupBy("key").agg(F.count("*").alias("n_key")).where("n_key > 1")
+    shared = saved(keyed.join(many, "key"), "copies-keys")
+    wanted = saved(shared.select("sig").distinct(), "copies-wanted")
+    sets = rows.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("anchors").alias("anchors"), F.first("set").alias("set"))
+    cut = shared.join(sets, "sig").withColumn("chunks", F.expr(f"int((n_key + {STAGE_CHUNK} - 1) div {STAGE_CHUNK})"))
+    cut = cut.withColumn("c", F.pmod(F.xxhash64("sig"), F.col("chunks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    blocks = cut.groupBy("key", F.least("c", "o").alias("a"), F.greatest("c", "o").alias("b")).agg(F.array_sort(F.collect_list(F.struct("sig", "n", "fp", "anchors", "set"))).alias("block"))
+
+    def compare(batches):
+        for pdf in batches:
+            found = [_similar(b, k, similarity, radius) for k, b in zip(pdf["key"], pdf["block"]) if len(b) > 1]
+            if found and (links_ := np.concatenate(found, axis=1)).size:
+                yield pd.DataFrame(np.unique(links_, axis=1).T, columns=["u", "v"])
+
+    nodes = components(blocks.select("key", "block").mapInPandas(compare, "u long, v long").distinct()).withColumnRenamed("u", "sig")
+    nodes = saved(nodes, "copies-components")
+    return rows.select("doc_id", "th", "sig").join(nodes, "sig", "left").select("doc_id", "th", F.coalesce("component", "sig").alias("component"))
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one with the smallest id, and of rows with that id the one with the smallest text hash."""
-    found = near_duplicates(docs, STAGE_SHINGLE)
+    """One document of each component of near copies: the one with the smallest id, and of rows with that id the one with the smallest text hash."""
+    found = saved(near_copies(docs), "copies-found").withColumnRenamed("component", "component_id")
     chosen = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "th")).alias("k"))
     rows = found.groupBy("doc_id", "th").agg(F.count("*").alias("rows"))
     chosen = chosen.select("k.*").join(rows.withColumnsRenamed({"doc_id": "id", "th": "t"}), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("t")))
