@@ -415,6 +415,30 @@ def test_large_blocks_are_cut_without_losing_links(spark, monkeypatch):
     assert len({named.get(f, f) for f in fps[:-2]}) == 1 and named[-1] == named.get(-2, -2) == -2
 
 
+def test_near_copies_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "STAGE_CHUNK", 8)
+    rng = random.Random(12)
+    texts = []
+    for _ in range(6):
+        w = sentence(rng, 150).split()
+        for _ in range(12):
+            v = list(w)
+            for _ in range(rng.randrange(6)):
+                v[rng.randrange(len(v))] = "new" + str(rng.randrange(99))
+            texts.append(" ".join(v))
+    texts += [None, "", "x", "x", texts[0], texts[0].upper()]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sh = [{tuple(w[i : i + 5]) for w in [(t or "").lower().split()] for i in range(max(1, len(w) - 4)) if w} for t in texts]
+    label = list(range(len(texts)))
+    for _ in texts:
+        for a in range(len(texts)):
+            for b in range(a):
+                if len(sh[a] & sh[b]) >= 0.8 * len(sh[a] | sh[b]) - 1e-12:
+                    label[a] = label[b] = min(label[a], label[b])
+    got = {r["doc_id"]: r["component"] for r in simhash.near_copies(df).collect()}
+    assert len(set(label)) > 8 and len({(got[i], x) for i, x in enumerate(label)}) == len(set(label)) == len(set(got.values()))
+
+
 # The pipeline and the SQL
 
 
