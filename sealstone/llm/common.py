@@ -1,13 +1,12 @@
-"""What the operators share: reading tables, words of a text, cutting lineage."""
+"""What the operators share: reading tables and the words of a text."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sealstone.checkpoints import saved  # noqa: F401  (the operators take it from here)
+
 #: The only characters that separate words.
 SPACE = r"[\x20\x09-\x0D]+"
 #: SPACE as Python's re module writes it.
@@ -34,23 +33,3 @@ def n_words(text: Column) -> Column:
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share, named in spark.checkpoint.dir; a temporary one where that is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        where = tempfile.mkdtemp(prefix="sealstone-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: later steps neither compute it twice nor depend on the executors that did.
-
-    The files stay as long as a DataFrame may need them; the cluster's owner expires the folder.
-    """
-    spark = df.sparkSession
-    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
