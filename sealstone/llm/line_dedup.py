@@ -137,8 +137,12 @@ def dedup(docs: DataFrame) -> DataFrame:
     """
     gone = removed_lines(docs).groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("line")).alias("gone"))  # a document's own lines
     gone = gone.select(F.col("doc_id").alias("g_id"), "th", "gone")
+    gone = saved(gone, "lines-gone")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("r_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("r_th"))
-    rows = rows.join(saved(gone, "lines-gone"), F.col("r_id").eqNullSafe(F.col("g_id")) & (F.col("r_th") == F.col("th")), "left")
+    # Only documents that may lose lines are joined; the others' texts aren't shuffled.
+    some = _may_be_in(F.lit(_filter_of(gone.select(F.col("th").alias("v")), LINE_BITS)), F.col("r_th"), LINE_BITS)
+    hit = rows.where(some).join(gone, F.col("r_id").eqNullSafe(F.col("g_id")) & (F.col("r_th") == F.col("th")), "left").select("row", "gone")
+    rows = rows.where(~some).select("row", F.lit(None).cast("array<int>").alias("gone")).unionByName(hit)
     parts = F.split(F.col("row.text"), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
