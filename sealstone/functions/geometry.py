@@ -111,6 +111,10 @@ def homography(corners: Column, w: Column, h: Column) -> Column:
     return F.when(den != 0, let(let(tilt, forward), inverse))
 
 
+def moved(poly: Column, x0: Column, y0: Column) -> Column:
+    return F.transform(poly, lambda p: point(p["x"] - x0, p["y"] - y0))
+
+
 def mapped(poly: Column, matrix: Column, x0: Column, y0: Column) -> Column:
     """A polygon through the matrix, or, where that is null, less the frame's origin."""
 
@@ -119,7 +123,7 @@ def mapped(poly: Column, matrix: Column, x0: Column, y0: Column) -> Column:
         z = F.when(at(2) != 0, at(2))
         return point(at(0) / z, at(1) / z)
 
-    return F.when(matrix.isNull(), F.transform(poly, lambda p: point(p["x"] - x0, p["y"] - y0))).otherwise(F.transform(poly, through))
+    return F.when(matrix.isNull(), moved(poly, x0, y0)).otherwise(F.transform(poly, through))
 
 
 def relative(v: Column, size: Column) -> Column:

@@ -43,6 +43,12 @@ def front_face(quads: Column, centers: Column, low: Column, high: Column, img_ar
     return F.when(F.size(quads) == 1, F.get(quads, F.lit(0))).otherwise(F.array_max(keyed)["q"])
 
 
+def axis_aligned(box: Column) -> Column:
+    """The last tier: the upright box itself, without a matrix."""
+    upright = F.array(*[G.point(box["x"] + a * box["w"], box["y"] + b * box["h"]) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))])
+    return F.struct(F.lit("axis_aligned").alias("method"), box["w"].cast("int").alias("w"), box["h"].cast("int").alias("h"), F.lit(None).cast("array<double>").alias("matrix"), upright.alias("corners"))
+
+
 def rectified(quads: Column, centers: Column, low: Column, high: Column, box: Column, img_w: Column, img_h: Column, rotated: Column | None = None) -> Column:
     """struct(method, w, h, matrix, corners): perspective by the front face, else by the rotated rectangle (4 points) of the largest
     contour where that covers 8 % of the image, else the upright box."""
@@ -59,6 +65,4 @@ def rectified(quads: Column, centers: Column, low: Column, high: Column, box: Co
         found = G.let(G.let(corners, lambda c: F.struct(c.alias("c"), G.target_frame(c).alias("f"))), framed)
         return G.let(found, lambda r: F.when(pts.isNotNull() & r["matrix"].isNotNull(), r))
 
-    upright = F.array(*[G.point(box["x"] + a * box["w"], box["y"] + b * box["h"]) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))])
-    plain = F.struct(F.lit("axis_aligned").alias("method"), box["w"].cast("int").alias("w"), box["h"].cast("int").alias("h"), F.lit(None).cast("array<double>").alias("matrix"), upright.alias("corners"))
-    return F.coalesce(G.let(face, lambda p: by(p, "perspective")), G.let(turned, lambda p: by(p, "rotation")), plain)
+    return F.coalesce(G.let(face, lambda p: by(p, "perspective")), G.let(turned, lambda p: by(p, "rotation")), axis_aligned(box))

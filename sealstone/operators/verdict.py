@@ -59,12 +59,16 @@ def verdict_v2(orders: DataFrame, of: DataFrame, rules: DataFrame, double_seal_p
     b, quads = F.col("best"), "quads" in of.columns
     known = photos.known(F.col("lob"))
     staged = found.withColumn("best", F.when(known, F.col("best")))
-    centers = F.transform(seals.find_seals(b["detections"]), lambda s: G.point(s["cx"], s["cy"]))
-    none = F.array().cast("array<struct<source:string,pts:array<struct<x:double,y:double>>>>")
-    rect = faces.rectified(F.coalesce(b["quads"], none) if quads else none, centers, F.col("aspect_lo"), F.col("aspect_hi"), b["box"], b["img_w"], b["img_h"])
+    if quads:
+        centers = F.transform(seals.find_seals(b["detections"]), lambda s: G.point(s["cx"], s["cy"]))
+        none = F.array().cast("array<struct<source:string,pts:array<struct<x:double,y:double>>>>")
+        rect = faces.rectified(F.coalesce(b["quads"], none), centers, F.col("aspect_lo"), F.col("aspect_hi"), b["box"], b["img_w"], b["img_h"])
+    else:  # without candidate faces there is nothing to rectify
+        rect = faces.axis_aligned(b["box"])
     staged = staged.withColumn("rect", F.when(b.isNotNull(), rect))
     r = F.col("rect")
-    moved = F.transform(b["detections"], lambda d: F.struct(d["text_idx"].alias("text_idx"), d["text"].alias("text"), G.mapped(d["poly"], r["matrix"], b["box"]["x"], b["box"]["y"]).alias("poly")))
+    into = (lambda p: G.mapped(p, r["matrix"], b["box"]["x"], b["box"]["y"])) if quads else (lambda p: G.moved(p, b["box"]["x"], b["box"]["y"]))
+    moved = F.transform(b["detections"], lambda d: F.struct(d["text_idx"].alias("text_idx"), d["text"].alias("text"), into(d["poly"]).alias("poly")))
     staged = staged.withColumn("dets", moved).withColumn("seals", seals.find_seals(F.col("dets")))
     staged = staged.withColumn("main", seals.main_seal(F.col("seals"), r["w"], r["h"], F.col("scan_zones")))
     staged = staged.withColumn("place", F.when(F.col("main").isNotNull(), seals.placement(F.col("dets"), F.col("main"), r["w"], r["h"], F.col("scan_zones"))))

@@ -50,7 +50,7 @@ def _ruled(spark, d) -> DataFrame:
     """Photos in the frame of their boxes, with their order's rule."""
     o = photos.with_rules(inputs.orders(spark, d), rule_book(spark))
     p = _photos(spark, d).join(o, "order_id")
-    return p.withColumn("dets", F.transform("detections", lambda x: F.struct(x["text_idx"].alias("text_idx"), x["text"].alias("text"), G.mapped(x["poly"], F.lit(None).cast("array<double>"), F.col("box.x"), F.col("box.y")).alias("poly"))))
+    return p.withColumn("dets", F.transform("detections", lambda x: F.struct(x["text_idx"].alias("text_idx"), x["text"].alias("text"), G.moved(x["poly"], F.col("box.x"), F.col("box.y")).alias("poly"))))
 
 
 def _sealed(spark, d) -> DataFrame:

@@ -71,6 +71,19 @@ def test_verdict_keeps_columns_and_rows(spark):
     assert verdict.verdict_v1(twice, of.drop("foreign")).count() == 2 * orders.count()
 
 
+def test_verdict_through_a_homography(spark):
+    """A face that is the box itself gives the same verdicts by perspective; a degenerate one falls back."""
+    orders, of, rules = tables(spark)
+    face = lambda *p: F.array(F.struct(F.lit("edge").alias("source"), F.array(*[G.point(F.lit(x), F.lit(y)) for x, y in p]).alias("pts")))
+    plain = {r["order_id"]: r for r in verdict.verdict_v2(orders, of, rules).collect()}
+    seen = {r["order_id"]: r for r in verdict.verdict_v2(orders, of.withColumn("quads", face((0, 0), (100, 0), (100, 200), (0, 200))), rules).collect()}
+    codes = ("is_compliant", "seal_exists", "position_valid", "dual_code")
+    assert {k: [r[c] for c in codes] for k, r in seen.items()} == {k: [r[c] for c in codes] for k, r in plain.items()}
+    assert seen["G12"]["rectify_method"] == "perspective"
+    flat = {r["order_id"]: r["rectify_method"] for r in verdict.verdict_v2(orders, of.withColumn("quads", face(*[(5, 5)] * 4)), rules).collect()}
+    assert flat["G12"] == "axis_aligned"
+
+
 def test_plan_has_no_python_and_broadcasts_the_rules(spark):
     orders, of, rules = tables(spark)
     plan = verdict.verdict_v2(orders, of, rules)._jdf.queryExecution().executedPlan().toString()
