@@ -25,6 +25,4 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    # Spark deletes the shuffle files of finished steps when the driver's JVM collects its garbage, which a large heap puts off.
-    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
