@@ -1,11 +1,12 @@
 """Line dedup by an exact set-similarity join.
 
-A line's tokens are its distinct five-word shingles, in order of rarity. Rarity is read from a count sketch of the whole corpus,
-SKETCH counters that all shingles are counted in; any order that all lines share keeps the join exact, and the sketch has a fixed
-size. Lines with equal sets are one from there on. Two sets of Jaccard similarity t share a token among the first
-n - ceil(t n) + 1 of each, so only those prefixes are indexed. Pairs from the index pass a length and a positional filter and are
-then verified on the whole sets. Under one token each line meets the earliest line first; only lines that this doesn't remove
-meet the others, so that a large group of near copies doesn't become all its pairs.
+A line's tokens are its distinct five-word shingles, in order of rarity; all the words of a shorter line are its one token.
+Rarity is read from a count sketch of the whole corpus, SKETCH counters that all shingles are counted in; any order that all
+lines share keeps the join exact, and the sketch has a fixed size. Lines with equal sets are one from there on. Two sets of
+Jaccard similarity t share a token among the first n - ceil(t n) + 1 of each, so only those prefixes are indexed. Pairs from the
+index pass a length and a positional filter and are then verified on the whole sets. Under one token each line meets the
+earliest line first; only lines that this doesn't remove meet the others, so that a large group of near copies doesn't become
+all its pairs.
 """
 
 from __future__ import annotations
@@ -24,18 +25,19 @@ TOKEN_BITS, LINE_BITS = 1 << 22, 1 << 21
 LOW = (1 << 32) - 1
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th (tells rows with one id apart), line and w (words) of each line with at least SHINGLE words."""
+def _lines(docs: DataFrame, least: int) -> DataFrame:
+    """doc_id, th (tells rows with one id apart), line and w (words) of each line with at least `least` words."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id"), F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("line", "s"))
-    return rows.select("doc_id", "th", "line", words(F.col("s")).alias("w")).where(F.size("w") >= SHINGLE)
+    return rows.select("doc_id", "th", "line", words(F.col("s")).alias("w")).where(F.size("w") >= least)
 
 
 def _shingles() -> Column:
-    """The hash of each shingle. Zipping the words with themselves, shifted, is one built-in call, and leaves one small function for each."""
+    """The hash of each shingle; a shorter line is one as it stands. Zipping the words with themselves, shifted, is one built-in call,
+    and leaves one small function for each."""
     n = F.size("w")
     shifted = F.arrays_zip(*[F.slice("w", F.lit(j + 1), n) for j in range(SHINGLE)])
-    return F.transform(F.slice(shifted, F.lit(1), n - (SHINGLE - 1)), lambda s: F.xxhash64(s))
+    return F.when(n < SHINGLE, F.array(F.xxhash64("w"))).otherwise(F.transform(F.slice(shifted, F.lit(1), F.greatest(n - (SHINGLE - 1), F.lit(0))), lambda s: F.xxhash64(s)))
 
 
 def _levels(lines: DataFrame) -> bytes:
@@ -89,11 +91,11 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(common >= _overlap(F.size("lt"), F.size("et"))).select("later", "earlier")
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th and line of each line that an earlier one is similar to, in the order of doc_id, th and line."""
+def removed_lines(docs: DataFrame, least: int = SHINGLE) -> DataFrame:
+    """doc_id, th and line of each line of at least `least` words that an earlier one is similar to, in the order of doc_id, th and line."""
     # A token is 32 bits of its shingle's hash; a line's tokens are kept in plain order, and put in order of rarity for its prefix.
     toks = F.sort_array(F.array_distinct(F.transform(_shingles(), lambda h: (F.shiftrightunsigned(h, 32) - (1 << 31)).cast("int"))))
-    lines = _lines(docs).select("doc_id", "th", "line", toks.alias("toks")).withColumn("sig", F.xxhash64("toks"))
+    lines = _lines(docs, least).select("doc_id", "th", "line", toks.alias("toks")).withColumn("sig", F.xxhash64("toks"))
     lines = saved(lines, "lines")
     n, level = F.size("toks"), F.lit(_levels(lines))
     rarity = lambda t: F.ascii(F.substring(level, t.bitwiseAND(SKETCH - 1) + 1, F.lit(1)).cast("string")).cast("long")
@@ -127,15 +129,16 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return copies.unionByName(near)
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, least: int = SHINGLE) -> DataFrame:
     """All columns of docs (doc_id, text, ...), the text without the removed lines, and n_lines and n_removed.
 
-    A line goes if an earlier line, of this or a document before it by id, shares at least SIMILARITY of their joint shingles; lines
-    with fewer than SHINGLE words stay. Null texts stay null; null ids come first; rows with one id and one text are one document
-    and lose the same lines, rows with one id and different texts are told apart by the text's hash; other columns go through.
+    A line goes if an earlier line, of this or a document before it by id, shares at least SIMILARITY of their joint shingles; a
+    line with fewer than SHINGLE words goes if an earlier one has the same words; lines with fewer than `least` words stay. Null
+    texts stay null; null ids come first; rows with one id and one text are one document and lose the same lines, rows with one
+    id and different texts are told apart by the text's hash; other columns go through.
     Tokens are compared by 32 bits of their hash.
     """
-    gone = removed_lines(docs).groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("line")).alias("gone"))  # a document's own lines
+    gone = removed_lines(docs, least).groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("line")).alias("gone"))  # a document's own lines
     gone = gone.select(F.col("doc_id").alias("g_id"), "th", "gone")
     gone = saved(gone, "lines-gone")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("r_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("r_th"))
@@ -151,13 +154,13 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup(table(spark, sf_dir, "documents"))
+    found = dedup(table(spark, sf_dir, "documents"))  # OP4_SQL keeps lines with fewer than SHINGLE words
     return found.select("doc_id", "text", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines_")).cast("long").alias("n_lines"), F.when(F.col("n_removed_") > 0, F.col("n_removed_")).otherwise(0).cast("long").alias("n_removed"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs with the texts that remain; a document whose words are all removed goes."""
-    found = dedup(docs)
+    found = dedup(docs, 1)
     empty = (F.col("n_removed_") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return found.where(~F.coalesce(empty, F.lit(False))).select(*[F.col(f"`{c}`") for c in docs.columns])
 

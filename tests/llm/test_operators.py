@@ -194,6 +194,14 @@ def test_line_dedup_against_all_pairs(spark):
     assert sum(k[2] * n for k, n in got.items() if k[2] > 0) == sum(k[2] * n for k, n in want.items())
 
 
+def test_line_dedup_removes_repeats_of_short_lines(spark):
+    made = [(0, "All rights reserved.\nHome\n\none two three four\nreserved. rights All"), (1, "all rights reserved.\n Home \n\none two three four five"), (2, "All  rights reserved.\none two three four\nHome page")]
+    df = spark.createDataFrame(made, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.stage(spark, df, "").collect()}
+    assert got == {0: made[0][1], 1: "all rights reserved.\n\none two three four five", 2: "Home page"}
+    assert line_dedup.removed_lines(df).count() == 0
+
+
 # 5
 
 
