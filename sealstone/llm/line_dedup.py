@@ -4,7 +4,7 @@ A line's tokens are its distinct five-word shingles, in order of rarity; all the
 Rarity is read from a count sketch of the whole corpus, SKETCH counters that all shingles are counted in; any order that all
 lines share keeps the join exact, and the sketch has a fixed size. Lines with equal sets are one from there on. Two sets of
 Jaccard similarity t share a token among the first n - ceil(t n) + 1 of each, so only those prefixes are indexed. Pairs from the
-index pass a length and a positional filter and are then verified on the whole sets. Under one token each line meets the
+index pass a length and a positional filter and are then verified on the whole sets, in the end by the 64-bit hashes of their shingles. Under one token each line meets the
 earliest line first; only lines that this doesn't remove meet the others, so that a large group of near copies doesn't become
 all its pairs.
 """
@@ -82,20 +82,37 @@ def _may_match(a: str, b: str) -> Column:
     return (F.least(n, m) >= F.lit(SIMILARITY) * F.greatest(n, m) - 1e-9) & (rest >= _overlap(n, m))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (later, earlier) whose sets are similar."""
+def _full(docs: DataFrame, sigs: DataFrame, reps: DataFrame) -> DataFrame:
+    """sig and toks, here the whole hashes of its shingles, of each of `sigs`, from the text of its first line."""
+    need = saved(sigs.join(reps.select("sig", F.col("doc_id").alias("n_id"), F.col("th").alias("n_th"), F.col("line").alias("n_line")), "sig"), "line-full")
+    text, place = F.coalesce(F.col("text"), F.lit("")), F.xxhash64("th", "line")
+    rows = docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("line", "s"))
+    rows = rows.where(_may_be_in(F.lit(_filter_of(need.select(F.xxhash64("n_th", "n_line").alias("v")), LINE_BITS)), place, LINE_BITS))
+    rows = rows.join(need, F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("th") == F.col("n_th")) & (F.col("line") == F.col("n_line")))
+    return rows.select("sig", words(F.col("s")).alias("w")).select("sig", F.array_distinct(_shingles()).alias("toks")).dropDuplicates(["sig"])
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (later, earlier) whose tokens are similar. Where two shingles of a line have one token, they count as common: the pair stays."""
     later = sets.select(F.col("sig").alias("later"), F.col("toks").alias("lt"))
     earlier = sets.select(F.col("sig").alias("earlier"), F.col("toks").alias("et"))
     both = pairs.join(later, "later").join(earlier, "earlier")
-    common = F.size(F.array_intersect("lt", "et"))
+    common = F.size(F.array_intersect("lt", "et")) + F.size("lt") - F.size(F.array_distinct("lt"))
     return both.where(common >= _overlap(F.size("lt"), F.size("et"))).select("later", "earlier")
 
 
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (later, earlier) whose sets are similar: by their tokens first, and those few by the whole hashes."""
+    near = saved(_similar(pairs, sets), "line-near")
+    return _similar(near, _full(docs, near.select(F.explode(F.array("later", "earlier")).alias("sig")).distinct(), reps))
+
+
 def removed_lines(docs: DataFrame, least: int = SHINGLE) -> DataFrame:
     """doc_id, th and line of each line of at least `least` words that an earlier one is similar to, in the order of doc_id, th and line."""
     # A token is 32 bits of its shingle's hash; a line's tokens are kept in plain order, and put in order of rarity for its prefix.
-    toks = F.sort_array(F.array_distinct(F.transform(_shingles(), lambda h: (F.shiftrightunsigned(h, 32) - (1 << 31)).cast("int"))))
-    lines = _lines(docs, least).select("doc_id", "th", "line", toks.alias("toks")).withColumn("sig", F.xxhash64("toks"))
+    # They find candidates only: lines are equal by all bits of the hashes, and similar ones are verified on them.
+    lines = _lines(docs, least).select("doc_id", "th", "line", F.sort_array(F.array_distinct(_shingles())).alias("full"))
+    lines = lines.select("doc_id", "th", "line", F.transform("full", lambda h: F.shiftright(h, 32).cast("int")).alias("toks"), F.xxhash64("full").alias("sig"))
     lines = saved(lines, "lines")
     n, level = F.size("toks"), F.lit(_levels(lines))
     rarity = lambda t: F.ascii(F.substring(level, t.bitwiseAND(SKETCH - 1) + 1, F.lit(1)).cast("string")).cast("long")
@@ -119,12 +136,12 @@ def removed_lines(docs: DataFrame, least: int = SHINGLE) -> DataFrame:
     wanted_bits = F.lit(_filter_of(wanted.select(F.col("sig").alias("v")), LINE_BITS))
     sets = lines.where(_may_be_in(wanted_bits, F.col("sig"), LINE_BITS)).join(wanted.join(reps.select("sig", *[F.col(c).alias(f"f_{c}") for c in ("doc_id", "th", "line")]), "sig"), "sig")
     sets = saved(sets.where(F.col("doc_id").eqNullSafe(F.col("f_doc_id")) & (F.col("th") == F.col("f_th")) & (F.col("line") == F.col("f_line"))).select("sig", "toks").distinct(), "line-tokens")
-    gone = saved(_verified(star, sets).select(F.col("later").alias("sig")).distinct(), "line-gone")
+    gone = saved(_verified(star, sets, docs, reps).select(F.col("later").alias("sig")).distinct(), "line-gone")
 
     left = postings.join(gone, "sig", "left_anti").select("tok", *[F.col(c).alias(f"l_{c}") for c in ("sig", "n", "pos", "ord")])
     rest = left.join(postings, "tok").where((F.col("ord") < F.col("l_ord")) & _may_match("", "l_")).select(F.col("l_sig").alias("later"), F.col("sig").alias("earlier")).distinct()
     rest = rest.join(star, ["later", "earlier"], "left_anti")
-    gone = gone.unionByName(_verified(rest, sets).select(F.col("later").alias("sig")).distinct())
+    gone = gone.unionByName(_verified(rest, sets, docs, reps).select(F.col("later").alias("sig")).distinct())
     near = reps.join(gone, "sig").select("doc_id", "th", "line")
     return copies.unionByName(near)
 
@@ -136,7 +153,7 @@ def dedup(docs: DataFrame, least: int = SHINGLE) -> DataFrame:
     line with fewer than SHINGLE words goes if an earlier one has the same words; lines with fewer than `least` words stay. Null
     texts stay null; null ids come first; rows with one id and one text are one document and lose the same lines, rows with one
     id and different texts are told apart by the text's hash; other columns go through.
-    Tokens are compared by 32 bits of their hash.
+    Shingles are compared by 64 bits of their hash.
     """
     gone = removed_lines(docs, least).groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("line")).alias("gone"))  # a document's own lines
     gone = gone.select(F.col("doc_id").alias("g_id"), "th", "gone")

@@ -202,6 +202,15 @@ def test_line_dedup_removes_repeats_of_short_lines(spark):
     assert line_dedup.removed_lines(df).count() == 0
 
 
+def test_line_dedup_keeps_lines_whose_tokens_collide(spark):
+    x, y = "e f g h w92324", "e f g h w255671"
+    hashes = [r[0] for r in spark.createDataFrame([(x,), (y,)], "s string").select(F.split("s", " ").alias("w")).select(line_dedup._shingles()[0]).collect()]
+    assert hashes[0] != hashes[1] and hashes[0] >> 32 == hashes[1] >> 32
+    made = [(0, f"{x}\na b c d {x}"), (1, f"{y}\na b c d {y}\n{y}")]
+    df = spark.createDataFrame(made, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(df).collect()} == {0: made[0][1], 1: f"{y}\na b c d {y}"}
+
+
 # 5
 
 
