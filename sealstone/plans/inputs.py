@@ -5,9 +5,10 @@ One text serves both engines; DIV stands for whole-number division.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sealstone.checkpoints import saved
 from sealstone.functions.geometry import point
 
 VIEWS = {
@@ -40,12 +41,31 @@ FROM (SELECT rn, pk, ((rn % 40) DIV 8 + ((rn DIV 40) % 40) DIV 8 + rn DIV 1600)
 NEEDS = {"fx_orders": "orders", "fx_boxes": "lineitem", "fx_stamps": "orders", "fx_pixels": "lineitem"}
 
 
+#: How fx_pixels numbers the rows of lineitem.
+PIXEL_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+_NUMBERED = f"(SELECT row_number() OVER (ORDER BY {', '.join(PIXEL_ORDER)}) - 1 AS rn, l_partkey AS pk FROM lineitem)"
+
+
+def numbered(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """df with rn, its rows' number in this order from 0: each range of the order is numbered by itself, on top of the rows before it."""
+    dealt = saved(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))  # a row for each range
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(sizes.select("_range", before.alias("_before")))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return dealt.withColumn("_rank", rank).join(starts, "_range").withColumn("rn", F.col("_rank") + F.col("_before")).drop("_range", "_rank", "_before")
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of VIEWS; what it reads is passed by name, so that no view is left in the session."""
     text = VIEWS[name].replace("DIV", "div")
     source = NEEDS.get(name)
     of = spark.read.parquet(f"{sf_dir}/{source}.parquet") if source else view(spark, sf_dir, "fx_boxes" if name == "fx_photos" else "fx_orders")
     source = source or ("fx_boxes" if name == "fx_photos" else "fx_orders")
+    if name == "fx_pixels":  # the same numbers as its SQL's, but not in one task
+        of = numbered(of.select(*PIXEL_ORDER), PIXEL_ORDER)
+        assert _NUMBERED in text
+        text = text.replace(_NUMBERED, "(SELECT rn, l_partkey AS pk FROM lineitem)")
     return spark.sql(text.replace(f"FROM {source}", "FROM {source}"), source=of)
 
 

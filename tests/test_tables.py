@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sealstone.operators import grid, reports
+from sealstone.plans import inputs
 from sealstone.sources import hooks, tables
 from sealstone.streaming import incremental
 
@@ -119,3 +120,16 @@ def test_reports(spark):
     assert reports.summary(v).first().asDict() | {"total": 3, "compliant": 1, "foreign": 1, "no_front_photo": 1, "dual": 1} == reports.summary(v).first().asDict()
     assert [tuple(r) for r in reports.distribution(v, "lob").collect()] == [(None, 2), ("a", 1)]
     assert reports.summary(v.limit(0)).first()["total"] == 0
+
+
+def test_rows_are_numbered_in_ranges(spark):
+    df = spark.range(20000).select((F.col("id") * 7919 % 20011).alias("a"), (F.col("id") % 3).alias("b")).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = inputs.numbered(df, ("b", "a"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = {(r["b"], r["a"]): r["rn"] for r in out.collect()}
+    assert got == {k: i for i, k in enumerate(sorted(got))} and len(got) == 20000
+    ranges = [f for f in out.inputFiles() if "/ranges-" in f]
+    assert len(ranges) > 1
