@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sealstone.checkpoints import saved
+
 
 def summary(verdicts: DataFrame) -> DataFrame:
     """The run's counts in one pass."""
@@ -39,10 +41,17 @@ def rate_by_lob(verdicts: DataFrame) -> DataFrame:
 def throughput(events: DataFrame, order: list[str], time: str, every: int = 50, by: list[str] = ()) -> DataFrame:
     """Each `every`-th completion: how many are done, and the average seconds of one since the first.
 
-    A running number over all rows has one order, so it has one task; `by` (a day, a worker) gives each group its own.
+    Without `by` (a day, a worker), ranges of the order are numbered each by itself, on top of the rows before it.
     """
-    w = Window.partitionBy(*by).orderBy(*order)
-    begun = F.min(time).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    n, begins = F.lit(0), F.lit(None)
+    if not by:
+        events = saved(events.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+        before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+        sizes = events.groupBy("_range").agg(F.count("*").alias("_n"), F.min(time).alias("_t"))
+        starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.min("_t").over(before).alias("_begun"))
+        events, n, begins = events.join(F.broadcast(starts), "_range"), F.col("_before"), F.col("_begun")
+    w = Window.partitionBy(*(by or ["_range"])).orderBy(*order)
+    begun = F.least(begins, F.min(time).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     seconds = F.col(time).cast("timestamp").cast("double") - begun.cast("timestamp").cast("double")
-    numbered = events.select("*", F.row_number().over(w).alias("done"), seconds.alias("_s"))
+    numbered = events.select("*", (F.row_number().over(w) + n).alias("done"), seconds.alias("_s"))
     return numbered.where(F.col("done") % every == 0).select(*by, "done", F.round(F.col("_s") / F.col("done"), 4).alias("avg_s"))

@@ -133,3 +133,18 @@ def test_rows_are_numbered_in_ranges(spark):
     assert got == {k: i for i, k in enumerate(sorted(got))} and len(got) == 20000
     ranges = [f for f in out.inputFiles() if "/ranges-" in f]
     assert len(ranges) > 1
+
+
+def test_throughput_is_numbered_in_ranges(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 31 % 977).alias("ts")).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = reports.throughput(df, ["k"], "ts")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = {r["done"]: r["avg_s"] for r in out.collect()}
+    times, want = [r["ts"].timestamp() for r in df.orderBy("k").collect()], {}
+    for n in range(50, 5001, 50):
+        want[n] = round((times[n - 1] - min(times[:n])) / n, 4)
+    assert set(got) == set(want) and all(abs(got[n] - want[n]) < 2e-4 for n in want)
+    assert len([f for f in out.inputFiles() if "/ranges-" in f]) > 1
