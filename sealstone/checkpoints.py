@@ -7,22 +7,48 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: A step's shuffle files aren't needed once its table stands.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one where that is unset."""
+    """The folder named in spark.checkpoint.dir. Where that is unset, a temporary one in local mode, and an error on a cluster, whose
+    executors would each write to a folder of their own."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="sealstone-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: later steps neither compute it twice nor depend on the executors that did.
+class Tables:
+    """Tables that the steps of one operator write to the shared folder and read again.
 
-    The files stay as long as a DataFrame may need them; the cluster's owner expires the folder.
+    Later steps neither compute them twice nor depend on the executors that did. A table that no later step reads is dropped; what
+    a returned DataFrame reads stays, and the cluster's owner expires the folder.
     """
-    spark = df.sparkSession
-    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.paths[name] = f"{scratch(self.spark)}/{name}-{uuid.uuid4().hex}"
+        was = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(CLEANUP) if was is None else self.spark.conf.set(CLEANUP, was)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet to the shared folder and read again, for as long as a DataFrame may need it."""
+    return Tables(df.sparkSession).save(df, name)
