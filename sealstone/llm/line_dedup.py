@@ -1,69 +1,60 @@
 """Line dedup by an exact set-similarity join.
 
-A line's tokens are its distinct five-word shingles, in order of rarity; all the words of a shorter line are its one token.
-Rarity is read from a count sketch of the whole corpus, SKETCH counters that all shingles are counted in; any order that all
-lines share keeps the join exact, and the sketch has a fixed size. Lines with equal sets are one from there on. Two sets of
-Jaccard similarity t share a token among the first n - ceil(t n) + 1 of each, so only those prefixes are indexed. Pairs from the
-index pass a length and a positional filter and are then verified on the whole sets, in the end by the 64-bit hashes of their shingles. Under one token each line meets the
-earliest line first; only lines that this doesn't remove meet the others, so that a large group of near copies doesn't become
-all its pairs.
+A line's tokens are its distinct five-word shingles; all the words of a shorter line are its one token. Exact copies of a line are
+found by 128 bits of hashes of its words. For the others, two sets of Jaccard similarity t share a token among the first
+n - ceil(t n) + 1 of each, in any order that all lines keep. A first pass takes these prefixes in the order of the tokens' hashes
+and leaves the lines that have a prefix token in common with a different line. Only of those are the whole sets kept, and there
+tokens are put in order of rarity: first those that are in few prefixes, by hash, then the frequent ones by how many prefixes
+have them. Pairs from the index of these prefixes pass a length and a positional filter and are verified on the whole sets. Under
+one token each line meets the earliest line first; only lines that this doesn't remove meet the others, so that a large group of
+near copies doesn't become all its pairs.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sealstone.llm.common import saved, table, words
+from sealstone.checkpoints import Tables
+from sealstone.llm.common import SPACE, table
 
 SHINGLE, SIMILARITY = 5, 0.8
-SKETCH = 1 << 18
-#: Bits of the filters for shared tokens and for lines in pairs.
-TOKEN_BITS, LINE_BITS = 1 << 22, 1 << 21
-LOW = (1 << 32) - 1
+#: Tokens in at most so many prefixes are rare, and need no order among them.
+RARE = 8
+#: A side of a join is broadcast if its rows, counted before, take at most so many bytes; else Spark decides.
+BROADCAST = 8 << 20
+#: Null ids come before all others.
+NO_ID = -(1 << 63)
 
 
-def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """doc_id, th (tells rows with one id apart), line and w (words) of each line with at least `least` words."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id"), F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("line", "s"))
-    return rows.select("doc_id", "th", "line", words(F.col("s")).alias("w")).where(F.size("w") >= least)
+def _keys() -> list[Column]:
+    """d and th: what tells the rows of documents apart, and orders them."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("th")]
 
 
-def _shingles() -> Column:
-    """The hash of each shingle; a shorter line is one as it stands. Zipping the words with themselves, shifted, is one built-in call,
-    and leaves one small function for each."""
-    n = F.size("w")
-    shifted = F.arrays_zip(*[F.slice("w", F.lit(j + 1), n) for j in range(SHINGLE)])
-    return F.when(n < SHINGLE, F.array(F.xxhash64("w"))).otherwise(F.transform(F.slice(shifted, F.lit(1), F.greatest(n - (SHINGLE - 1), F.lit(0))), lambda s: F.xxhash64(s)))
+def _lines(docs: DataFrame) -> DataFrame:
+    """d, th, line and s (the text) of each line that has a word."""
+    rows = docs.select(*_keys(), F.posexplode(F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)).alias("line", "s"))
+    return rows.where(F.col("s").rlike(r"[^\x20\x09-\x0D]"))
 
 
-def _levels(lines: DataFrame) -> bytes:
-    """The binary logarithm of each of the sketch's counters, a byte each."""
-    buckets = lines.select(F.explode("toks").alias("t")).groupBy(F.col("t").bitwiseAND(SKETCH - 1).alias("b")).count()
-    levels = bytearray(SKETCH)
-    for r in buckets.collect():  # SKETCH numbers
-        levels[r["b"]] = int(math.log2(r["count"]))
-    return bytes(levels)
+def _words() -> Column:
+    """The words of s; other white space than single spaces is rare and costs a pattern."""
+    s = F.col("s")
+    odd = s.contains("\t") | s.contains("\x0b") | s.contains("\x0c") | s.contains("\r")
+    return F.array_remove(F.split(F.when(odd, F.regexp_replace(s, SPACE, " ")).otherwise(s), " ", -1), "")
 
 
-def _filter_of(values: DataFrame, size: int) -> bytes:
-    """A filter of `size` bits, seven a byte, with the bit of each value's low bits set. It spares rows a shuffle where it can and
-    never drops one that matters; the driver gets size / 56 numbers at most."""
-    low = f"(cast(v as bigint) & {size - 1})"
-    words = values.groupBy(F.expr(f"{low} div 56").alias("i")).agg(F.expr(f"bit_or(shiftleft(1L, cast({low} % 56 as int)))").alias("bits"))
-    out = bytearray(8 * (size // 56 + 1))
-    for r in words.collect():
-        out[8 * r["i"] : 8 * r["i"] + 8] = bytes(r["bits"] >> 7 * k & 127 for k in range(8))
-    return bytes(out)
+def _tokens() -> Column:
+    """The distinct shingles' hashes in the order of these, of the hashes h of a line's words; a shorter line is one as it stands."""
+    n = F.size("h")
+    each = F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(SHINGLE)]))
+    return F.sort_array(F.array_distinct(F.when(n < SHINGLE, F.array(F.xxhash64("h"))).otherwise(each)))
 
 
-def _may_be_in(bits: Column, value: Column, size: int) -> Column:
-    at = value.bitwiseAND(size - 1).cast("long")
-    byte = F.ascii(F.substring(bits, (F.floor(at / 7) + 1).cast("int"), F.lit(1)).cast("string"))
-    return F.getbit(byte, (at % 7).cast("int")) == 1
+def _prefix(tokens: Column) -> Column:
+    n = F.size(tokens)
+    return F.slice(tokens, F.lit(1), n - F.ceil(F.lit(SIMILARITY) * n - 1e-9).cast("int") + 1)
 
 
 def _overlap(n: Column, m: Column) -> Column:
@@ -82,104 +73,105 @@ def _may_match(a: str, b: str) -> Column:
     return (F.least(n, m) >= F.lit(SIMILARITY) * F.greatest(n, m) - 1e-9) & (rest >= _overlap(n, m))
 
 
-def _full(docs: DataFrame, sigs: DataFrame, reps: DataFrame) -> DataFrame:
-    """sig and toks, here the whole hashes of its shingles, of each of `sigs`, from the text of its first line."""
-    need = saved(sigs.join(reps.select("sig", F.col("doc_id").alias("n_id"), F.col("th").alias("n_th"), F.col("line").alias("n_line")), "sig"), "line-full")
-    text, place = F.coalesce(F.col("text"), F.lit("")), F.xxhash64("th", "line")
-    rows = docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("line", "s"))
-    rows = rows.where(_may_be_in(F.lit(_filter_of(need.select(F.xxhash64("n_th", "n_line").alias("v")), LINE_BITS)), place, LINE_BITS))
-    rows = rows.join(need, F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("th") == F.col("n_th")) & (F.col("line") == F.col("n_line")))
-    return rows.select("sig", words(F.col("s")).alias("w")).select("sig", F.array_distinct(_shingles()).alias("toks")).dropDuplicates(["sig"])
-
-
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (later, earlier) whose tokens are similar. Where two shingles of a line have one token, they count as common: the pair stays."""
-    later = sets.select(F.col("sig").alias("later"), F.col("toks").alias("lt"))
-    earlier = sets.select(F.col("sig").alias("earlier"), F.col("toks").alias("et"))
-    both = pairs.join(later, "later").join(earlier, "earlier")
-    common = F.size(F.array_intersect("lt", "et")) + F.size("lt") - F.size(F.array_distinct("lt"))
-    return both.where(common >= _overlap(F.size("lt"), F.size("et"))).select("later", "earlier")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (later, earlier) whose sets are similar: by their tokens first, and those few by the whole hashes."""
-    near = saved(_similar(pairs, sets), "line-near")
-    return _similar(near, _full(docs, near.select(F.explode(F.array("later", "earlier")).alias("sig")).distinct(), reps))
-
-
-def removed_lines(docs: DataFrame, least: int = SHINGLE) -> DataFrame:
-    """doc_id, th and line of each line of at least `least` words that an earlier one is similar to, in the order of doc_id, th and line."""
-    # A token is 32 bits of its shingle's hash; a line's tokens are kept in plain order, and put in order of rarity for its prefix.
-    # They find candidates only: lines are equal by all bits of the hashes, and similar ones are verified on them.
-    lines = _lines(docs, least).select("doc_id", "th", "line", F.sort_array(F.array_distinct(_shingles())).alias("full"))
-    lines = lines.select("doc_id", "th", "line", F.transform("full", lambda h: F.shiftright(h, 32).cast("int")).alias("toks"), F.xxhash64("full").alias("sig"))
-    lines = saved(lines, "lines")
-    n, level = F.size("toks"), F.lit(_levels(lines))
-    rarity = lambda t: F.ascii(F.substring(level, t.bitwiseAND(SKETCH - 1) + 1, F.lit(1)).cast("string")).cast("long")
-    keyed = F.sort_array(F.transform("toks", lambda t: F.shiftleft(rarity(t), 32) + t.cast("long").bitwiseAND(F.lit(LOW))))
-    prefix = F.transform(F.slice(keyed, F.lit(1), n - F.ceil(F.lit(SIMILARITY) * n - 1e-9).cast("int") + 1), lambda k: (k.bitwiseAND(F.lit(LOW)) - (1 << 31)).cast("int"))
-    reps = lines.select("sig", F.struct("doc_id", "th", "line", n.alias("n"), prefix.alias("prefix")).alias("r")).groupBy("sig").agg(F.min("r").alias("first"))
-    reps = saved(reps.select("sig", "first.*"), "line-sets")
-    same = lines.select("doc_id", "th", "line", "sig").join(reps.select("sig", F.struct("doc_id", "th", "line").alias("first")), "sig")
-    ord_ = F.struct("doc_id", "th", "line")
-    copies = same.where(~ord_.eqNullSafe(F.col("first"))).select("doc_id", "th", "line")
-
-    index = reps.select("sig", "n", F.posexplode("prefix").alias("pos", "tok"))
-    shared = saved(index.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1").select("tok"), "line-shared")
-    index = index.where(_may_be_in(F.lit(_filter_of(shared.select(F.col("tok").alias("v")), TOKEN_BITS)), F.col("tok"), TOKEN_BITS))
-    postings = saved(index.join(shared, "tok").join(reps.select("sig", ord_.alias("ord")), "sig"), "line-postings")
-    center = postings.groupBy("tok").agg(F.min(F.struct("ord", "sig", "n", "pos")).alias("c"))
-    star = postings.join(center, "tok").select("sig", "n", "pos", F.col("c.sig").alias("c_sig"), F.col("c.n").alias("c_n"), F.col("c.pos").alias("c_pos"))
-    star = star.where((F.col("sig") != F.col("c_sig")) & _may_match("", "c_"))
-    star = saved(star.select(F.col("sig").alias("later"), F.col("c_sig").alias("earlier")).distinct(), "line-pairs")
-    wanted = postings.select("sig").distinct()
-    wanted_bits = F.lit(_filter_of(wanted.select(F.col("sig").alias("v")), LINE_BITS))
-    sets = lines.where(_may_be_in(wanted_bits, F.col("sig"), LINE_BITS)).join(wanted.join(reps.select("sig", *[F.col(c).alias(f"f_{c}") for c in ("doc_id", "th", "line")]), "sig"), "sig")
-    sets = saved(sets.where(F.col("doc_id").eqNullSafe(F.col("f_doc_id")) & (F.col("th") == F.col("f_th")) & (F.col("line") == F.col("f_line"))).select("sig", "toks").distinct(), "line-tokens")
-    gone = saved(_verified(star, sets, docs, reps).select(F.col("later").alias("sig")).distinct(), "line-gone")
-
-    left = postings.join(gone, "sig", "left_anti").select("tok", *[F.col(c).alias(f"l_{c}") for c in ("sig", "n", "pos", "ord")])
-    rest = left.join(postings, "tok").where((F.col("ord") < F.col("l_ord")) & _may_match("", "l_")).select(F.col("l_sig").alias("later"), F.col("sig").alias("earlier")).distinct()
-    rest = rest.join(star, ["later", "earlier"], "left_anti")
-    gone = gone.unionByName(_verified(rest, sets, docs, reps).select(F.col("later").alias("sig")).distinct())
-    near = reps.join(gone, "sig").select("doc_id", "th", "line")
-    return copies.unionByName(near)
-
-
-def dedup(docs: DataFrame, least: int = SHINGLE) -> DataFrame:
-    """All columns of docs (doc_id, text, ...), the text without the removed lines, and n_lines and n_removed.
-
-    A line goes if an earlier line, of this or a document before it by id, shares at least SIMILARITY of their joint shingles; a
-    line with fewer than SHINGLE words goes if an earlier one has the same words; lines with fewer than `least` words stay. Null
-    texts stay null; null ids come first; rows with one id and one text are one document and lose the same lines, rows with one
-    id and different texts are told apart by the text's hash; other columns go through.
-    Shingles are compared by 64 bits of their hash.
-    """
-    gone = removed_lines(docs, least).groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("line")).alias("gone"))  # a document's own lines
-    gone = gone.select(F.col("doc_id").alias("g_id"), "th", "gone")
-    gone = saved(gone, "lines-gone")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("r_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("r_th"))
-    # Only documents that may lose lines are joined; the others' texts aren't shuffled.
-    some = _may_be_in(F.lit(_filter_of(gone.select(F.col("th").alias("v")), LINE_BITS)), F.col("r_th"), LINE_BITS)
-    hit = rows.where(some).join(gone, F.col("r_id").eqNullSafe(F.col("g_id")) & (F.col("r_th") == F.col("th")), "left").select("row", "gone")
-    rows = rows.where(~some).select("row", F.lit(None).cast("array<int>").alias("gone")).unionByName(hit)
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """id of the later line of each pair (later, earlier) whose sets are similar."""
+    both = pairs.join(sets.select(F.col("id").alias("later"), F.col("toks").alias("lt")), "later").join(sets.select(F.col("id").alias("earlier"), F.col("toks").alias("et")), "earlier")
+    return both.where(F.size(F.array_intersect("lt", "et")) >= _overlap(F.size("lt"), F.size("et"))).select(F.col("later").alias("id")).distinct()
+
+
+def _bounded(df: DataFrame, n_bytes: int) -> DataFrame:
+    return F.broadcast(df) if n_bytes <= BROADCAST else df
+
+
+def _near(docs: DataFrame, lines: DataFrame, firsts: DataFrame, tables: Tables) -> DataFrame:
+    """d, th and line of the first line of each set of words that a different, earlier line is similar to."""
+    postings = lines.select("k1", F.explode("prefix").alias("tok"))
+    shared = postings.groupBy("tok").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.count("*").alias("c")).where("a <> b").select("tok", "c")
+    shared = tables.save(shared, "line-shared")
+    some = postings.join(_bounded(shared.select("tok"), 8 * shared.count()), "tok", "left_semi").select("k1").distinct()
+    reps = tables.save(firsts.join(some, "k1", "left_semi").select("d", "th", "line"), "line-some")
+    # Numbered in their order: of two lines the one with the smaller id is the earlier.
+    reps = tables.save(reps.orderBy("d", "th", "line").select(F.monotonically_increasing_id().alias("id"), "d", "th", "line"), "line-reps")
+    texts = _lines(docs).join(reps, ["d", "th", "line"]).groupBy("d", "th", "line", "id").agg(F.first("s").alias("s"))
+    sets = texts.select("id", F.transform(_words(), lambda w: F.xxhash64(w)).alias("h")).select("id", _tokens().alias("toks"))
+    sets = tables.save(sets, "line-sets")
+
+    frequent = shared.where(F.col("c") > RARE)
+    late = sets.select("id", F.explode("toks").alias("tok")).join(_bounded(frequent, 16 * frequent.count()), "tok")
+    late = late.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("c", "tok")))["tok"].alias("late"))  # of one line's own tokens
+    ordered = sets.join(late, "id", "left").withColumn("toks", F.when(F.col("late").isNull(), F.col("toks")).otherwise(F.concat(F.array_except("toks", "late"), "late")))
+    index = tables.save(ordered.select("id", F.size("toks").alias("n"), F.posexplode(_prefix(F.col("toks"))).alias("pos", "tok")), "line-index")
+    more = index.groupBy("tok").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("tok")
+    index = tables.save(index.join(more, "tok", "left_semi"), "line-postings")
+
+    first = index.groupBy("tok").agg(F.min(F.struct("id", "n", "pos")).alias("c"))
+    star = index.join(first, "tok").select("id", "n", "pos", F.col("c.id").alias("c_id"), F.col("c.n").alias("c_n"), F.col("c.pos").alias("c_pos"))
+    star = star.where((F.col("id") != F.col("c_id")) & _may_match("", "c_"))
+    star = tables.save(star.select(F.col("id").alias("later"), F.col("c_id").alias("earlier")).distinct(), "line-pairs")
+    gone = tables.save(_verified(star, sets), "line-near")
+    left = index.join(gone, "id", "left_anti").select("tok", *[F.col(c).alias(f"l_{c}") for c in ("id", "n", "pos")])
+    rest = left.join(index, "tok").where((F.col("id") < F.col("l_id")) & _may_match("", "l_")).select(F.col("l_id").alias("later"), F.col("id").alias("earlier")).distinct()
+    rest = tables.save(rest.join(star, ["later", "earlier"], "left_anti"), "line-rest")
+    return reps.join(gone.unionByName(_verified(rest, sets)), "id", "left_semi").select("d", "th", "line")
+
+
+def removed_lines(docs: DataFrame) -> DataFrame:
+    """d (the id), th (tells rows with one id apart) and line of each line that an earlier one is similar to, in the order of d, th and line."""
+    tables = Tables(docs.sparkSession)
+    lines = _lines(docs).select("d", "th", "line", _words().alias("w")).withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
+    lines = lines.select("d", "th", "line", F.xxhash64("w").alias("k1"), F.xxhash64(F.lit(1), "w").alias("k2"), _tokens().alias("toks"))
+    lines = tables.save(lines.select("d", "th", "line", "k1", "k2", _prefix(F.col("toks")).alias("prefix")), "lines")
+    firsts = lines.groupBy("k1", "k2").agg(F.min(F.struct("d", "th", "line")).alias("first"), F.count("*").alias("c"))
+    firsts = tables.save(firsts.select("k1", "k2", "first.*", "c"), "line-firsts")
+    repeated = firsts.where("c > 1").select("k1", "k2", F.struct("d", "th", "line").alias("first"))
+    copies = lines.select("d", "th", "line", "k1", "k2").join(repeated, ["k1", "k2"]).where(F.struct("d", "th", "line") != F.col("first")).select("d", "th", "line")
+    gone = copies.unionByName(_near(docs, lines, firsts, tables)).groupBy("d", "th").agg(F.sort_array(F.collect_set("line")).alias("gone"))  # a document's own lines
+    gone = Tables(docs.sparkSession).save(gone, "line-gone")
+    tables.drop(*tables.paths)
+    return gone
+
+
+def _cleaned(docs: DataFrame) -> DataFrame:
+    """row (docs' columns), text (what is left of it), n_lines and n_removed of each row of docs."""
+    gone = removed_lines(docs)
+    n = gone.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("lines")).first()
+    rows = docs.select(F.struct("*").alias("row"), *_keys()).join(_bounded(gone, 32 * n["docs"] + 4 * n["lines"]), ["d", "th"], "left")
     parts = F.split(F.col("row.text"), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    others = [F.when(F.col("gone").isNull(), F.col("row.n_chars")).otherwise(F.length("new_text")).cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else F.col("new_text").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
-    return rows.withColumn("new_text", text).select(*others, F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines_"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed_"))
+    count = lambda x: F.greatest(F.coalesce(F.size(x), F.lit(0)), F.lit(0)).cast("long")
+    return rows.select("row", text.alias("text"), count(parts).alias("n_lines"), count(F.col("gone")).alias("n_removed"))
+
+
+def _columns(docs: DataFrame) -> list[Column]:
+    """docs' columns, of rows of _cleaned: the text is what is left, and n_chars, where there is one, its length."""
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None
+    new = {"text": F.col("text"), "n_chars": length}
+    return [(new[c].cast(docs.schema[c].dataType) if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+
+
+def dedup(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, ...) with its columns, the text without the removed lines.
+
+    A line goes if an earlier line, of this or a document before it by id, shares at least SIMILARITY of their joint shingles; a
+    line with fewer than SHINGLE words goes if an earlier one has the same words; lines without words stay. Null texts stay null;
+    null ids come first; rows with one id and one text are one document and lose the same lines, rows with one id and different
+    texts are ordered and told apart by the text's hash; other columns, whatever their names, go through, but n_chars follows the
+    text; an empty table gives an empty result. Shingles are compared by 64 bits of their hash, whole lines by 128.
+    """
+    return _cleaned(docs).select(*_columns(docs))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup(table(spark, sf_dir, "documents"))  # OP4_SQL keeps lines with fewer than SHINGLE words
-    return found.select("doc_id", "text", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines_")).cast("long").alias("n_lines"), F.when(F.col("n_removed_") > 0, F.col("n_removed_")).otherwise(0).cast("long").alias("n_removed"))
+    found = _cleaned(table(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_removed")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs with the texts that remain; a document whose words are all removed goes."""
-    found = dedup(docs, 1)
-    empty = (F.col("n_removed_") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return found.where(~F.coalesce(empty, F.lit(False))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """docs with the texts that remain; a document whose words are all removed goes. What dedup says of nulls, empty and long texts, ties,
+    repeated rows, empty tables and other columns holds here."""
+    empty = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return _cleaned(docs).where(~F.coalesce(empty, F.lit(False))).select(*_columns(docs))
 
 
 OP4_SQL = rf"""
@@ -188,8 +180,8 @@ words AS (
   SELECT doc_id, line, list_filter(regexp_split_to_array(s, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM (SELECT doc_id, unnest(l) AS s, unnest(range(len(l))) AS line FROM docs)),
 sets AS (
-  SELECT doc_id, line, list_sort(list_distinct(list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' ')))) AS t
-  FROM words WHERE len(w) >= {SHINGLE}),
+  SELECT doc_id, line, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - {SHINGLE - 2}, 2)), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' ')))) AS t
+  FROM words WHERE len(w) > 0),
 firsts AS (SELECT t, min((doc_id, line)) AS first, row_number() OVER () AS id FROM sets GROUP BY t),
 tokens AS (SELECT id, len(t) AS n, first, unnest(t) AS s FROM firsts),
 near AS (
