@@ -2,12 +2,12 @@
 
 A line's tokens are its distinct five-word shingles; all the words of a shorter line are its one token. Exact copies of a line are
 found by 128 bits of hashes of its words. For the others, two sets of Jaccard similarity t share a token among the first
-n - ceil(t n) + 1 of each, in any order that all lines keep. A first pass takes these prefixes in the order of the tokens' hashes
-and leaves the lines that have a prefix token in common with a different line. Only of those are the whole sets kept, and there
-tokens are put in order of rarity: first those that are in few prefixes, by hash, then the frequent ones by how many prefixes
-have them. Pairs from the index of these prefixes pass a length and a positional filter and are verified on the whole sets. Under
-one token each line meets the earliest line first; only lines that this doesn't remove meet the others, so that a large group of
-near copies doesn't become all its pairs.
+n - ceil(t n) + 1 of each, in any order that all lines keep, and e + 1 tokens if the prefixes are e longer. A first pass takes
+prefixes longer by EXTRA in the order of the tokens' hashes and leaves the lines that have enough of their tokens in common with
+different lines. Only of those are the whole sets kept, and there tokens are put in order of rarity: first those that are in few
+prefixes, by hash, then the frequent ones by how many prefixes have them. Pairs from the index of these prefixes pass a length, a
+positional and a bitmap filter and are verified on the whole sets. Under one token each line meets the earliest line first; only
+lines that this doesn't remove meet the others, so that a large group of near copies doesn't become all its pairs.
 """
 
 from __future__ import annotations
@@ -19,6 +19,13 @@ from sealstone.checkpoints import Tables
 from sealstone.llm.common import SPACE, table
 
 SHINGLE, SIMILARITY = 5, 0.8
+#: Tokens by which the first pass's prefixes are longer than one common token needs.
+EXTRA = 2
+#: Longs of the bitmap of a set: bit i is the parity of how many tokens fall on it, so two sets differ in as many tokens at least as their bitmaps do in bits.
+LONGS = 4
+BITS = [f"b{i}" for i in range(LONGS)]
+#: Shingles of lines with at most so many are written out, which Spark compiles; a function over an array, which longer lines need, it interprets.
+WRITTEN_OUT = (40, 160)
 #: Tokens in at most so many prefixes are rare, and need no order among them.
 RARE = 8
 #: A side of a join is broadcast if its rows, counted before, take at most so many bytes; else Spark decides.
@@ -48,13 +55,16 @@ def _words() -> Column:
 def _tokens() -> Column:
     """The distinct shingles' hashes in the order of these, of the hashes h of a line's words; a shorter line is one as it stands."""
     n = F.size("h")
-    each = F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(SHINGLE)]))
-    return F.sort_array(F.array_distinct(F.when(n < SHINGLE, F.array(F.xxhash64("h"))).otherwise(each)))
+    shingle = lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(SHINGLE)])
+    each = F.when(n < SHINGLE, F.array(F.xxhash64("h")))
+    for most in WRITTEN_OUT:
+        each = each.when(n < most + SHINGLE, F.slice(F.array(*[shingle(F.lit(i)) for i in range(most)]), F.lit(1), n - (SHINGLE - 1)))
+    return F.sort_array(F.array_distinct(each.otherwise(F.transform(F.sequence(F.lit(0), n - SHINGLE), shingle))))
 
 
-def _prefix(tokens: Column) -> Column:
+def _prefix(tokens: Column, extra: int = 0) -> Column:
     n = F.size(tokens)
-    return F.slice(tokens, F.lit(1), n - F.ceil(F.lit(SIMILARITY) * n - 1e-9).cast("int") + 1)
+    return F.slice(tokens, F.lit(1), n - F.ceil(F.lit(SIMILARITY) * n - 1e-9).cast("int") + 1 + extra)
 
 
 def _overlap(n: Column, m: Column) -> Column:
@@ -63,14 +73,15 @@ def _overlap(n: Column, m: Column) -> Column:
 
 
 def _may_match(a: str, b: str) -> Column:
-    """Length and positional filter of two postings of one token.
+    """Length, positional and bitmap filter of two postings of one token.
 
     A similar pair passes at its first common token in the shared order, which is in both prefixes and has all other common
     tokens behind it; whether it passes at later ones doesn't matter.
     """
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
     rest = 1 + F.least(n - F.col(f"{a}pos") - 1, m - F.col(f"{b}pos") - 1)
-    return (F.least(n, m) >= F.lit(SIMILARITY) * F.greatest(n, m) - 1e-9) & (rest >= _overlap(n, m))
+    differ = sum((F.bit_count(F.col(f"{a}b{i}").bitwiseXOR(F.col(f"{b}b{i}"))) for i in range(1, LONGS)), F.bit_count(F.col(f"{a}b0").bitwiseXOR(F.col(f"{b}b0"))))
+    return (F.least(n, m) >= F.lit(SIMILARITY) * F.greatest(n, m) - 1e-9) & (rest >= _overlap(n, m)) & (differ <= n + m - 2 * _overlap(n, m))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -88,28 +99,30 @@ def _near(docs: DataFrame, lines: DataFrame, firsts: DataFrame, tables: Tables)
     postings = lines.select("k1", F.explode("prefix").alias("tok"))
     shared = postings.groupBy("tok").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.count("*").alias("c")).where("a <> b").select("tok", "c")
     shared = tables.save(shared, "line-shared")
-    some = postings.join(_bounded(shared.select("tok"), 8 * shared.count()), "tok", "left_semi").select("k1").distinct()
-    reps = tables.save(firsts.join(some, "k1", "left_semi").select("d", "th", "line"), "line-some")
+    some = postings.join(_bounded(shared.select("tok"), 8 * shared.count()), "tok", "left_semi").groupBy("k1").agg(F.count("*").alias("common"))
+    enough = F.least(F.lit(EXTRA + 1), F.ceil(F.lit(SIMILARITY) * F.col("n") - 1e-9))  # of each of the c copies
+    reps = tables.save(firsts.join(some, "k1").where(F.col("common") >= F.col("c") * enough).select("d", "th", "line"), "line-some")
     # Numbered in their order: of two lines the one with the smaller id is the earlier.
     reps = tables.save(reps.orderBy("d", "th", "line").select(F.monotonically_increasing_id().alias("id"), "d", "th", "line"), "line-reps")
-    texts = _lines(docs).join(reps, ["d", "th", "line"]).groupBy("d", "th", "line", "id").agg(F.first("s").alias("s"))
+    texts = _lines(docs).join(_bounded(reps, 32 * reps.count()), ["d", "th", "line"]).groupBy("d", "th", "line", "id").agg(F.first("s").alias("s"))
     sets = texts.select("id", F.transform(_words(), lambda w: F.xxhash64(w)).alias("h")).select("id", _tokens().alias("toks"))
     sets = tables.save(sets, "line-sets")
 
     frequent = shared.where(F.col("c") > RARE)
     late = sets.select("id", F.explode("toks").alias("tok")).join(_bounded(frequent, 16 * frequent.count()), "tok")
     late = late.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("c", "tok")))["tok"].alias("late"))  # of one line's own tokens
-    ordered = sets.join(late, "id", "left").withColumn("toks", F.when(F.col("late").isNull(), F.col("toks")).otherwise(F.concat(F.array_except("toks", "late"), "late")))
-    index = tables.save(ordered.select("id", F.size("toks").alias("n"), F.posexplode(_prefix(F.col("toks"))).alias("pos", "tok")), "line-index")
+    bit = "if((tok >> 6 & {m}) = {i}, 1L << int(tok & 63), 0L)"
+    bits = sets.select("id", F.explode("toks").alias("tok")).groupBy("id").agg(*[F.bit_xor(F.expr(bit.format(m=LONGS - 1, i=i))).alias(f"b{i}") for i in range(LONGS)])
+    ordered = sets.join(bits, "id").join(late, "id", "left").withColumn("toks", F.when(F.col("late").isNull(), F.col("toks")).otherwise(F.concat(F.array_except("toks", "late"), "late")))
+    index = tables.save(ordered.select("id", *BITS, F.size("toks").alias("n"), F.posexplode(_prefix(F.col("toks"))).alias("pos", "tok")), "line-index")
     more = index.groupBy("tok").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("tok")
     index = tables.save(index.join(more, "tok", "left_semi"), "line-postings")
 
-    first = index.groupBy("tok").agg(F.min(F.struct("id", "n", "pos")).alias("c"))
-    star = index.join(first, "tok").select("id", "n", "pos", F.col("c.id").alias("c_id"), F.col("c.n").alias("c_n"), F.col("c.pos").alias("c_pos"))
-    star = star.where((F.col("id") != F.col("c_id")) & _may_match("", "c_"))
+    first = index.groupBy("tok").agg(F.min(F.struct("id", "n", "pos", *BITS)).alias("c")).select("tok", *[F.col(f"c.{x}").alias(f"c_{x}") for x in ("id", "n", "pos", *BITS)])
+    star = index.join(first, "tok").where((F.col("id") != F.col("c_id")) & _may_match("", "c_"))
     star = tables.save(star.select(F.col("id").alias("later"), F.col("c_id").alias("earlier")).distinct(), "line-pairs")
     gone = tables.save(_verified(star, sets), "line-near")
-    left = index.join(gone, "id", "left_anti").select("tok", *[F.col(c).alias(f"l_{c}") for c in ("id", "n", "pos")])
+    left = index.join(gone, "id", "left_anti").select("tok", *[F.col(c).alias(f"l_{c}") for c in ("id", "n", "pos", *BITS)])
     rest = left.join(index, "tok").where((F.col("id") < F.col("l_id")) & _may_match("", "l_")).select(F.col("l_id").alias("later"), F.col("id").alias("earlier")).distinct()
     rest = tables.save(rest.join(star, ["later", "earlier"], "left_anti"), "line-rest")
     return reps.join(gone.unionByName(_verified(rest, sets)), "id", "left_semi").select("d", "th", "line")
@@ -119,9 +132,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """d (the id), th (tells rows with one id apart) and line of each line that an earlier one is similar to, in the order of d, th and line."""
     tables = Tables(docs.sparkSession)
     lines = _lines(docs).select("d", "th", "line", _words().alias("w")).withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
-    lines = lines.select("d", "th", "line", F.xxhash64("w").alias("k1"), F.xxhash64(F.lit(1), "w").alias("k2"), _tokens().alias("toks"))
-    lines = tables.save(lines.select("d", "th", "line", "k1", "k2", _prefix(F.col("toks")).alias("prefix")), "lines")
-    firsts = lines.groupBy("k1", "k2").agg(F.min(F.struct("d", "th", "line")).alias("first"), F.count("*").alias("c"))
+    lines = lines.select("d", "th", "line", F.xxhash64("h").alias("k1"), F.xxhash64(F.lit(1), "w").alias("k2"), _tokens().alias("toks"))
+    lines = tables.save(lines.select("d", "th", "line", "k1", "k2", F.size("toks").alias("n"), _prefix(F.col("toks"), EXTRA).alias("prefix")), "lines")
+    firsts = lines.groupBy("k1", "k2").agg(F.min(F.struct("d", "th", "line", "n")).alias("first"), F.count("*").alias("c"))
     firsts = tables.save(firsts.select("k1", "k2", "first.*", "c"), "line-firsts")
     repeated = firsts.where("c > 1").select("k1", "k2", F.struct("d", "th", "line").alias("first"))
     copies = lines.select("d", "th", "line", "k1", "k2").join(repeated, ["k1", "k2"]).where(F.struct("d", "th", "line") != F.col("first")).select("d", "th", "line")
@@ -136,11 +149,12 @@ def _cleaned(docs: DataFrame) -> DataFrame:
     gone = removed_lines(docs)
     n = gone.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("lines")).first()
     rows = docs.select(F.struct("*").alias("row"), *_keys()).join(_bounded(gone, 32 * n["docs"] + 4 * n["lines"]), ["d", "th"], "left")
-    parts = F.split(F.col("row.text"), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
-    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    count = lambda x: F.greatest(F.coalesce(F.size(x), F.lit(0)), F.lit(0)).cast("long")
-    return rows.select("row", text.alias("text"), count(parts).alias("n_lines"), count(F.col("gone")).alias("n_removed"))
+    rows = rows.withColumn("parts", F.when(F.col("gone").isNotNull(), F.split("row.text", "\n", -1)))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone")), lambda i: F.get("parts", i))
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
+    n_lines = 1 + F.length("row.text") - F.length(F.replace(F.col("row.text"), F.lit("\n"), F.lit("")))
+    count = lambda x: F.coalesce(x, F.lit(0)).cast("long")
+    return rows.select("row", text.alias("text"), count(n_lines).alias("n_lines"), count(F.when(F.col("gone").isNotNull(), F.size("gone"))).alias("n_removed"))
 
 
 def _columns(docs: DataFrame) -> list[Column]:
