@@ -1,9 +1,10 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every document gets a 48-bit hash of its id. Words are summed by source and by the hash's top 12 bits; the running sum over
+Every document gets a 48-bit hash of its id and text. Words are summed by source and by the hash's top 12 bits; the running sum over
 buckets tells in which bucket a source's budget ends. Only that bucket's documents are summed again, by the next 12 bits, and
 so on down to the last 12. What remains is one threshold for each source, and the documents are filtered by comparing their
-hash with it: nothing is sorted, and no task ever holds more than 4,096 sums of one source.
+hash with it: nothing is sorted, and no task ever holds more than 4,096 sums of one source. Only documents whose hash is the
+threshold itself, repeats of one row, are numbered, and as many are taken as the budget has room for.
 """
 
 from __future__ import annotations
@@ -16,11 +17,14 @@ from sealstone.llm.common import n_words, saved, table
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_REPEATS = 3.0
 LEVELS, BITS = 4, 12
+#: Repeats of one row at a threshold are numbered in groups of about so many.
+GROUP = 1000
 
 
-def _hash48(doc_id: Column) -> Column:
-    """The first 48 bits of the MD5 of the id as text; a null id hashes as an empty text."""
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 12), 16, 10).cast("long")
+def _hash48(doc_id: Column, text: Column) -> Column:
+    """The first 48 bits of the MD5 of the id and the MD5 of the text; nulls hash as empty."""
+    own = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(F.md5(own), 1, 12), 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, most: float = MOST_REPEATS) -> DataFrame:
@@ -48,11 +52,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.0, most: float = MOST
 
     A source whose target is r times its size takes every document floor(r) times and once more those whose hash is under the
     threshold for the fraction; so its words come within one document of the target, and no document exceeds `most` times its size.
-    Null or empty texts have size 0 and take 0 words; null ids and null sources are values like others; rows with one id share
-    a hash and go together; an empty table gives an empty result. Other columns of docs play no part.
+    Null or empty texts have size 0 and take 0 words; null ids and null sources are values like others; rows with one id (or none)
+    are told apart by their texts, and of rows that are equal in both some may be taken once more than others; an empty table
+    gives an empty result. Other columns of docs play no part.
     """
     kept = [keep.alias("kept")] if keep is not None else []
-    sized = saved(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _hash48(F.col("doc_id")).alias("h"), *kept), "mix-sizes")
+    sized = saved(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _hash48(F.col("doc_id"), F.col("text")).alias("h"), F.monotonically_increasing_id().alias("r"), *kept), "mix-sizes")
     goals = saved(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-targets")
     goals = goals.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     goals = goals.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
@@ -67,9 +72,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.0, most: float = MOST
         sums = inside.groupBy("source", F.expr(f"h div {step}").alias("bucket")).agg(F.sum("size").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("source").orderBy("bucket"))
         sums = sums.withColumn("upto", upto).join(cut.select(F.col("source").alias("s"), "rest"), F.col("source").eqNullSafe(F.col("s")))
-        # The boundary bucket is the first whose end passes the budget; at the last level it is taken if that comes nearer.
-        passes = F.col("upto") > F.col("rest") if level < LEVELS - 1 else F.col("upto") - F.col("rest") > F.col("rest") - (F.col("upto") - F.col("n"))
-        edge = sums.groupBy("source").agg(F.min(F.when(passes, F.struct("bucket", (F.col("rest") - F.col("upto") + F.col("n")).alias("rest")))).alias("edge"))
+        # The boundary bucket is the first whose end passes the budget; at the last level a bucket is one hash.
+        edge = sums.groupBy("source").agg(F.min(F.when(F.col("upto") > F.col("rest"), F.struct("bucket", (F.col("rest") - F.col("upto") + F.col("n")).alias("rest")))).alias("edge"))
         beyond = 1 << (BITS * LEVELS)
         edge = edge.select("source", F.coalesce(F.col("edge.rest"), F.lit(0.0)).alias("rest"), F.coalesce(F.col("edge.bucket") * step, F.lit(beyond)).alias("under"))
         if level:  # a source without documents at its boundary keeps its threshold
@@ -78,10 +82,24 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.0, most: float = MOST
                 F.col("s").alias("source"), F.coalesce("rest", F.lit(0.0)).alias("rest"),
                 F.when(F.col("was") >= beyond, F.lit(beyond)).otherwise(F.when(F.coalesce(F.col("under"), F.lit(beyond)) >= beyond, F.col("was") + step * (1 << BITS)).otherwise(F.col("under"))).alias("under"))
         cut = saved(edge, f"mix-edge-{level}")
-    plan = goals.join(cut.select(F.col("source").alias("s"), "under"), F.col("source").eqNullSafe(F.col("s")), "left").select(F.col("source").alias("of"), "source_size", "target", "whole", "under")
+    plan = goals.join(cut.select(F.col("source").alias("s"), "under", F.col("rest").alias("left")), F.col("source").eqNullSafe(F.col("s")), "left").select(F.col("source").alias("of"), "source_size", "target", "whole", "under", "left")
     plan = saved(plan, "mix-plan")  # its size on disk tells Spark whether it may be broadcast
-    passes = F.least(F.col("whole") + (F.col("h") < F.col("under")).cast("long"), F.lit(int(most)))
-    return sized.join(plan, F.col("source").eqNullSafe(F.col("of"))).select("doc_id", "size", "source_size", "target", (F.col("size") * passes).alias("taken"), "source", *(["kept", passes.alias("passes")] if kept else []))
+    rows = sized.join(plan, F.col("source").eqNullSafe(F.col("of")))
+    once = rows.where("h <> under").withColumn("more", F.col("h") < F.col("under"))
+    edge = _numbered(rows.where("h = under")).withColumn("more", (F.col("nth") + 0.5) * F.col("size") <= F.col("left")).drop("nth")
+    passes = F.least(F.col("whole") + F.col("more").cast("long"), F.lit(int(most)))
+    return once.unionByName(edge).select("doc_id", "size", "source_size", "target", (F.col("size") * passes).alias("taken"), "source", *(["kept", passes.alias("passes")] if kept else []))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Adds nth, from 0, to the rows (r, source, ...) of each source, in groups of about GROUP."""
+    same = F.col("source").eqNullSafe(F.col("s"))
+    n = rows.groupBy(F.col("source").alias("s")).agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    dealt = rows.join(n, same).withColumn("g", F.pmod(F.xxhash64("r"), F.col("groups"))).drop("s", "groups")
+    before = F.sum("n").over(Window.partitionBy("s").orderBy("_g")) - F.col("n")
+    sizes = dealt.groupBy(F.col("source").alias("s"), F.col("g").alias("_g")).agg(F.count("*").alias("n")).select("s", "_g", before.alias("before"))
+    nth = F.row_number().over(Window.partitionBy("source", "g").orderBy("r")) - 1
+    return dealt.withColumn("nth", nth).join(sizes, same & (F.col("g") == F.col("_g"))).withColumn("nth", F.col("nth") + F.col("before")).drop("s", "_g", "g", "before")
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +107,8 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it: not at all, once, or up to three times."""
+    """Every document as often as the mix takes it: not at all, once, or up to three times. Documents without words have size 0 and stay as
+    often as their source's are taken whole; what mix says of nulls, ties, repeated rows, empty tables and other columns holds here."""
     mixed = mix(docs, keep=F.struct("*"))
     return mixed.select("kept", F.explode(F.array_repeat(F.lit(1), F.col("passes").cast("int"))).alias("copy")).select("kept.*")
 
@@ -97,7 +116,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 OP3_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS h
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 12))::BIGINT AS h
   FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 ranked AS (
@@ -111,10 +130,10 @@ goals AS (
 runs AS (
   SELECT s.*, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size) ELSE 0 END AS whole,
          sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
-         sum(s.size) OVER (PARTITION BY s.source, s.h) AS n
+         sum(s.size) OVER (PARTITION BY s.source, s.h) AS n, row_number() OVER (PARTITION BY s.source, s.h) - 1 AS nth
   FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source),
 edges AS (
-  SELECT source, min(CASE WHEN upto - (target - whole * source_size) > (target - whole * source_size) - (upto - n) THEN h END) AS edge FROM runs GROUP BY source)
-SELECT r.doc_id, r.size, r.source_size, r.target, (r.size * (r.whole + CASE WHEN e.edge IS NULL OR r.h < e.edge THEN 1 ELSE 0 END))::BIGINT AS taken, r.source
+  SELECT source, min({'h': h, 'rest': target - whole * source_size - (upto - n)}) FILTER (WHERE upto > target - whole * source_size) AS edge FROM runs GROUP BY source)
+SELECT r.doc_id, r.size, r.source_size, r.target, (r.size * (r.whole + CASE WHEN e.edge IS NULL OR r.h < e.edge.h OR r.h = e.edge.h AND (nth + 0.5) * r.size <= e.edge.rest THEN 1 ELSE 0 END))::BIGINT AS taken, r.source
 FROM runs r JOIN edges e ON r.source IS NOT DISTINCT FROM e.source
 """
