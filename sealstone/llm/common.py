@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A side of a join is broadcast if its rows, counted before, take at most so many bytes; else Spark decides.
+BROADCAST = 8 << 20
+
+
+def bounded(df: DataFrame, n_bytes: int) -> DataFrame:
+    """df, to be broadcast if it is known to be small enough."""
+    return F.broadcast(df) if n_bytes <= BROADCAST else df
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; null has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE, -1), lambda w: w != "")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sealstone.checkpoints import Tables
-from sealstone.llm.common import SPACE, table
+from sealstone.llm.common import SPACE, bounded, table
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Tokens by which the first pass's prefixes are longer than one common token needs.
@@ -28,8 +28,6 @@ BITS = [f"b{i}" for i in range(LONGS)]
 WRITTEN_OUT = (40, 160)
 #: Tokens in at most so many prefixes are rare, and need no order among them.
 RARE = 8
-#: A side of a join is broadcast if its rows, counted before, take at most so many bytes; else Spark decides.
-BROADCAST = 8 << 20
 #: Null ids come before all others.
 NO_ID = -(1 << 63)
 
@@ -90,26 +88,22 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(F.size(F.array_intersect("lt", "et")) >= _overlap(F.size("lt"), F.size("et"))).select(F.col("later").alias("id")).distinct()
 
 
-def _bounded(df: DataFrame, n_bytes: int) -> DataFrame:
-    return F.broadcast(df) if n_bytes <= BROADCAST else df
-
-
 def _near(docs: DataFrame, lines: DataFrame, firsts: DataFrame, tables: Tables) -> DataFrame:
     """d, th and line of the first line of each set of words that a different, earlier line is similar to."""
     postings = lines.select("k1", F.explode("prefix").alias("tok"))
     shared = postings.groupBy("tok").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.count("*").alias("c")).where("a <> b").select("tok", "c")
     shared = tables.save(shared, "line-shared")
-    some = postings.join(_bounded(shared.select("tok"), 8 * shared.count()), "tok", "left_semi").groupBy("k1").agg(F.count("*").alias("common"))
+    some = postings.join(bounded(shared.select("tok"), 8 * shared.count()), "tok", "left_semi").groupBy("k1").agg(F.count("*").alias("common"))
     enough = F.least(F.lit(EXTRA + 1), F.ceil(F.lit(SIMILARITY) * F.col("n") - 1e-9))  # of each of the c copies
     reps = tables.save(firsts.join(some, "k1").where(F.col("common") >= F.col("c") * enough).select("d", "th", "line"), "line-some")
     # Numbered in their order: of two lines the one with the smaller id is the earlier.
     reps = tables.save(reps.orderBy("d", "th", "line").select(F.monotonically_increasing_id().alias("id"), "d", "th", "line"), "line-reps")
-    texts = _lines(docs).join(_bounded(reps, 32 * reps.count()), ["d", "th", "line"]).groupBy("d", "th", "line", "id").agg(F.first("s").alias("s"))
+    texts = _lines(docs).join(bounded(reps, 32 * reps.count()), ["d", "th", "line"]).groupBy("d", "th", "line", "id").agg(F.first("s").alias("s"))
     sets = texts.select("id", F.transform(_words(), lambda w: F.xxhash64(w)).alias("h")).select("id", _tokens().alias("toks"))
     sets = tables.save(sets, "line-sets")
 
     frequent = shared.where(F.col("c") > RARE)
-    late = sets.select("id", F.explode("toks").alias("tok")).join(_bounded(frequent, 16 * frequent.count()), "tok")
+    late = sets.select("id", F.explode("toks").alias("tok")).join(bounded(frequent, 16 * frequent.count()), "tok")
     late = late.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("c", "tok")))["tok"].alias("late"))  # of one line's own tokens
     bit = "if((tok >> 6 & {m}) = {i}, 1L << int(tok & 63), 0L)"
     bits = sets.select("id", F.explode("toks").alias("tok")).groupBy("id").agg(*[F.bit_xor(F.expr(bit.format(m=LONGS - 1, i=i))).alias(f"b{i}") for i in range(LONGS)])
@@ -148,7 +142,7 @@ def _cleaned(docs: DataFrame) -> DataFrame:
     """row (docs' columns), text (what is left of it), n_lines and n_removed of each row of docs."""
     gone = removed_lines(docs)
     n = gone.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("lines")).first()
-    rows = docs.select(F.struct("*").alias("row"), *_keys()).join(_bounded(gone, 32 * n["docs"] + 4 * n["lines"]), ["d", "th"], "left")
+    rows = docs.select(F.struct("*").alias("row"), *_keys()).join(bounded(gone, 32 * n["docs"] + 4 * n["lines"]), ["d", "th"], "left")
     rows = rows.withColumn("parts", F.when(F.col("gone").isNotNull(), F.split("row.text", "\n", -1)))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone")), lambda i: F.get("parts", i))
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
