@@ -78,6 +78,7 @@ def measured(docs: DataFrame, *more: str) -> DataFrame:
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered["n"], F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size("l").cast("long").alias("n_lines"),
+        F.xxhash64("t").alias("th"),
     )
 
 
@@ -102,13 +103,14 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float
     """docs (doc_id, text, lang) and labels (doc_id, quality) to the counts, base_failed and kept of each row of docs.
 
     Null and empty texts have no words and fail the base rule; null languages are a stratum of their own; labels with null or
-    unknown ids or null quality aren't used, a document labelled twice counts as often as it is labelled, and repeated rows are
+    unknown ids or null quality aren't used; the bounds need independent cases, so that each different text counts once in a
+    language, however many documents and labels have it (near copies count each, which the guarantee leaves out); repeated rows are
     judged alike; without labels, or with too few for any guarantee, only the base rule rejects. Other columns play no part.
     """
     found = saved(measured(docs, "lang"), "quality-measures")
     found = found.withColumns(_measures())
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("labelled"))
-    seen = found.join(good, F.col("doc_id") == F.col("labelled")).select(F.col("lang").alias("stratum"), *CUTOFFS)
+    seen = found.join(good, F.col("doc_id") == F.col("labelled")).groupBy(F.col("lang").alias("stratum"), "th").agg(*[F.max(r).alias(r) for r in CUTOFFS])
     cuts = cutoffs(seen, alpha, delta).groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in CUTOFFS])
     cuts = saved(cuts, "quality-cutoffs")  # its size on disk tells Spark whether it may be broadcast
     above = F.lit(False)
@@ -134,7 +136,7 @@ windows AS (
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS c FROM windows) WHERE c > 1),
 covered AS (SELECT r, count(DISTINCT i + j) AS n FROM twice, range(5) AS o(j) GROUP BY r),
 counts AS (
-  SELECT doc_id, lang, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+  SELECT doc_id, lang, t, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
          coalesce(n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines
   FROM texts LEFT JOIN covered USING (r)),
@@ -142,7 +144,7 @@ measured AS (
   SELECT *, CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END AS symbol_share, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_share,
          CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS repeat_share, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word_chars
   FROM counts),
-good AS (SELECT m.* FROM measured m JOIN labels b ON m.doc_id = b.doc_id WHERE b.quality = 1),
+good AS (SELECT DISTINCT t, lang, {", ".join(CUTOFFS)} FROM measured m JOIN labels b ON m.doc_id = b.doc_id WHERE b.quality = 1),
 grid(rule, step, cutoff) AS (VALUES {_GRID}),
 tests AS (
   SELECT lang, rule, step, cutoff, count(*) AS n,
