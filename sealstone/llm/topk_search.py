@@ -1,9 +1,11 @@
 """Exact top-k search by columnar branch-and-bound.
 
-Vectors stand in blocks, in vertical layout: one row for each dimension. A block of queries meets a block of candidates; their
-inner products are summed dimension group by dimension group, and after each group what the remaining dimensions can still add
-is at most the product of the remaining norms. Candidates that can no longer reach a query's k best of the block are dropped, and
-the survivors are compacted. Each pair of blocks gives k rows for each query, of which the k best stay.
+Vectors stand in blocks, in vertical layout: one row for each dimension. First every block of queries meets one block of
+candidates, all of it, and each query's k-th best score there is its bar in all others. Then a block of queries meets a block of
+candidates: their inner products are summed one group of dimensions after the other, those with the most energy first. What the
+remaining groups can still add is at most the sum of the products of their norms (Cauchy-Schwarz, group by group). Candidates that
+can't reach a query's bar are dropped, and the survivors are compacted as soon as that is less work than going on with all. Each
+pair of blocks gives k rows at most for each query, of which the k best stay.
 """
 
 from __future__ import annotations
@@ -13,40 +15,42 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sealstone.llm.common import saved, table
+from sealstone.llm.common import BROADCAST, saved, table
 
 TOP, EVERY, SCALE = 5, 50, 256.0
 CANDIDATES, QUERIES, GROUP = 4096, 512, 16
-#: Above this share of survivors the whole block is multiplied on; below, they are compacted.
+#: Multiplying a whole block takes so much less time for each pair than multiplying chosen pairs.
 DENSE = 0.1
 
 
-def best_in_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, top: int = TOP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """q and c: dimensions x vectors, whole numbers. Query ids, candidate ids and scores of each query's best in this block."""
-    dims = len(q)
-    groups = [slice(a, min(a + GROUP, dims)) for a in range(0, dims, GROUP)]
-    rest = lambda x: [np.sqrt((x[g.stop :] ** 2).sum(axis=0)) for g in groups]
-    q_rest, c_rest = rest(q), rest(c)
+def best_in_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, top: int = TOP, bar: np.ndarray | None = None, work: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """q and c: dimensions x vectors, whole numbers. Query ids, candidate ids and scores of each query's best in this block that reach
+    its bar. work: gets the pairs and dimensions that were multiplied."""
+    energy = (q * q).mean(axis=1) * (c * c).mean(axis=1)
+    order = np.argsort(-energy, kind="stable")
+    groups = [order[a : a + GROUP] for a in range(0, len(q), GROUP)]
+    norms = [np.stack([np.sqrt((x[g] ** 2).sum(axis=0)) for g in groups]) for x in (q, c)]
     score = np.zeros((q.shape[1], c.shape[1]))
     alive = q_ids[:, None] != c_ids[None, :]
+    bar = np.full(q.shape[1], -np.inf) if bar is None else bar.astype(np.float64)
     qi = ci = part = None
-
-    def threshold(lower: np.ndarray) -> np.ndarray:
-        return np.partition(lower, -top, axis=1)[:, -top] if lower.shape[1] > top else np.full(len(lower), -np.inf)
-
-    bar = np.full(q.shape[1], -np.inf)
-    for g, qr, cr in zip(groups, q_rest, c_rest):
+    for n, g in enumerate(groups):
+        if work is not None:
+            work.append((score.size if qi is None else len(qi), len(g)))
+        q_rest, c_rest = (x[n + 1 :] * (1 + 1e-9) for x in norms)
         if qi is None:
             score += q[g].T @ c[g]
-            slack = np.outer(qr, cr) * (1 + 1e-9) + 1e-6
-            bar = np.maximum(bar, threshold(np.where(alive, score - slack, -np.inf)))
+            slack = q_rest.T @ c_rest + 1e-6
+            if c.shape[1] > top:
+                lower = np.where(alive, score - slack, -np.inf)
+                bar = np.maximum(bar, np.partition(lower, -top, axis=1)[:, -top])
             alive &= score + slack >= bar[:, None]
             if alive.mean() < DENSE:
                 qi, ci = np.nonzero(alive)
                 part = score[qi, ci]
         else:
             part = part + np.einsum("ij,ij->j", q[g][:, qi], c[g][:, ci])
-            keep = part + qr[qi] * cr[ci] * (1 + 1e-9) + 1e-6 >= bar[qi]
+            keep = part + np.einsum("ij,ij->j", q_rest[:, qi], c_rest[:, ci]) + 1e-6 >= bar[qi]
             qi, ci, part = qi[keep], ci[keep], part[keep]
     if qi is None:
         qi, ci = np.nonzero(alive)
@@ -58,6 +62,16 @@ def best_in_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.nda
     return q_ids[qi[keep]], c_ids[ci[keep]], part[keep]
 
 
+def bars_in_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, top: int = TOP) -> np.ndarray:
+    """Each query's score of rank `top` in this block, multiplied in full."""
+    score = np.where(q_ids[:, None] != c_ids[None, :], q.T @ c, -np.inf)
+    return np.partition(score, -top, axis=1)[:, -top] if len(c_ids) >= top else np.full(len(q_ids), -np.inf)
+
+
+def _array(ids: bytes, dims: int, kind: str, vals: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(ids, "<i8"), np.frombuffer(vals, dtype=kind).reshape(dims, -1).astype(np.float64)
+
+
 def _blocks(vectors: DataFrame, size: int, scale: float) -> DataFrame:
     """vec_id, embedding to blocks: ids, dims and values as bytes, dimensions x vectors; vectors with holes are left out."""
 
@@ -89,18 +103,33 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, scale: float =
     """
     candidates = saved(_blocks(vectors, CANDIDATES, scale), "topk-candidates")
     queries = saved(_blocks(vectors.where(is_query), QUERIES, scale), "topk-queries")
-    # A stated query set against all rows, block by block: each query block goes to every group of candidate blocks.
-    n = max(1, candidates.count())
-    candidates = candidates.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(n)))
-    queries = queries.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
-    pairs = candidates.alias("c").join(queries.alias("q"), (F.col("c.g") == F.col("q.g")) & (F.col("c.dims") == F.col("q.dims")))
-    pairs = pairs.select("c.dims", *[F.col(f"{t}.{x}").alias(f"{t}_{x}") for t in "cq" for x in ("ids", "kind", "vals")])
+    first = candidates.groupBy("dims").agg(F.min_by(F.struct("ids", "kind", "vals"), F.xxhash64("ids")).alias("c"))  # one block
+
+    def with_bars(batches):
+        for pdf in batches:
+            bars = []
+            for r in pdf.itertuples():
+                bars.append(bars_in_block(*_array(r.ids, r.dims, r.kind, r.vals), *_array(r.c_ids, r.dims, r.c_kind, r.c_vals), top).tobytes())
+            yield pdf[["ids", "dims", "kind", "vals"]].assign(bar=bars)
+
+    queries = queries.join(first, "dims").select("ids", "dims", "kind", "vals", *[F.col(f"c.{x}").alias(f"c_{x}") for x in ("ids", "kind", "vals")])
+    queries = saved(queries.mapInPandas(with_bars, "ids binary, dims int, kind string, vals binary, bar binary"), "topk-bars")
+    # A stated query set against all rows, block by block: where the queries are few they go to every task, else each query block
+    # goes to every group of candidate blocks.
+    size = queries.agg(F.coalesce(F.sum(F.length("vals") + 2 * F.length("ids")), F.lit(0))).first()[0]
+    if size <= BROADCAST:
+        pairs = candidates.alias("c").join(F.broadcast(queries).alias("q"), F.col("c.dims") == F.col("q.dims"))
+    else:
+        n = max(1, candidates.count())
+        grouped = candidates.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(n)))
+        queries = queries.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+        pairs = grouped.alias("c").join(queries.alias("q"), (F.col("c.g") == F.col("q.g")) & (F.col("c.dims") == F.col("q.dims")))
+    pairs = pairs.select("c.dims", "q.bar", *[F.col(f"{t}.{x}").alias(f"{t}_{x}") for t in "cq" for x in ("ids", "kind", "vals")])
 
     def compare(batches):
         for pdf in batches:
             for r in pdf.itertuples():
-                q, c = (np.frombuffer(v, dtype=k).reshape(r.dims, -1).astype(np.float64) for v, k in ((r.q_vals, r.q_kind), (r.c_vals, r.c_kind)))
-                query, vec, score = best_in_block(np.frombuffer(r.q_ids, "<i8"), q, np.frombuffer(r.c_ids, "<i8"), c, top)
+                query, vec, score = best_in_block(*_array(r.q_ids, r.dims, r.q_kind, r.q_vals), *_array(r.c_ids, r.dims, r.c_kind, r.c_vals), top, np.frombuffer(r.bar))
                 yield pd.DataFrame({"query_id": query, "vec_id": vec, "score": score.astype(np.int64)})
 
     found = pairs.mapInPandas(compare, "query_id long, vec_id long, score long")
