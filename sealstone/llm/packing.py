@@ -136,4 +136,6 @@ def op6_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of docs and their places. What pack_documents says of nulls, empty and long texts, ties, repeated rows, empty tables and
+    other columns holds here."""
     return pack_documents(docs)

@@ -318,7 +318,10 @@ def near_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: the one with the smallest id, and of rows with that id the one with the smallest text hash."""
+    """One document of each component of near copies: the one with the smallest id, and of rows with that id the one with the smallest text
+    hash. Near copies are those of near_copies: sets of shingles decide, and SimHash comparison rules pairs out before. Texts without
+    words are one component; null ids come first; of repeated rows one stays; other columns go through; an empty table gives an empty one.
+    """
     found = saved(near_copies(docs), "copies-found").withColumnRenamed("component", "component_id")
     chosen = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "th")).alias("k"))
     rows = found.groupBy("doc_id", "th").agg(F.count("*").alias("rows"))

@@ -19,8 +19,8 @@ from sealstone.llm.common import saved, table
 
 #: The bound of the training sample: the labelled documents whose ids have the smallest hashes.
 MAX_LABELLED = 20_000
-#: Features of the model: at most so many, each more frequent in toxic than in other documents, with a z of at least MIN_Z.
-MAX_FEATURES, MIN_Z, MIN_DOCS = 20_000, 4.0, 5
+#: Features of the model: all that are more frequent in toxic than in other documents of the sample, with a z of at least MIN_Z.
+MIN_Z, MIN_DOCS = 4.0, 5
 GRADES = 3
 #: The share of clean documents of the sample that may fall above the cut; the cut is a probability of a half at most.
 FALSE_SHARE = 0.002
@@ -102,7 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     counts = sample.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
     p = (F.col("n") / (n1 + n0)).cast("double")
     z = (F.col("a") / n1 - (F.col("n") - F.col("a")) / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / n1 + 1 / n0))
-    chosen = counts.where(F.col("n") >= MIN_DOCS).withColumn("z", z).where(F.col("z") >= MIN_Z).orderBy(F.col("z").desc(), "feature").limit(MAX_FEATURES).select("feature").collect()
+    chosen = counts.where(F.col("n") >= MIN_DOCS).withColumn("z", z).where(F.col("z") >= MIN_Z).select("feature").orderBy("feature").collect()
     index = {r["feature"]: i for i, r in enumerate(chosen)}
 
     def select(batches):
@@ -112,8 +112,9 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     rows = sample.mapInPandas(select, "toxic int, cols array<int>").toPandas()
     marks = rows["cols"].map(len)
     grade = (rows["toxic"] * (1 + (marks > marks[rows["toxic"] == 1].median()))).to_numpy(dtype=np.int64)
-    order = np.argsort([f"{g}:{sorted(c)}" for g, c in zip(grade, rows["cols"])], kind="stable")  # sums in one order: reruns agree
-    cols = [np.sort(np.asarray(rows["cols"][i], dtype=np.int64)) for i in order]
+    cols = [np.sort(np.asarray(c, dtype=np.int64)) for c in rows["cols"]]
+    order = sorted(range(len(cols)), key=lambda i: (grade[i], cols[i].tobytes()))  # sums in one order: reruns agree
+    cols = [cols[i] for i in order]
     row, col = np.repeat(np.arange(len(cols)), [len(c) for c in cols]), np.concatenate([*cols, np.empty(0, dtype=np.int64)])
     w, theta = fit_ordinal(row, col, grade[order], len(index))
     p = _sigmoid(np.bincount(row, weights=w[col], minlength=len(cols)) - theta[0])
@@ -122,9 +123,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
 
 def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray, float]) -> DataFrame:
-    """Adds severity (0 to GRADES - 1) and p_toxic (the probability of a grade of 1 or more) to docs, which has a text.
-
-    Null and empty texts have no features; other columns, also those named like the new ones' parts, go through as they are.
+    """row (docs' columns, whatever their names), severity (0 to GRADES - 1) and p_toxic (the probability of a grade of 1 or more) of
+    each row of docs, which has a text. Null and empty texts have no features.
     """
     weights, theta, _ = model
     whole, start, end = ({f[1:]: w for f, w in weights.items() if f[0] == kind} for kind in "=^$")
@@ -150,7 +150,7 @@ def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray, float]) ->
         above = _sigmoid(np.array([of(t) for t in texts.fillna("")], dtype=float)[:, None] - theta)
         return pd.DataFrame({"severity": above.sum(axis=1), "p_toxic": above[:, 0]})
 
-    return docs.withColumn("_graded", graded("text")).select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_graded.severity").alias("severity"), F.col("_graded.p_toxic").alias("p_toxic"))
+    return docs.select(F.struct("*").alias("row"), graded("text").alias("graded")).select("row", "graded.severity", "graded.p_toxic")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -161,7 +161,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float | None = None,
     """
     model = train(docs, labels, max_labelled)
     scored = score(docs.select("doc_id", "text"), model)
-    return scored.select("doc_id", F.round("severity", 6).alias("severity"), F.round("p_toxic", 6).alias("p_toxic"), (F.col("p_toxic") >= (model[2] if threshold is None else threshold)).alias("rejected"))
+    return scored.select("row.doc_id", F.round("severity", 6).alias("severity"), F.round("p_toxic", 6).alias("p_toxic"), (F.col("p_toxic") >= (model[2] if threshold is None else threshold)).alias("rejected"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +169,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without those that are rejected."""
-    kept = docs.select(F.struct("*").alias("row"), "text")
+    """docs without those that are rejected, with all their columns. Null and empty texts, and repeated rows, are judged like others and stay
+    unless rejected; what toxicity says of labels and empty tables holds here."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    return score(kept, model).where(F.col("p_toxic") < model[2]).select("row.*")
+    return score(docs, model).where(F.col("p_toxic") < model[2]).select("row.*")
