@@ -20,7 +20,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents through all stages; the rows are the pieces of the last one, with their sequences."""
+    """documents through all stages; the rows are the pieces of the last one, with their sequences. Each stage states what it does with nulls,
+    empty and very long texts, ties, repeated rows, empty tables and other columns."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name)
