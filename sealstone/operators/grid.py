@@ -51,6 +51,13 @@ def brown_mask(pixels: DataFrame) -> DataFrame:
     return pixels.select("image", "x", "y", "h", "s", "v", s.cast("double").alias("signal"), mask.alias("mask"))
 
 
+def masked(pixels: DataFrame, modes: DataFrame) -> DataFrame:
+    """Adds signal and mask by each image's mode (image, mode: white_box or brown_box, as the rule book's color.mode has it). Images with
+    another mode, or none, are left out: their colour isn't checked."""
+    of = lambda mode: pixels.join(modes.where(F.col("mode") == mode).select("image"), "image", "left_semi")
+    return white_mask(of("white_box")).unionByName(brown_mask(of("brown_box")))
+
+
 def _around(kind, column: str, along: str, across: str, reach: int) -> Column:
     return kind(F.col(column)).over(Window.partitionBy("image", across).orderBy(along).rangeBetween(-reach, reach))
 

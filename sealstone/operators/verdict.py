@@ -115,8 +115,21 @@ def verdict_v2(orders: DataFrame, of: DataFrame, rules: DataFrame, double_seal_p
     return staged.select(*[F.col(c) for c in orders.columns if c != "lob"], *[out[c].alias(c) for c in VERDICT])
 
 
+def failures(recognised: DataFrame) -> DataFrame:
+    """(order_id, error) of the orders with a photo of which the recogniser failed, from what sources.hooks.recognised returns; the error
+    is that of the first such photo."""
+    return recognised.where("error is not null").groupBy("order_id").agg(F.min_by("error", "image_idx").alias("error"))
+
+
+#: What a failed order's row has in these columns; texts say ERROR, all else is null.
+FAILED = {"seal_exists": -1, "position_valid": -1, "paste_error": -1, "dual_code": -1, "detail": "ERROR", "dual_detail": "ERROR", "keyword": "ERROR", "stamp_time": "ERROR", "stamp_place": "ERROR"}
+
+
 def quarantined(verdicts: DataFrame, failed: DataFrame) -> DataFrame:
-    """Verdicts and, for failed rows (order_id, error), rows with the codes -1, null texts and the error."""
-    marks = {"seal_exists": -1, "position_valid": -1}
-    bad = failed.select("order_id", *[F.lit(marks.get(c)).cast(verdicts.schema[c].dataType).alias(c) for c in verdicts.columns if c != "order_id"], "error")
-    return verdicts.withColumn("error", F.lit(None).cast("string")).unionByName(bad)
+    """Verdicts of either version with an error column; orders in failed (order_id, error) keep their other columns and have FAILED in the
+    verdict's own, whatever it said."""
+    bad = failed.select(F.col("order_id").alias("_failed"), F.col("error").alias("_error"))
+    own = {*FAILED, *VERDICT} - {"lob"}
+    both = verdicts.join(bad, F.col("order_id") == F.col("_failed"), "left")
+    keep = lambda c: F.when(F.col("_failed").isNull(), F.col(c)).otherwise(F.lit(FAILED.get(c)).cast(verdicts.schema[c].dataType)).alias(c) if c in own else F.col(c)
+    return both.select(*[keep(c) for c in verdicts.columns], F.col("_error").alias("error"))

@@ -161,12 +161,20 @@ def verdict_projection(spark, d):
     return v.select("order_id", F.col("rel_x").isNotNull().alias("has_x"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("box_method", "box_quad_src")])
 
 
-@query("SELECT order_id, is_compliant, seal_exists, position_valid, CASE WHEN length(order_id) % 2 = 1 THEN NULL ELSE detail END AS detail, NULL::VARCHAR AS error FROM verdict WHERE length(order_id) % 2 = 0 UNION ALL SELECT order_id, NULL, -1, -1, NULL, 'unreadable' FROM fx_orders WHERE length(order_id) % 2 = 1")
+@query("""SELECT order_id, CASE WHEN bad THEN NULL ELSE is_compliant END AS is_compliant, CASE WHEN bad THEN -1 ELSE seal_exists END AS seal_exists, CASE WHEN bad THEN -1 ELSE position_valid END AS position_valid,
+  CASE WHEN bad THEN 'ERROR' ELSE detail END AS detail, CASE WHEN bad THEN 'ValueError: unreadable' END AS error FROM verdict JOIN (SELECT o.order_id, coalesce(bool_or(j = 3), false) AS bad FROM fx_orders o LEFT JOIN fx_photos p USING (order_id) GROUP BY 1) USING (order_id)""")
 def quarantine(spark, d):
-    """Orders of which a step failed (here: those with an odd number of digits) beside the others' verdicts."""
-    failed = inputs.orders(spark, d).where("length(order_id) % 2 = 1").select("order_id", F.lit("unreadable").alias("error"))
-    done = verdict_v2(spark, d).where("length(order_id) % 2 = 0").select("order_id", "is_compliant", "seal_exists", "position_valid", "detail")
-    return verdict.quarantined(done, failed)
+    """A recogniser that fails for some photos: their orders become error rows, beside the others' verdicts."""
+
+    def recognise(content: bytes) -> str:
+        if content == b"!":
+            raise ValueError("unreadable")
+        return "{}"
+
+    read = _photos(spark, d).select("order_id", "image_idx", "status", F.when(F.col("j") == 3, "!").otherwise("").cast("binary").alias("content"))
+    failed = saved(verdict.failures(hooks.recognised(read, lambda: recognise)), "failed")
+    v = verdict_v2(spark, d).select("order_id", "is_compliant", "seal_exists", "position_valid", "detail")
+    return verdict.quarantined(v, failed)
 
 
 @query("SELECT o.*, length(o.order_id) AS extra, seal_exists, keyword FROM fx_orders o JOIN verdict1 v ON v.order_id = o.order_id")
@@ -200,15 +208,16 @@ def resume_anti_join(spark, d):
 _CORNERS = """
 corners AS (SELECT order_id, image_idx, k, 100 + 11 * k + d AS x0, 80 + 7 * k AS y0, 100 + w - 5 * k + d AS x1, 80 + 3 * k + j AS y1, 100 + w - 3 * k + d AS x2, 80 + h - 9 * k AS y2, 100 + 2 * k + j + d AS x3, 80 + h - 4 * k AS y3, w, h, j
   FROM (SELECT *, CASE WHEN k = 2 THEN 120 ELSE 0 END AS d FROM fx_photos, (VALUES (0), (1), (2)) t(k))),
-quads AS (SELECT *, abs((x0 * y1 - x1 * y0) + (x1 * y2 - x2 * y1) + (x2 * y3 - x3 * y2) + (x3 * y0 - x0 * y3)) / 2 AS area, (x0 + x1 + x2 + x3) / 4 AS mx, (y0 + y1 + y2 + y3) / 4 AS my FROM corners),
+quads AS MATERIALIZED (SELECT *, abs((x0 * y1 - x1 * y0) + (x1 * y2 - x2 * y1) + (x2 * y3 - x3 * y2) + (x3 * y0 - x0 * y3)) / 2 AS area, (x0 + x1 + x2 + x3) / 4 AS mx, (y0 + y1 + y2 + y3) / 4 AS my FROM corners),
 sized AS (SELECT *, greatest(sqrt(power(x0 - x1, 2) + power(y0 - y1, 2)), sqrt(power(x3 - x2, 2) + power(y3 - y2, 2))) AS qw, greatest(sqrt(power(x0 - x3, 2) + power(y0 - y3, 2)), sqrt(power(x1 - x2, 2) + power(y1 - y2, 2))) AS qh FROM quads),
 inside AS (SELECT q.order_id, q.image_idx, q.k, b.text_idx, ((x1 - x0) * (b.cy - y0) - (y1 - y0) * (b.cx - x0)) AS c0, ((x2 - x1) * (b.cy - y1) - (y2 - y1) * (b.cx - x1)) AS c1, ((x3 - x2) * (b.cy - y2) - (y3 - y2) * (b.cx - x2)) AS c2, ((x0 - x3) * (b.cy - y3) - (y0 - y3) * (b.cx - x3)) AS c3
   FROM quads q JOIN pb b ON q.order_id = b.order_id AND q.image_idx = b.image_idx WHERE b.is_seal),
-within AS (SELECT order_id, image_idx, k, text_idx FROM inside WHERE least(c0, c1, c2, c3) >= 0 OR greatest(c0, c1, c2, c3) <= 0),
-scored AS (SELECT s.*, o.aspect_lo, o.aspect_hi, CASE WHEN EXISTS (SELECT 1 FROM within i WHERE i.order_id = s.order_id AND i.image_idx = s.image_idx AND i.k = s.k) THEN 2 ELSE 0 END
+within AS MATERIALIZED (SELECT order_id, image_idx, k, text_idx FROM inside WHERE least(c0, c1, c2, c3) >= 0 OR greatest(c0, c1, c2, c3) <= 0),
+scored AS (SELECT s.*, o.aspect_lo, o.aspect_hi, CASE WHEN i.k IS NOT NULL THEN 2 ELSE 0 END
     + CASE WHEN aspect_lo IS NULL THEN 0 WHEN greatest(qw, qh) / greatest(least(qw, qh), 1) BETWEEN aspect_lo AND aspect_hi THEN 1.5
       ELSE greatest(0, 1 - 0.6 * greatest(aspect_lo - greatest(qw, qh) / greatest(least(qw, qh), 1), greatest(qw, qh) / greatest(least(qw, qh), 1) - aspect_hi)) END
-    + 0.15 * least(1, sqrt(area / 800000)) AS score FROM sized s JOIN ord o ON s.order_id = o.order_id)
+    + 0.15 * least(1, sqrt(area / 800000)) AS score
+  FROM sized s JOIN ord o ON s.order_id = o.order_id LEFT JOIN (SELECT DISTINCT order_id, image_idx, k FROM within) i ON i.order_id = s.order_id AND i.image_idx = s.image_idx AND i.k = s.k)
 """
 
 
@@ -636,14 +645,27 @@ def grid_edge_strength(spark, d):
     return g.groupBy("image").agg(F.round(F.avg("grad"), 4).alias("edge"), F.count("*").alias("n"))
 
 
-@query()
+@query(f", {_BROWN}, {_REGIONS}, " + """px AS MATERIALIZED (SELECT image, region, x, y FROM low JOIN (SELECT image, x, y, y * 65536 + (x // 8) * 8 AS id FROM brown WHERE m) USING (image, id)),
+ring AS (SELECT p.image, p.region, p.x, p.y FROM px p LEFT JOIN px q ON p.image = q.image AND p.region = q.region AND abs(p.x - q.x) + abs(p.y - q.y) = 1 GROUP BY ALL HAVING count(q.x) < 4),
+sizes AS (SELECT image, region, count(*) AS area FROM px GROUP BY ALL),
+cols AS (SELECT image, region, x, max(y) AS t, min(y) AS b FROM px GROUP BY ALL),
+env AS (SELECT c.image, c.region, c.x, max(CASE WHEN a.x = e.x THEN a.t ELSE a.t + (e.t - a.t) * (c.x - a.x) / (e.x - a.x) END) - min(CASE WHEN a.x = e.x THEN a.b ELSE a.b + (e.b - a.b) * (c.x - a.x) / (e.x - a.x) END) AS high
+  FROM cols c JOIN cols a ON c.image = a.image AND c.region = a.region AND a.x <= c.x JOIN cols e ON c.image = e.image AND c.region = e.region AND e.x >= c.x GROUP BY ALL),
+hulls AS (SELECT image, region, coalesce(sum((high + next) / 2), 0) AS hull FROM (SELECT *, lead(high) OVER (PARTITION BY image, region ORDER BY x) AS next FROM env) GROUP BY ALL)
+SELECT image, region, area, round(CASE WHEN hull >= 1 THEN least(1, greatest(area - n / 2 - 1, 0) / hull) ELSE 0 END, 6) AS solidity FROM sizes JOIN (SELECT image, region, count(*) AS n FROM ring GROUP BY ALL) USING (image, region) JOIN hulls USING (image, region)""")
 def grid_solidity(spark, d):
-    return grid.solidity(grid.regions(grid.brown_mask(_pixels(spark, d))))
+    return grid.solidity(grid.regions(grid.brown_mask(_pixels(spark, d)))).withColumn("solidity", F.round("solidity", 6))
+
+
+SQL["grid_solidity"] = SQL["grid_solidity"].replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 @query()
 def foreign_patch(spark, d):
-    return grid.foreign_patches(grid.white_mask(grid.inset(_pixels(spark, d))))
+    """Images in turn are of white and of brown boxes, and each is masked by its mode."""
+    pixels = grid.inset(_pixels(spark, d))
+    modes = pixels.select("image").distinct().withColumn("mode", F.when(F.col("image") % 2 == 0, "white_box").otherwise("brown_box"))
+    return grid.foreign_patches(grid.masked(pixels, modes))
 
 
 # Composites

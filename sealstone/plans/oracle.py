@@ -27,11 +27,12 @@ def stamp(parts: str) -> tuple[str, str]:
     return time, squeeze(f"list_filter({kept}, lambda s: NOT {is_time} AND {share} >= 0.4)")
 
 
-FX = "WITH " + ",\n".join(f"{k} AS ({v.replace('DIV', '//')})" for k, v in VIEWS.items()) + rf""",
+_OFTEN = ("fx_boxes", "fx_photos")  # what several steps read is computed once
+FX = "WITH " + ",\n".join(f"{k} AS {'MATERIALIZED ' * (k in _OFTEN)}({v.replace('DIV', '//')})" for k, v in VIEWS.items()) + rf""",
 rules(lob, mode, aspect_lo, aspect_hi, has_auth, color) AS (VALUES {_RULES}),
 zones(lob, role, nth, x_min, x_max, y_min, y_max) AS (VALUES {_ZONES}),
 ord AS (SELECT order_id, coalesce(r.lob, 'UNKNOWN LOB') AS lob, mode, aspect_lo, aspect_hi, coalesce(has_auth, false) AS has_auth, color FROM fx_orders o LEFT JOIN rules r ON trim(o.lob) = r.lob),
-pb AS (
+pb AS MATERIALIZED (
   SELECT b.*, cx - 100 AS x, cy - 80 AS y, p.w, p.h, p.method, p.j, (cx - 100) / p.w AS rx, (cy - 80) / p.h AS ry, o.lob, o.mode, o.has_auth,
          2 * hh * hw / sqrt(hw * hw + sk * sk) AS short, degrees(atan2(sk, hw)) AS angle, contains(text, '扫码即领') AS is_seal,
          contains(text, '授权专营店') OR contains(text, '在你身边') AS is_auth

@@ -82,6 +82,18 @@ def incremental_run(spark, d):
     return spark.read.parquet(out).select("order_id", "digits")
 
 
+@query("SELECT 0 AS batch, count(*) AS done, 0 AS failed FROM fx_orders WHERE CAST(order_id AS BIGINT) % 2 = 0 UNION ALL SELECT 1, count(*), count(*) FILTER (WHERE length(order_id) = 3) FROM fx_orders WHERE CAST(order_id AS BIGINT) % 2 = 1")
+def live_progress(spark, d):
+    """What a run tells batch by batch; here odd ids of three digits fail."""
+    src, out, mark, told = _fresh(spark, "orders"), _fresh(spark, "judged"), _fresh(spark, "progress"), []
+    for part in _halves(inputs.orders(spark, d)):
+        part.write.mode("append").parquet(src)
+        stream = incremental.new_orders(spark, src, "parquet", "order_id string, lob string")
+        error = F.when((F.length("order_id") == 3) & (F.col("order_id").cast("long") % 2 == 1), "unreadable").alias("error")
+        incremental.run_available(stream, lambda df: df.select("order_id", error), out, mark, progress=lambda *x: told.append(x)).awaitTermination()
+    return spark.createDataFrame(told, "batch int, done long, failed long")
+
+
 @query("SELECT order_id, count(*) AS n FROM fx_orders GROUP BY order_id")
 def once_per_order(spark, d):
     """Orders sent twice in one batch, judged once each."""
@@ -116,7 +128,7 @@ def recogniser_hook(spark, d):
     return found.select("order_id", "image_idx", F.size("detections").cast("long").alias("n_texts"), F.size(F.filter("detections", lambda x: x["text"].contains("扫码即领"))).cast("long").alias("n_seals"))
 
 
-@query()
+@query("SELECT lpad(CAST(i AS VARCHAR), 5, '0') AS photo, true AS there FROM range(4) t(i)")
 def photo_source(spark, d):
     """Photos as files of an object store; here the parts of a written table stand for them."""
     path = _fresh(spark, "photos")

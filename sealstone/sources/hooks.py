@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, wait
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,8 +14,9 @@ from sealstone.schema import DETECTIONS
 RECOGNISED = "res struct<rec_texts:array<string>,dt_polys:array<array<array<double>>>,boxes:array<array<array<double>>>>"
 
 
-def fetched(photos: DataFrame, fetch: Callable[[str], bytes], threads: int = 8) -> DataFrame:
-    """photos (order_id, image_idx, url) with content, status (ok, missing or failed) and error; each batch is fetched by a few threads."""
+def fetched(photos: DataFrame, fetch: Callable[[str], bytes], threads: int = 8, timeout: float = 15.0) -> DataFrame:
+    """photos (order_id, image_idx, url) with content, status (ok, missing or failed) and error; a few threads fetch as many urls at a time.
+    What isn't there after `timeout` seconds has failed, and threads that still wait are left to themselves."""
 
     def one(url):
         if not url:
@@ -27,9 +28,18 @@ def fetched(photos: DataFrame, fetch: Callable[[str], bytes], threads: int = 8)
             return None, "failed", f"{type(e).__name__}: {e}"
 
     def run(batches):
-        with ThreadPoolExecutor(threads) as pool:
-            for pdf in batches:
-                yield pdf.join(pd.DataFrame([*pool.map(one, pdf["url"])], columns=["content", "status", "error"], index=pdf.index))
+        pool = ThreadPoolExecutor(threads)
+        for pdf in batches:
+            out, urls = [], pdf["url"].tolist()
+            for at in range(0, len(urls), threads):
+                futures = [pool.submit(one, u) for u in urls[at : at + threads]]
+                done, late = wait(futures, timeout)
+                out += [f.result() if f in done else (None, "failed", f"TimeoutError: not there after {timeout:g} s") for f in futures]
+                if late:
+                    pool.shutdown(wait=False, cancel_futures=True)
+                    pool = ThreadPoolExecutor(threads)
+            yield pdf.join(pd.DataFrame(out, columns=["content", "status", "error"], index=pdf.index))
+        pool.shutdown(wait=False)
 
     return photos.select("order_id", "image_idx", "url").mapInPandas(run, "order_id string, image_idx int, url string, content binary, status string, error string")
 

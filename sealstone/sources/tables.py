@@ -50,8 +50,8 @@ def create_empty(df: DataFrame, path: str) -> None:
     df.limit(0).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def export(spark: SparkSession, path: str, to: str, fmt: str = "parquet", files: int | None = 1, schema: str | None = None) -> DataFrame:
-    """All appended results as one export; files=None keeps the parts for results that one task can't write."""
+def export(spark: SparkSession, path: str, to: str, fmt: str = "parquet", files: int | None = None, schema: str | None = None) -> DataFrame:
+    """All appended results as one export; files=1 puts results that one task can write into one file."""
     df = read_results(spark, path, schema)
     out = (df.coalesce(files) if files else df).write.mode("overwrite")
     (out.option("header", True).csv(to) if fmt == "csv" else out.format(fmt).save(to))

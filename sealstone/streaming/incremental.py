@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sealstone.operators.photos import resume
@@ -24,11 +25,12 @@ def _done(spark: SparkSession, path: str, schema) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def run_available(orders: DataFrame, judge: Callable[[DataFrame], DataFrame], results: str, checkpoint: str, once_per_order: bool = False, retry_errors: bool = False) -> StreamingQuery:
+def run_available(orders: DataFrame, judge: Callable[[DataFrame], DataFrame], results: str, checkpoint: str, once_per_order: bool = False, retry_errors: bool = False, progress: Callable[[int, int, int], None] | None = None) -> StreamingQuery:
     """Judges what has come since the last run, batch by batch, and appends it to `results` (Parquet, a folder for each batch).
 
     Orders whose id is in the results already are skipped; orders repeated within a batch are all judged, unless once_per_order. A
     batch that is run again after a failure overwrites its own folder and doesn't see its own earlier rows, so results stay exact.
+    progress: is told each batch's id, its orders and those of them with an error (where judge gives an error), counted as they are written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -38,7 +40,11 @@ def run_available(orders: DataFrame, judge: Callable[[DataFrame], DataFrame], re
         left = resume(batch, done.where(f"batch_id <> {batch_id}"), retry_errors)
         if once_per_order:
             left = left.dropDuplicates(["order_id"])
-        judge(left).write.mode("overwrite").parquet(f"{results}/batch_id={batch_id}")
+        judged, seen = judge(left), Observation()
+        failed = F.count("error") if "error" in judged.columns else F.lit(0).cast("long")
+        judged.observe(seen, F.count(F.lit(1)).alias("done"), failed.alias("failed")).write.mode("overwrite").parquet(f"{results}/batch_id={batch_id}")
+        if progress:
+            progress(batch_id, seen.get["done"], seen.get["failed"])
 
     return orders.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
