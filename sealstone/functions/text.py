@@ -70,3 +70,12 @@ def parse_stamp(segments: Column) -> Column:
     time = F.transform(F.filter(parts, _is_time), lambda s: strip(F.regexp_replace(s, "[|｜]", " ")))
     place = F.filter(F.filter(parts, lambda s: ~_is_time(s)), lambda s: cjk_share(s) >= CJK_SHARE)
     return F.struct(_squeezed(time).alias("time"), _squeezed(place).alias("place"))
+
+
+def number(v: Column, digits: int, signed: bool = False) -> Column:
+    """A number with a fixed count of decimals, halves rounded up."""
+    return F.format_string(f"%{'+' * signed}.{digits}f", F.round(v, digits))
+
+
+def placed(x: Column, y: Column) -> Column:
+    return F.concat(F.lit("rel_x="), number(x, 3), F.lit(", rel_y="), number(y, 3))

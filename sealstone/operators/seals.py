@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sealstone.functions import geometry as G
 from sealstone.functions import zones as Z
-from sealstone.functions.text import contains_any, endpiece
+from sealstone.functions.text import contains_any, endpiece, number
 from sealstone.rules import ANGLE_MAX, AUTH_WORDS, DEALER, SCAN, TOLERANCE
 
 
@@ -69,8 +69,8 @@ def placement(detections: Column, seal: Column, w: Column, h: Column, zones: Col
 
     def judged(p: Column) -> Column:
         zone, angle, code = p["zone"], p["angle"], p["code"]
-        axes = F.concat(F.when(zone["x_ok"], "").otherwise("x"), F.when(zone["y_ok"], "").otherwise("y"))
-        detail = F.when(code == 0, F.concat(F.lit("outside the zone: "), axes)).when(code == 3, "turned").when(code == 2, "flat").otherwise("in place")
+        turned = F.concat(F.lit("turned by "), number(angle["angle"], 1, True), F.lit(f"°, limit ±{ANGLE_MAX:.0f}°"))
+        detail = F.when(code == 3, turned).when(code == 2, "flat: its end piece shows").otherwise(Z.explained(p["x"], p["y"], zone, tolerance))
         return F.struct(code.alias("position_valid"), F.round(p["x"], 4).alias("rel_x"), F.round(p["y"], 4).alias("rel_y"), F.when(zone["ok"], angle["angle"]).alias("angle"), detail.alias("detail"))
 
     def tested(p: Column) -> Column:

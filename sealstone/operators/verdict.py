@@ -86,19 +86,21 @@ def verdict_v2(orders: DataFrame, of: DataFrame, rules: DataFrame, double_seal_p
         return F.struct(as_col(compliant).alias("is_compliant"), as_col(exists).alias("seal_exists"), as_col(position).alias("position_valid"), as_col(code).alias("dual_code"), as_col(detail).alias("detail"), as_col(why).alias("dual_detail"), F.lit(seen).alias("placed"))
 
     skipped = "skipped"
+    told = F.concat(F.lit("["), r["method"], F.lit("] "), place["detail"])
+    there = lambda what: F.concat(F.lit(f"second seal {what} ("), T.placed(auth["rel_x"], auth["rel_y"]), F.lit(")"))
     exits = (
         F.when(~known, verdict(0, 0, -1, -1, "unknown product line", skipped, False))
         .when(b.isNull() & F.col("dealer").isNotNull(), verdict(0, 0, 0, -1, F.concat(F.lit("dealer's own sticker: "), F.substring("dealer", 1, 50)), skipped, False))
         .when(b.isNull(), verdict(0, 0, -1, -1, "no photo of the front with a seal", skipped, False))
         .when(foreign, verdict(0, 1, 4, -1, "foreign sticker", skipped, False))
         .when(F.col("main").isNull(), verdict(0, 0, -1, -1, "seal not located", skipped, False))
-        .when(place["position_valid"] != 1, verdict(0, 1, place["position_valid"], -1, place["detail"], skipped))
-        .when(dual["code"] == 2, verdict(twice, 1, 1, 2, place["detail"], dual["detail"]))
-        .when(dual["code"] == 3, verdict(0, 1, 1, 3, place["detail"], dual["detail"]))
-        .when(second & ~auth["found"], verdict(1, 1, 1, 0, place["detail"], "second seal outside the box"))
-        .when(second & ~auth["ok"], verdict(0, 1, 1, 1, place["detail"], "second seal misplaced"))
-        .when(second, verdict(1, 1, 1, 1, place["detail"], "second seal in place"))
-        .otherwise(verdict(1, 1, 1, dual["code"], place["detail"], dual["detail"]))
+        .when(place["position_valid"] != 1, verdict(0, 1, place["position_valid"], -1, told, skipped))
+        .when(dual["code"] == 2, verdict(twice, 1, 1, 2, told, dual["detail"]))
+        .when(dual["code"] == 3, verdict(0, 1, 1, 3, told, dual["detail"]))
+        .when(second & ~auth["found"], verdict(1, 1, 1, 0, told, "second seal outside the box"))
+        .when(second & ~auth["ok"], verdict(0, 1, 1, 1, told, there("misplaced")))
+        .when(second, verdict(1, 1, 1, 1, told, there("in place")))
+        .otherwise(verdict(1, 1, 1, dual["code"], told, dual["detail"]))
     )
     staged = staged.withColumn("v", exits)
     seen = b.isNotNull() & known

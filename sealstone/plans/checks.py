@@ -463,7 +463,7 @@ def cjk_ratio_filter(spark, d):
 @query("SELECT order_id, image_idx, text_idx, printf('rel_x=%.3f, rel_y=%.3f', (cx + 0.1) / 7000, (cy + 0.1) / 7000) AS detail FROM fx_boxes")
 def detail_text(spark, d):
     f = inputs.view(spark, d, "fx_boxes")
-    return f.select("order_id", "image_idx", "text_idx", F.format_string("rel_x=%.3f, rel_y=%.3f", (F.col("cx") + 0.1) / 7000, (F.col("cy") + 0.1) / 7000).alias("detail"))
+    return f.select("order_id", "image_idx", "text_idx", T.placed((F.col("cx") + 0.1) / 7000, (F.col("cy") + 0.1) / 7000).alias("detail"))
 
 
 @query("SELECT order_id, image_idx, text_idx, round((cx + 0.01) / 7000, 4) AS r4, round((cy + 0.01) / 70, 2) AS r2 FROM fx_boxes")

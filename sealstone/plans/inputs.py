@@ -16,12 +16,12 @@ VIEWS = {
 SELECT CAST(o_orderkey AS STRING) AS order_id, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CASE o_custkey % 7 WHEN 0 THEN 'iPhone' WHEN 1 THEN ' Watch '
   WHEN 2 THEN 'AirPods' WHEN 3 THEN 'Accy.' WHEN 4 THEN 'iPad' WHEN 5 THEN 'Mac' ELSE 'Vision' END END AS lob FROM orders""",
     "fx_boxes": """
-SELECT CAST(l_orderkey AS STRING) AS order_id, CAST(l_linenumber AS INT) AS image_idx,
-  CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS INT) AS text_idx,
+SELECT CAST(l_orderkey AS STRING) AS order_id, CAST((l_linenumber - 1) % 4 + 1 AS INT) AS image_idx,
+  CAST(row_number() OVER (PARTITION BY l_orderkey, (l_linenumber - 1) % 4 ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity, l_linenumber) - 1 AS INT) AS text_idx,
   CASE l_suppkey % 8 WHEN 0 THEN '扫码即领' WHEN 1 THEN '扫码即领' WHEN 2 THEN '扫码即领 1000' WHEN 3 THEN 'Apple授权专营店' WHEN 4 THEN '授权经销商'
     WHEN 5 THEN ' AUTHORIZED Reseller' WHEN 6 THEN 'iPhone 15' ELSE 'made in cn' END AS text,
-  100 + (l_partkey * 37) % 520 AS cx, 80 + (l_suppkey * 53) % 420 AS cy, 10 + CAST(floor(l_quantity) AS INT) AS hw, 4 + l_linenumber AS hh, (l_partkey % 21) - 10 AS sk
-FROM lineitem WHERE l_linenumber <= 4""",
+  100 + (l_partkey * 37) % 520 AS cx, 80 + (l_suppkey * 53) % 420 AS cy, 10 + CAST(floor(l_quantity) AS INT) AS hw, 5 + (l_linenumber - 1) % 4 AS hh, (l_partkey % 21) - 10 AS sk
+FROM lineitem""",
     "fx_photos": """
 SELECT order_id, image_idx, 1000 AS img_w, 800 AS img_h, 200 + (sum(cx) % 5) * 80 AS w, 160 + (sum(cy) % 5) * 80 AS h,
   CASE WHEN sum(cx) % 10 = 0 THEN 'fallback' WHEN sum(cx) % 10 <= 2 THEN 'bright' ELSE 'edge' END AS method, min(cx) % 17 AS j,

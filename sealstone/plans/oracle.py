@@ -37,12 +37,13 @@ pb AS MATERIALIZED (
          2 * hh * hw / sqrt(hw * hw + sk * sk) AS short, degrees(atan2(sk, hw)) AS angle, contains(text, '扫码即领') AS is_seal,
          contains(text, '授权专营店') OR contains(text, '在你身边') AS is_auth
   FROM fx_boxes b JOIN fx_photos p USING (order_id, image_idx) JOIN ord o USING (order_id)),
-tried AS (SELECT order_id, image_idx, text_idx, nth, {_NEAR}, {_GAP} AS gap FROM pb JOIN zones z ON z.lob = pb.lob AND z.role = 'scan' WHERE is_seal),
+tried AS (SELECT order_id, image_idx, text_idx, nth, z.x_min, z.x_max, z.y_min, z.y_max, {_NEAR}, {_GAP} AS gap FROM pb JOIN zones z ON z.lob = pb.lob AND z.role = 'scan' WHERE is_seal),
 zoned AS (
-  SELECT order_id, image_idx, text_idx, bool_or(x_ok AND y_ok) AS ok, arg_max(x_ok, 10 * (x_ok::INT + y_ok::INT) - nth) AS x_ok, arg_max(y_ok, 10 * (x_ok::INT + y_ok::INT) - nth) AS y_ok, min(gap) AS gap
+  SELECT order_id, image_idx, text_idx, bool_or(x_ok AND y_ok) AS ok, arg_max(x_ok, 10 * (x_ok::INT + y_ok::INT) - nth) AS x_ok, arg_max(y_ok, 10 * (x_ok::INT + y_ok::INT) - nth) AS y_ok, min(gap) AS gap,
+         count(*) AS n_zones, {", ".join(f"arg_max({b}, 10 * (x_ok::INT + y_ok::INT) - nth) AS {b}" for b in ("x_min", "x_max", "y_min", "y_max"))}
   FROM tried GROUP BY ALL),
 seals AS (
-  SELECT pb.*, coalesce(ok, false) AS ok, coalesce(x_ok, false) AS x_ok, coalesce(y_ok, false) AS y_ok, gap,
+  SELECT pb.*, coalesce(ok, false) AS ok, coalesce(x_ok, false) AS x_ok, coalesce(y_ok, false) AS y_ok, gap, n_zones, x_min, x_max, y_min, y_max,
          row_number() OVER (PARTITION BY order_id, image_idx ORDER BY CASE WHEN lob <> 'UNKNOWN LOB' THEN gap ELSE 0 END, CASE WHEN lob <> 'UNKNOWN LOB' THEN ry ELSE 0 END, text_idx) AS rank
   FROM pb LEFT JOIN zoned USING (order_id, image_idx, text_idx) WHERE is_seal),
 flat AS (
@@ -74,7 +75,7 @@ best AS (
 dealers AS (SELECT order_id, arg_min(substr(first_text, 1, 40), image_idx) AS dealer FROM photo WHERE texts >= 2 AND NOT official GROUP BY order_id),
 stamps AS (SELECT DISTINCT ON (order_id) order_id, {stamp("[stamp_1, stamp_2]")[0]} AS stamp_time, {stamp("[stamp_1, stamp_2]")[1]} AS stamp_place FROM fx_photos ORDER BY order_id, image_idx),
 verdicts AS (
-  SELECT o.order_id, o.lob, b.image_idx, b.w, b.h, b.method, b.color, m.position, m.rx, m.ry, m.angle, m.ok, m.x_ok, m.y_ok, d.dealer, b.code, b.second AND o.has_auth AS second, a.order_id IS NOT NULL AS found, coalesce(a.ok, false) AS auth_ok,
+  SELECT o.order_id, o.lob, b.image_idx, b.w, b.h, b.method, b.color, m.position, m.rx, m.ry, m.angle, m.ok, m.x_ok, m.y_ok, m.n_zones, m.x_min, m.x_max, m.y_min, m.y_max, a.rel_x AS ax, a.rel_y AS ay, d.dealer, b.code, b.second AND o.has_auth AS second, a.order_id IS NOT NULL AS found, coalesce(a.ok, false) AS auth_ok,
          CASE WHEN o.lob = 'UNKNOWN LOB' THEN 1 WHEN b.order_id IS NULL THEN CASE WHEN d.dealer IS NOT NULL THEN 2 ELSE 3 END WHEN m.position <> 1 THEN 6 WHEN b.code = 2 THEN 7 WHEN b.code = 3 THEN 8
            WHEN b.second AND o.has_auth THEN CASE WHEN a.order_id IS NULL THEN 9 WHEN NOT a.ok THEN 10 ELSE 11 END ELSE 12 END AS way, t.stamp_time, t.stamp_place
   FROM ord o LEFT JOIN best b USING (order_id) LEFT JOIN placed m ON m.order_id = b.order_id AND m.image_idx = b.image_idx AND m.rank = 1
@@ -87,9 +88,13 @@ verdict AS (
     CASE WHEN way > 3 THEN '[[100.0,80.0],[' || (100 + w) || '.0,80.0],[' || (100 + w) || '.0,' || (80 + h) || '.0],[100.0,' || (80 + h) || '.0]]' END AS box_quad_src,
     CASE WHEN way > 3 THEN 1 ELSE 0 END AS color_checked, CASE WHEN way > 3 THEN color ELSE '' END AS color_mode,
     CASE WHEN way = 1 THEN 'unknown product line' WHEN way = 2 THEN 'dealer''s own sticker: ' || dealer WHEN way = 3 THEN 'no photo of the front with a seal'
-      WHEN position = 0 THEN 'outside the zone: ' || CASE WHEN x_ok THEN '' ELSE 'x' END || CASE WHEN y_ok THEN '' ELSE 'y' END WHEN position = 3 THEN 'turned' WHEN position = 2 THEN 'flat' ELSE 'in place' END AS detail,
+      ELSE '[axis_aligned] ' || CASE WHEN position = 0 THEN 'outside the zone' || CASE WHEN n_zones > 1 THEN ' (any of ' || n_zones || ')' ELSE '' END || ': '
+          || concat_ws('; ', CASE WHEN NOT x_ok THEN printf('X=%.3f', round(rx, 3)) || ' not in [' || x_min || ',' || x_max || ']±0.15' END, CASE WHEN NOT y_ok THEN printf('Y=%.3f', round(ry, 3)) || ' not in [' || y_min || ',' || y_max || ']±0.15' END)
+        WHEN position = 3 THEN printf('turned by %+.1f', round(round(round(angle, 9), 2), 1)) || '°, limit ±30°' WHEN position = 2 THEN 'flat: its end piece shows'
+        ELSE printf('in place (rel_x=%.3f, rel_y=%.3f', round(rx, 3), round(ry, 3)) || ', tolerance ±0.15)' END END AS detail,
     CASE WHEN way <= 6 THEN -1 WHEN way IN (7, 8, 12) THEN code WHEN way = 9 THEN 0 ELSE 1 END AS dual_code,
-    CASE way WHEN 7 THEN 'two seals' WHEN 8 THEN 'second seal missing' WHEN 9 THEN 'second seal outside the box' WHEN 10 THEN 'second seal misplaced' WHEN 11 THEN 'second seal in place'
+    CASE way WHEN 7 THEN 'two seals' WHEN 8 THEN 'second seal missing' WHEN 9 THEN 'second seal outside the box' WHEN 10 THEN printf('second seal misplaced (rel_x=%.3f, rel_y=%.3f)', round(ax, 3), round(ay, 3))
+      WHEN 11 THEN printf('second seal in place (rel_x=%.3f, rel_y=%.3f)', round(ax, 3), round(ay, 3))
       WHEN 12 THEN CASE code WHEN 1 THEN 'seal and second seal' ELSE 'one seal' END ELSE 'skipped' END AS dual_detail,
     CASE WHEN way > 1 THEN coalesce(stamp_time, '') ELSE '' END AS stamp_time, CASE WHEN way > 1 THEN coalesce(stamp_place, '') ELSE '' END AS stamp_place
   FROM verdicts),

@@ -148,3 +148,36 @@ def test_throughput_is_numbered_in_ranges(spark):
         want[n] = round((times[n - 1] - min(times[:n])) / n, 4)
     assert set(got) == set(want) and all(abs(got[n] - want[n]) < 2e-4 for n in want)
     assert len([f for f in out.inputFiles() if "/ranges-" in f]) > 1
+
+
+def test_fetch_gives_up_after_a_while(spark):
+    import time
+
+    of = spark.createDataFrame([("1", i, u) for i, u in enumerate(["a", "slow", "b", "slow", "c"])], "order_id string, image_idx int, url string").coalesce(1)
+
+    def fetch(url):
+        if url == "slow":
+            time.sleep(20)
+        return url.encode()
+
+    began = time.time()
+    got = {r["image_idx"]: (r["status"], r["error"]) for r in hooks.fetched(of, fetch, threads=2, timeout=0.5).collect()}
+    assert [got[i][0] for i in range(5)] == ["ok", "failed", "ok", "failed", "ok"] and "TimeoutError" in got[1][1] and time.time() - began < 15
+
+
+def test_failed_orders_become_error_rows(spark):
+    from sealstone.operators import verdict
+
+    read = spark.createDataFrame([("1", 1, None), ("1", 2, "E: x"), ("1", 3, "E: y"), ("2", 1, None)], "order_id string, image_idx int, error string")
+    for v in (spark.createDataFrame([("1", "Mac", 1, "在", 0)], "order_id string, lob string, seal_exists int, keyword string, paste_error int"), spark.createDataFrame([("1", "Mac", 1, 1, "x", 0.5)], "order_id string, lob string, seal_exists int, position_valid int, detail string, rel_x double")):
+        out = verdict.quarantined(v, verdict.failures(read)).first().asDict()
+        assert out["lob"] == "Mac" and out["seal_exists"] == -1 and out["error"] == "E: x" and out.get("keyword", "ERROR") == "ERROR" and out.get("detail", "ERROR") == "ERROR" and out.get("rel_x") is None
+    assert verdict.quarantined(v.withColumn("order_id", F.lit("2")), verdict.failures(read)).first()["error"] is None
+
+
+def test_masks_by_mode(spark):
+    px = spark.createDataFrame([(i, x, y, 100, 20 if (x + y) % 7 else 200, 200 if (x + y) % 7 else 120) for i in range(3) for x in range(30) for y in range(30)], "image long, x int, y int, h int, s int, v int")
+    modes = spark.createDataFrame([(0, "white_box"), (1, "brown_box"), (2, None)], "image long, mode string")
+    got = {r["image"]: r["n"] for r in grid.masked(px, modes).where("mask").groupBy("image").agg(F.count("*").alias("n")).collect()}
+    want = {0: grid.white_mask(px.where("image = 0")).where("mask").count(), 1: grid.brown_mask(px.where("image = 1")).where("mask").count()}
+    assert got == want and all(want.values())
