@@ -6,7 +6,8 @@ MOST_CHILDREN different children. What is left is a tree: overall, registered do
 Sibling branches whose share of blocked urls does not differ significantly are merged and pool their labels. A template's purity
 is smoothed along its path, from the root down: a node's estimate is what it has itself, shrunk towards its parent's estimate by
 PRIOR_WEIGHT. The template itself has its labelled urls; a node above has its labelled branches, each of which counts once, so
-that many labels in one branch don't condemn the others. Purity of MIN_PURITY rejects. Labels come from a table of labelled urls;
+that many labels in one branch don't condemn the others. Purity of MIN_PURITY rejects a template that has labels itself or in a
+branch of its host that it lies in; what host and domain alone suggest raises or lowers purity, but condemns nothing. Labels come from a table of labelled urls;
 the query uses the urls that its rules decide, and asks the tree only about the others.
 """
 
@@ -101,7 +102,7 @@ def registered(host: Column) -> Column:
 
 
 def purities(found: DataFrame, nodes: DataFrame, starts: DataFrame) -> DataFrame:
-    """host, template and purity of each template (host, segments)."""
+    """host, template, purity and known (whether it lies in a labelled branch) of each template (host, segments)."""
     found = found.select("host", "segments").distinct()
     at = found.select("host", F.concat_ws("/", "segments").alias("template"), F.size("segments").alias("size"), F.posexplode(F.transform(F.sequence(F.lit(0), F.size("segments")), lambda d: F.concat_ws("/", F.slice("segments", F.lit(1), d)))).alias("depth", "node"))
     at = at.join(nodes.withColumnRenamed("depth", "_d"), ["host", "node"], "left")
@@ -111,7 +112,8 @@ def purities(found: DataFrame, nodes: DataFrame, starts: DataFrame) -> DataFrame
     overall = starts.where("domain is null").select(F.col("start").alias("overall"))  # one row
     chain = chain.join(starts.where("domain is not null"), registered(F.col("host")) == F.col("domain"), "left").crossJoin(F.broadcast(overall))
     fold = F.aggregate("chain", F.coalesce("start", "overall"), lambda p, x: (x["b"] + PRIOR_WEIGHT * p) / (x["m"] + PRIOR_WEIGHT))
-    return chain.select("host", "template", fold.alias("purity"))
+    known = F.exists("chain", lambda x: (x["m"] > 0) & ((x["depth"] > 0) | (F.size("chain") == 1)))
+    return chain.select("host", "template", fold.alias("purity"), known.alias("known"))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -125,9 +127,9 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     urls = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("rule", name).withColumn("by_rule", verdict)
     found = saved(templates(urls), "url-templates")
     nodes, starts = tree(found.where("by_rule is not null").withColumn("bad", (F.col("by_rule") == "block").cast("long")))
-    known = saved(purities(found, nodes, saved(starts, "url-starts")), "url-tree").select(F.col("host").alias("h"), F.col("template").alias("t"), "purity")
+    known = saved(purities(found, nodes, saved(starts, "url-starts")), "url-tree").select(F.col("host").alias("h"), F.col("template").alias("t"), "purity", "known")
     out = found.join(known, (F.col("host") == F.col("h")) & (F.concat_ws("/", "segments") == F.col("t")))
-    own = F.when(F.col("purity") >= MIN_PURITY, F.lit("block")).otherwise(F.lit("allow"))
+    own = F.when(F.col("known") & (F.col("purity") >= MIN_PURITY), F.lit("block")).otherwise(F.lit("allow"))
     return out.select("page_id", "host", "path", "rule", F.coalesce("by_rule", own).alias("verdict"), F.round("purity", 6).alias("purity"))
 
 
@@ -178,9 +180,9 @@ chains AS (
   SELECT o.host, template, list({{'b': (CASE WHEN depth = len(segments) THEN coalesce(own_k, 0) ELSE coalesce(b, 0) END)::DOUBLE, 'm': (CASE WHEN depth = len(segments) THEN coalesce(own_n, 0) ELSE coalesce(m, 0) END)::DOUBLE}} ORDER BY depth) AS chain
   FROM (SELECT *, unnest(range(len(segments) + 1)) AS depth FROM own) o LEFT JOIN full_nodes f ON o.host = f.host AND array_to_string(segments[1:depth], '/') = f.node GROUP BY ALL),
 purity AS (
-  SELECT host, template, list_reduce(list_prepend({{'b': coalesce((d.b + {PRIOR_WEIGHT} * overall) / (d.m + {PRIOR_WEIGHT}), overall)::DOUBLE, 'm': 0::DOUBLE}}, chain),
+  SELECT host, template, len(list_filter(chain[2:], lambda x: x.m > 0)) > 0 OR len(chain) = 1 AND chain[1].m > 0 AS known, list_reduce(list_prepend({{'b': coalesce((d.b + {PRIOR_WEIGHT} * overall) / (d.m + {PRIOR_WEIGHT}), overall)::DOUBLE, 'm': 0::DOUBLE}}, chain),
     lambda p, x: {{'b': (x.b + {PRIOR_WEIGHT} * p.b) / (x.m + {PRIOR_WEIGHT}), 'm': 0::DOUBLE}}).b AS purity
   FROM chains c LEFT JOIN domains d ON {_DOMAIN} = domain, overall)
-SELECT page_id, f.host, path, rule, coalesce(by_rule, CASE WHEN purity >= {MIN_PURITY} THEN 'block' ELSE 'allow' END) AS verdict, round(purity, 6) AS purity
+SELECT page_id, f.host, path, rule, coalesce(by_rule, CASE WHEN known AND purity >= {MIN_PURITY} THEN 'block' ELSE 'allow' END) AS verdict, round(purity, 6) AS purity
 FROM found f JOIN purity p ON f.host = p.host AND f.template = p.template
 """

@@ -457,6 +457,10 @@ def test_url_templates_reject_pure_branches(spark):
     got = {r["page_id"]: (r["rule"], r["verdict"], r["purity"]) for r in url_templates.judge(df, rules).collect()}
     assert all(v == "block" and p > 0.8 for rule, v, p in (got[i] for i in range(150)) if rule)
     assert got[20][0] is None and got[20][1] == "block" and got[150][1] == "allow"  # no rule fits, the template decides
+    made = [f"http://{c}.one.net/es/{i}" for c in "abcdefghijklmnopqrstuvwxyz" for i in range(9)] + ["http://a.one.net/en/1", "http://new.one.net/es/1"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(made)], "page_id long, url string")
+    last = url_templates.judge(df, (("one.net", "/es/1", "block"), ("one.net", "/es/3", "block"))).orderBy(F.desc("page_id")).limit(2).collect()
+    assert last[1]["verdict"] == "allow" and last[1]["purity"] > 0.7  # the host alone condemns no other branch
 
 
 # 9
