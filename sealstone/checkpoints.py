@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: A step's shuffle files aren't needed once its table stands.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: What holds while a table is written: a step's shuffle files aren't needed once its table stands, and Python workers get batches
+#: of few rows, which may be whole texts or blocks.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def scratch(spark: SparkSession) -> str:
@@ -35,12 +36,15 @@ class Tables:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = self.paths[name] = f"{scratch(self.spark)}/{name}-{uuid.uuid4().hex}"
-        was = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")
+        conf = self.spark.conf
+        before = {k: conf.get(k, None) for k in WRITING}
+        for k, v in WRITING.items():
+            conf.set(k, v)
         try:
             df.write.parquet(path)
         finally:
-            self.spark.conf.unset(CLEANUP) if was is None else self.spark.conf.set(CLEANUP, was)
+            for k, v in before.items():
+                conf.unset(k) if v is None else conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
