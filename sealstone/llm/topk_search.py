@@ -75,17 +75,24 @@ def _array(ids: bytes, dims: int, kind: str, vals: bytes) -> tuple[np.ndarray, n
 def _blocks(vectors: DataFrame, size: int, scale: float) -> DataFrame:
     """vec_id, embedding to blocks: ids, dims and values as bytes, dimensions x vectors; vectors with holes are left out."""
 
+    def block(some: pd.DataFrame):
+        rows = {}
+        for i, x in zip(some["vec_id"], some["embedding"]):
+            rows.setdefault(len(x), []).append((i, x))
+        for dims, own in rows.items():
+            values = np.floor(scale * np.array([x for _, x in own], dtype=np.float64).reshape(len(own), dims)).T
+            kind = "<i2" if np.abs(values).max(initial=0) < 2**15 else "<f8"
+            yield pd.DataFrame({"ids": [np.array([i for i, _ in own], dtype="<i8").tobytes()], "dims": [dims], "kind": [kind], "vals": [np.ascontiguousarray(values.astype(kind)).tobytes()]})
+
     def build(batches):
+        left = None
         for pdf in batches:
-            for at in range(0, len(pdf), size):
-                some = pdf.iloc[at : at + size]
-                rows = {}
-                for i, x in zip(some["vec_id"], some["embedding"]):
-                    rows.setdefault(len(x), []).append((i, x))
-                for dims, own in rows.items():
-                    values = np.floor(scale * np.array([x for _, x in own], dtype=np.float64).reshape(len(own), dims)).T
-                    small = np.abs(values).max(initial=0) < 2**15
-                    yield pd.DataFrame({"ids": [np.array([i for i, _ in own], dtype="<i8").tobytes()], "dims": [dims], "kind": ["<i2" if small else "<f8"], "vals": [np.ascontiguousarray(values.astype("<i2" if small else "<f8")).tobytes()]})
+            left = pdf if left is None else pd.concat([left, pdf])
+            while len(left) >= size:
+                yield from block(left.iloc[:size])
+                left = left.iloc[size:]
+        if left is not None:
+            yield from block(left)
 
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
