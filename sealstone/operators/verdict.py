@@ -50,8 +50,8 @@ def verdict_v2(orders: DataFrame, of: DataFrame, rules: DataFrame, double_seal_p
     """One verdict (the columns of schema.VERDICT) beside each order's own columns.
 
     photos: order_id, image_idx, img_w, img_h, status, detections, stamp_texts, box and, where known, quads (candidate faces: array of
-    struct(source, pts)) and foreign (whether a foreign patch was found). Unknown product lines end before their photos matter, so
-    only known orders' photos are read. One exchange on order_id for each of the tables. Orders without photos, null ids and null
+    struct(source, pts)) and foreign (whether a foreign patch was found). All photos are aggregated by order; those of
+    unknown product lines are dropped after the join. One exchange on order_id for each of the tables. Orders without photos, null ids and null
     product lines get verdicts too. double_seal_policy: accept, or reject_single_only.
     """
     ruled = photos.with_rules(orders, rules)
