@@ -97,7 +97,8 @@ def telling(docs: DataFrame, rows: DataFrame, base: DataFrame) -> tuple[DataFram
     pairs = saved(pairs.select("term", "entity", "n_te", "n_e", "n"), "pii-pairs")
     wanted = saved(pairs.select("term").distinct(), "pii-terms")
     text = F.coalesce(F.col("text"), F.lit(""))
-    has = docs.select(F.xxhash64(text).alias("th"), F.explode(_terms(text)).alias("term")).join(wanted, "term", "left_semi").distinct()
+    size = wanted.agg(F.coalesce(F.sum(F.length("term") + 24), F.lit(0))).first()[0]
+    has = docs.select(F.xxhash64(text).alias("th"), F.explode(_terms(text)).alias("term")).join(bounded(wanted, size), "term", "left_semi").distinct()
     has = saved(has, "pii-has")
     told = pairs.join(has.groupBy("term").agg(F.count("*").alias("n_t")), "term").withColumn("share", _share(F.col("n_te"), F.col("n_t"), F.col("n_e"), F.col("n")))
     told = told.where(F.col("share") >= GENERALISE).groupBy("term").agg(F.when(F.max("share") >= REMOVE, 5).otherwise(4).alias("kind"))
