@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sealstone.llm import line_dedup, manifest, packing, quality_rules, sanitise, simhash, source_mix, token_attribution, topk_search, toxicity, url_templates
+from sealstone.llm import hard_negatives, line_dedup, log_bilinear, manifest, packing, quality_rules, sanitise, simhash, source_mix, token_attribution, topk_search, toxicity, url_templates
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_url_templates": url_templates.op8_url_templates,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_simhash": simhash.op10_simhash,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_log_bilinear": log_bilinear.op12_log_bilinear,
     "op13_merkle_manifest": manifest.op13_merkle_manifest,
 }
 SQL = {
@@ -24,5 +26,6 @@ SQL = {
     "op7_pii": sanitise.OP7_SQL,
     "op8_url_templates": url_templates.OP8_SQL,
     "op9_quality_rules": quality_rules.OP9_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
     "op13_merkle_manifest": manifest.OP13_SQL,
 }
