@@ -73,8 +73,32 @@ def parse_stamp(segments: Column) -> Column:
 
 
 def number(v: Column, digits: int, signed: bool = False) -> Column:
-    """A number with a fixed count of decimals, halves rounded up."""
-    return F.format_string(f"%{'+' * signed}.{digits}f", F.round(v, digits))
+    """A number with a fixed count of decimals, rounded by its exact binary value; only exact halves go to the even digit.
+
+    Of the candidate below, n, the sign of 2 x scale x v - (2n + 1) decides: v is split into two halves whose products are exact.
+    """
+    scale = 10**digits
+
+    def split(x: Column) -> Column:
+        wide = x * 134217729.0
+        high = wide - (wide - x)
+        return F.struct(high.alias("high"), (x - high).alias("low"), F.floor(x * scale).cast("long").alias("n"))
+
+    def rounded(x: Column) -> Column:
+        n = x["n"]
+        over = (x["high"] * (2 * scale) - (2 * n + 1)) + x["low"] * (2 * scale)
+        return n + F.when((over > 0) | ((over == 0) & (n % 2 == 1)), 1).otherwise(0)
+
+    def told(n: Column) -> Column:
+        whole = (n - n % scale) / scale
+        return F.concat(whole.cast("long").cast("string"), *([F.lit("."), F.lpad((n % scale).cast("string"), digits, "0")] if digits else []))
+
+    sign = F.when(v < 0, "-").otherwise("+" if signed else "")
+    return F.concat(sign, _let(_let(_let(F.abs(v.cast("double")), split), rounded), told))
+
+
+def _let(value: Column, of) -> Column:
+    return F.get(F.transform(F.array(value), of), F.lit(0))
 
 
 def placed(x: Column, y: Column) -> Column:

@@ -60,7 +60,7 @@ def verdict_v2(orders: DataFrame, of: DataFrame, rules: DataFrame, double_seal_p
     known = photos.known(F.col("lob"))
     staged = found.withColumn("best", F.when(known, F.col("best")))
     if quads:
-        centers = F.transform(seals.find_seals(b["detections"]), lambda s: G.point(s["cx"], s["cy"]))
+        centers = F.transform(seals.find_seals(b["detections"]), lambda s: G.mean_center(s["poly"]))
         none = F.array().cast("array<struct<source:string,pts:array<struct<x:double,y:double>>>>")
         rect = faces.rectified(F.coalesce(b["quads"], none), centers, F.col("aspect_lo"), F.col("aspect_hi"), b["box"], b["img_w"], b["img_h"])
     else:  # without candidate faces there is nothing to rectify

@@ -210,8 +210,8 @@ corners AS (SELECT order_id, image_idx, k, 100 + 11 * k + d AS x0, 80 + 7 * k AS
   FROM (SELECT *, CASE WHEN k = 2 THEN 120 ELSE 0 END AS d FROM fx_photos, (VALUES (0), (1), (2)) t(k))),
 quads AS MATERIALIZED (SELECT *, abs((x0 * y1 - x1 * y0) + (x1 * y2 - x2 * y1) + (x2 * y3 - x3 * y2) + (x3 * y0 - x0 * y3)) / 2 AS area, (x0 + x1 + x2 + x3) / 4 AS mx, (y0 + y1 + y2 + y3) / 4 AS my FROM corners),
 sized AS (SELECT *, greatest(sqrt(power(x0 - x1, 2) + power(y0 - y1, 2)), sqrt(power(x3 - x2, 2) + power(y3 - y2, 2))) AS qw, greatest(sqrt(power(x0 - x3, 2) + power(y0 - y3, 2)), sqrt(power(x1 - x2, 2) + power(y1 - y2, 2))) AS qh FROM quads),
-inside AS (SELECT q.order_id, q.image_idx, q.k, b.text_idx, ((x1 - x0) * (b.cy - y0) - (y1 - y0) * (b.cx - x0)) AS c0, ((x2 - x1) * (b.cy - y1) - (y2 - y1) * (b.cx - x1)) AS c1, ((x3 - x2) * (b.cy - y2) - (y3 - y2) * (b.cx - x2)) AS c2, ((x0 - x3) * (b.cy - y3) - (y0 - y3) * (b.cx - x3)) AS c3
-  FROM quads q JOIN pb b ON q.order_id = b.order_id AND q.image_idx = b.image_idx WHERE b.is_seal),
+inside AS (SELECT q.order_id, q.image_idx, q.k, b.text_idx, ((x1 - x0) * (b.my - y0) - (y1 - y0) * (b.mx - x0)) AS c0, ((x2 - x1) * (b.my - y1) - (y2 - y1) * (b.mx - x1)) AS c1, ((x3 - x2) * (b.my - y2) - (y3 - y2) * (b.mx - x2)) AS c2, ((x0 - x3) * (b.my - y3) - (y0 - y3) * (b.mx - x3)) AS c3
+  FROM quads q JOIN (SELECT *, (5 * cx - hw) / 5.0::DOUBLE AS mx, (5 * cy - hh - sk) / 5.0::DOUBLE AS my FROM pb) b ON q.order_id = b.order_id AND q.image_idx = b.image_idx WHERE b.is_seal),
 within AS MATERIALIZED (SELECT order_id, image_idx, k, text_idx FROM inside WHERE least(c0, c1, c2, c3) >= 0 OR greatest(c0, c1, c2, c3) <= 0),
 scored AS (SELECT s.*, o.aspect_lo, o.aspect_hi, CASE WHEN i.k IS NOT NULL THEN 2 ELSE 0 END
     + CASE WHEN aspect_lo IS NULL THEN 0 WHEN greatest(qw, qh) / greatest(least(qw, qh), 1) BETWEEN aspect_lo AND aspect_hi THEN 1.5
@@ -236,7 +236,7 @@ def _each_face(spark, d) -> DataFrame:
 @face_query("SELECT order_id, image_idx, k, text_idx FROM within")
 def points_in_quads(spark, d):
     f = _each_face(spark, d).withColumn("s", F.explode(seals.find_seals(F.col("detections"))))
-    return f.where(G.contains(F.col("q.pts"), F.col("s.cx"), F.col("s.cy"))).select("order_id", "image_idx", "k", "s.text_idx")
+    return f.withColumn("c", G.mean_center(F.col("s.poly"))).where(G.contains(F.col("q.pts"), F.col("c.x"), F.col("c.y"))).select("order_id", "image_idx", "k", "s.text_idx")
 
 
 @query("SELECT order_id, image_idx, text_idx, text FROM fx_boxes WHERE text_idx < 1")
@@ -358,7 +358,7 @@ def main_seal(spark, d):
 
 def _centered(spark, d) -> DataFrame:
     f = _faces(spark, d).join(photos.with_rules(inputs.orders(spark, d), rule_book(spark)), "order_id")
-    return f.withColumn("centers", F.transform(seals.find_seals(F.col("detections")), lambda s: G.point(s["cx"], s["cy"])))
+    return f.withColumn("centers", F.transform(seals.find_seals(F.col("detections")), lambda s: G.mean_center(s["poly"])))
 
 
 @face_query("SELECT order_id, image_idx, arg_max(x0, (round(score, 9), area, -k)) AS x0, arg_max(y0, (round(score, 9), area, -k)) AS y0 FROM scored GROUP BY order_id, image_idx")
@@ -460,10 +460,11 @@ def cjk_ratio_filter(spark, d):
     return inputs.view(spark, d, "fx_stamps").select("order_id", F.round(share, 6).alias("share"), (share >= T.CJK_SHARE).alias("kept"))
 
 
-@query("SELECT order_id, image_idx, text_idx, printf('rel_x=%.3f, rel_y=%.3f', (cx + 0.1) / 7000, (cy + 0.1) / 7000) AS detail FROM fx_boxes")
+@query("SELECT order_id, image_idx, text_idx, printf('rel_x=%.3f, rel_y=%.3f', cx / 2000, cy / 320) AS detail FROM fx_boxes")
 def detail_text(spark, d):
+    """Many of the numbers are halves of a thousandth, some of them exact in binary."""
     f = inputs.view(spark, d, "fx_boxes")
-    return f.select("order_id", "image_idx", "text_idx", T.placed((F.col("cx") + 0.1) / 7000, (F.col("cy") + 0.1) / 7000).alias("detail"))
+    return f.select("order_id", "image_idx", "text_idx", T.placed(F.col("cx") / 2000, F.col("cy") / 320).alias("detail"))
 
 
 @query("SELECT order_id, image_idx, text_idx, round((cx + 0.01) / 7000, 4) AS r4, round((cy + 0.01) / 70, 2) AS r2 FROM fx_boxes")

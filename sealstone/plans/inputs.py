@@ -93,7 +93,8 @@ def photos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def faces(of: DataFrame) -> DataFrame:
-    """Adds quads, three candidate faces of each photo's box, two of which are near duplicates."""
+    """Adds quads, three candidate faces of each photo's box, two of which are near duplicates. The boxes' polygons become closed rings, whose
+    mean isn't the middle of their bounding box."""
     x, y, w, h, j = F.col("box.x"), F.col("box.y"), F.col("box.w"), F.col("box.h"), F.col("j")
 
     def one(k: int) -> Column:
@@ -101,7 +102,8 @@ def faces(of: DataFrame) -> DataFrame:
         pts = F.array(point(x + 11 * k + d, y + 7 * k), point(x + w - 5 * k + d, y + 3 * k + j), point(x + w - 3 * k + d, y + h - 9 * k), point(x + 2 * k + j + d, y + h - 4 * k))
         return F.struct(F.lit("split" if k == 1 else "edge").alias("source"), pts.alias("pts"))
 
-    return of.withColumn("quads", F.array(*map(one, range(3))))
+    rings = F.transform("detections", lambda d: F.struct(d["text_idx"].alias("text_idx"), d["text"].alias("text"), F.concat(d["poly"], F.slice(d["poly"], 1, 1)).alias("poly")))
+    return of.withColumn("quads", F.array(*map(one, range(3)))).withColumn("detections", rings)
 
 
 def urls(of: DataFrame) -> DataFrame:

@@ -89,12 +89,12 @@ verdict AS (
     CASE WHEN way > 3 THEN 1 ELSE 0 END AS color_checked, CASE WHEN way > 3 THEN color ELSE '' END AS color_mode,
     CASE WHEN way = 1 THEN 'unknown product line' WHEN way = 2 THEN 'dealer''s own sticker: ' || dealer WHEN way = 3 THEN 'no photo of the front with a seal'
       ELSE '[axis_aligned] ' || CASE WHEN position = 0 THEN 'outside the zone' || CASE WHEN n_zones > 1 THEN ' (any of ' || n_zones || ')' ELSE '' END || ': '
-          || concat_ws('; ', CASE WHEN NOT x_ok THEN printf('X=%.3f', round(rx, 3)) || ' not in [' || x_min || ',' || x_max || ']±0.15' END, CASE WHEN NOT y_ok THEN printf('Y=%.3f', round(ry, 3)) || ' not in [' || y_min || ',' || y_max || ']±0.15' END)
-        WHEN position = 3 THEN printf('turned by %+.1f', round(round(round(angle, 9), 2), 1)) || '°, limit ±30°' WHEN position = 2 THEN 'flat: its end piece shows'
-        ELSE printf('in place (rel_x=%.3f, rel_y=%.3f', round(rx, 3), round(ry, 3)) || ', tolerance ±0.15)' END END AS detail,
+          || concat_ws('; ', CASE WHEN NOT x_ok THEN printf('X=%.3f', rx) || ' not in [' || x_min || ',' || x_max || ']±0.15' END, CASE WHEN NOT y_ok THEN printf('Y=%.3f', ry) || ' not in [' || y_min || ',' || y_max || ']±0.15' END)
+        WHEN position = 3 THEN printf('turned by %+.1f', round(round(angle, 9), 2)) || '°, limit ±30°' WHEN position = 2 THEN 'flat: its end piece shows'
+        ELSE printf('in place (rel_x=%.3f, rel_y=%.3f', rx, ry) || ', tolerance ±0.15)' END END AS detail,
     CASE WHEN way <= 6 THEN -1 WHEN way IN (7, 8, 12) THEN code WHEN way = 9 THEN 0 ELSE 1 END AS dual_code,
-    CASE way WHEN 7 THEN 'two seals' WHEN 8 THEN 'second seal missing' WHEN 9 THEN 'second seal outside the box' WHEN 10 THEN printf('second seal misplaced (rel_x=%.3f, rel_y=%.3f)', round(ax, 3), round(ay, 3))
-      WHEN 11 THEN printf('second seal in place (rel_x=%.3f, rel_y=%.3f)', round(ax, 3), round(ay, 3))
+    CASE way WHEN 7 THEN 'two seals' WHEN 8 THEN 'second seal missing' WHEN 9 THEN 'second seal outside the box' WHEN 10 THEN printf('second seal misplaced (rel_x=%.3f, rel_y=%.3f)', ax, ay)
+      WHEN 11 THEN printf('second seal in place (rel_x=%.3f, rel_y=%.3f)', ax, ay)
       WHEN 12 THEN CASE code WHEN 1 THEN 'seal and second seal' ELSE 'one seal' END ELSE 'skipped' END AS dual_detail,
     CASE WHEN way > 1 THEN coalesce(stamp_time, '') ELSE '' END AS stamp_time, CASE WHEN way > 1 THEN coalesce(stamp_place, '') ELSE '' END AS stamp_place
   FROM verdicts),

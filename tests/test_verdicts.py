@@ -160,3 +160,12 @@ def test_unpivot_and_resume(spark):
     assert photos.resume(orders, done).count() == 2
     again = spark.createDataFrame([("9",), ("1",)], "order_id string")
     assert photos.resume(again, done).count() == 1 and photos.resume(again, done, retry_errors=True).count() == 2
+
+
+def test_decimals_are_rounded_by_exact_value(spark):
+    values = [k / n for n in (400, 320, 2000, 7) for k in range(-40, 900)] + [0.0625, 0.1875, 2.5, 1e-9, 123456.0005]
+    df = spark.createDataFrame([(float(v),) for v in [*values]], "v double").coalesce(1)
+    got = df.select("v", *[T.number(F.col("v"), d).alias(f"d{d}") for d in (0, 1, 2, 3)], T.number(F.col("v"), 1, True).alias("s")).collect()
+    for r in got:
+        assert [r["d0"], r["d1"], r["d2"], r["d3"], r["s"]] == [format(r["v"], f) for f in (".0f", ".1f", ".2f", ".3f", "+.1f")], r
+    assert spark.range(1).select(T.number(F.lit(None).cast("double"), 3)).first()[0] is None
