@@ -154,6 +154,64 @@ def min_area_rect(poly: Column) -> Column:
     return F.when(n >= 2, F.array_min(F.transform(F.transform(usable, spread), box)))
 
 
+def hull(points: Column) -> Column:
+    """The convex hull of any number of points, from the leftmost on, without points on its sides.
+
+    A chain takes the points in order; a new one goes behind the last of the chain that it still turns left from.
+    """
+    empty = F.filter(points, lambda p: F.lit(False))
+    ordered = F.array_sort(F.array_distinct(points))
+
+    def chain(some: Column) -> Column:
+        def add(kept: Column, p: Column) -> Column:
+            def stays(q: Column, i: Column) -> Column:
+                before = F.get(kept, i - 1)
+                turn = (q["x"] - before["x"]) * (p["y"] - before["y"]) - (q["y"] - before["y"]) * (p["x"] - before["x"])
+                return F.when((i == 0) | (turn > 0), i + 1)
+
+            return F.concat(F.slice(kept, 1, F.coalesce(F.array_max(F.transform(kept, stays)), F.lit(0))), F.array(p))
+
+        return F.aggregate(some, empty, add)
+
+    without_last = lambda c: let(c, lambda x: F.slice(x, 1, F.greatest(F.size(x) - 1, F.lit(1))))
+    both = lambda ps: F.when(F.size(ps) < 3, ps).otherwise(F.concat(without_last(chain(ps)), without_last(chain(F.reverse(ps)))))
+    return let(ordered, both)
+
+
+def min_area_box(contour: Column) -> Column:
+    """The four corners of the smallest rectangle around a contour of any length; of equal ones the least turned. It has a side along one of
+    the hull's. Null for fewer than three hull points."""
+
+    def around(h: Column) -> Column:
+        n = F.size(h)
+
+        def along(p: Column, i: Column) -> Column:
+            q = F.get(h, (i + 1) % n)
+            return F.struct((q["x"] - p["x"]).alias("x"), (q["y"] - p["y"]).alias("y"))
+
+        def unit(e: Column) -> Column:
+            size = F.sqrt(e["x"] * e["x"] + e["y"] * e["y"])
+            return F.struct((e["x"] / size).alias("x"), (e["y"] / size).alias("y"))
+
+        def spread(u: Column) -> Column:
+            a, b = F.transform(h, lambda p: p["x"] * u["x"] + p["y"] * u["y"]), F.transform(h, lambda p: p["y"] * u["x"] - p["x"] * u["y"])
+            ends = {"u": u, "a0": F.array_min(a), "a1": F.array_max(a), "b0": F.array_min(b), "b1": F.array_max(b)}
+            return F.struct(*[v.alias(k) for k, v in ends.items()])
+
+        def keyed(s: Column) -> Column:
+            quarter = F.pmod(F.degrees(F.atan2(s["u"]["y"], s["u"]["x"])), F.lit(90.0))
+            return F.struct(F.round((s["a1"] - s["a0"]) * (s["b1"] - s["b0"]), 6).alias("area"), F.round(F.least(quarter, 90 - quarter), 6).alias("turn"), s.alias("s"))
+
+        return F.when(n >= 3, F.array_min(F.transform(F.transform(F.transform(F.transform(h, along), unit), spread), keyed)))
+
+    def corners(r: Column) -> Column:
+        s, u = r["s"], r["s"]["u"]
+        at = lambda a, b: point(s[a] * u["x"] - s[b] * u["y"], s[a] * u["y"] + s[b] * u["x"])
+        return F.when(r.isNotNull(), F.array(at("a0", "b0"), at("a1", "b0"), at("a1", "b1"), at("a0", "b1")))
+
+    return let(let(hull(contour), around), corners)
+
+
 def quad_bbox(pts: Column, img_w: Column, img_h: Column) -> Column:
     """x, y, w, h of the upright box around a face, cut to the image."""
     b = bbox(pts)

@@ -646,27 +646,74 @@ def grid_edge_strength(spark, d):
     return g.groupBy("image").agg(F.round(F.avg("grad"), 4).alias("edge"), F.count("*").alias("n"))
 
 
-@query(f", {_BROWN}, {_REGIONS}, " + """px AS MATERIALIZED (SELECT image, region, x, y FROM low JOIN (SELECT image, x, y, y * 65536 + (x // 8) * 8 AS id FROM brown WHERE m) USING (image, id)),
-ring AS (SELECT p.image, p.region, p.x, p.y FROM px p LEFT JOIN px q ON p.image = q.image AND p.region = q.region AND abs(p.x - q.x) + abs(p.y - q.y) = 1 GROUP BY ALL HAVING count(q.x) < 4),
-sizes AS (SELECT image, region, count(*) AS area FROM px GROUP BY ALL),
+# The measures of regions: px (image, region, x, y) to area, solidity by squares of pixels and by the hull of columns, and edge over sob.
+# No region of these images has a hole; tests hold those against brute force.
+_MEASURES = """sizes AS (SELECT image, region, count(*) AS area FROM px GROUP BY ALL),
+insides AS (SELECT image, region, sum(CASE n WHEN 4 THEN 1 WHEN 3 THEN 0.5 ELSE 0 END)::DOUBLE AS inside FROM (SELECT image, region, x + i AS x, y + j AS y, count(*) AS n FROM px, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j) GROUP BY ALL) GROUP BY ALL),
 cols AS (SELECT image, region, x, max(y) AS t, min(y) AS b FROM px GROUP BY ALL),
 env AS (SELECT c.image, c.region, c.x, max(CASE WHEN a.x = e.x THEN a.t ELSE a.t + (e.t - a.t) * (c.x - a.x) / (e.x - a.x) END) - min(CASE WHEN a.x = e.x THEN a.b ELSE a.b + (e.b - a.b) * (c.x - a.x) / (e.x - a.x) END) AS high
   FROM cols c JOIN cols a ON c.image = a.image AND c.region = a.region AND a.x <= c.x JOIN cols e ON c.image = e.image AND c.region = e.region AND e.x >= c.x GROUP BY ALL),
-hulls AS (SELECT image, region, coalesce(sum((high + next) / 2), 0) AS hull FROM (SELECT *, lead(high) OVER (PARTITION BY image, region ORDER BY x) AS next FROM env) GROUP BY ALL)
-SELECT image, region, area, round(CASE WHEN hull >= 1 THEN least(1, greatest(area - n / 2 - 1, 0) / hull) ELSE 0 END, 6) AS solidity FROM sizes JOIN (SELECT image, region, count(*) AS n FROM ring GROUP BY ALL) USING (image, region) JOIN hulls USING (image, region)""")
+hulls AS (SELECT image, region, coalesce(sum((high + next) / 2), 0) AS hull FROM (SELECT *, lead(high) OVER (PARTITION BY image, region ORDER BY x) AS next FROM env) GROUP BY ALL),
+measured AS (SELECT image, region, area, CASE WHEN hull >= 1 THEN inside / hull ELSE 0 END AS solidity FROM sizes JOIN insides USING (image, region) JOIN hulls USING (image, region))"""
+# The 3 x 3 Sobel gradient of sig (image, x, y, s), mirrored at the frame b (image, mx, my).
+_SOBEL = """sob AS (SELECT p.image, p.x, p.y, sum(q.s * i * (2 - abs(j))) AS gx, sum(q.s * j * (2 - abs(i))) AS gy FROM sig p JOIN b USING (image), (SELECT unnest([-1, 0, 1]) AS i) a, (SELECT unnest([-1, 0, 1]) AS j) c JOIN sig q
+  ON q.image = p.image AND q.x = CASE WHEN abs(p.x + i) > mx THEN 2 * mx - p.x - i ELSE abs(p.x + i) END AND q.y = CASE WHEN abs(p.y + j) > my THEN 2 * my - p.y - j ELSE abs(p.y + j) END GROUP BY p.image, p.x, p.y),
+near AS (SELECT image, region, x + i AS x, y + j AS y, count(*) AS own FROM px, (SELECT unnest([-1, 0, 1]) AS i) a, (SELECT unnest([-1, 0, 1]) AS j) c GROUP BY ALL),
+edges AS (SELECT image, region, avg(sqrt(gx * gx + gy * gy)) AS edge FROM near JOIN b USING (image) JOIN sob USING (image, x, y) WHERE own < (3 - (x = 0)::INT - (x = mx)::INT) * (3 - (y = 0)::INT - (y = my)::INT) GROUP BY ALL)"""
+_BROWN_PX = "px AS MATERIALIZED (SELECT image, region, x, y FROM low JOIN (SELECT image, x, y, y * 65536 + (x // 8) * 8 AS id FROM brown WHERE m) USING (image, id))"
+
+
+def recursive_query(sql: str):
+    def register(f):
+        query(sql)(f)
+        SQL[f.__name__] = SQL[f.__name__].replace("WITH ", "WITH RECURSIVE ", 1)
+        return f
+
+    return register
+
+
+@recursive_query(f", {_BROWN}, {_REGIONS}, {_BROWN_PX}, {_MEASURES} SELECT image, region, area, round(solidity, 6) AS solidity FROM measured")
 def grid_solidity(spark, d):
     return grid.solidity(grid.regions(grid.brown_mask(_pixels(spark, d)))).withColumn("solidity", F.round("solidity", 6))
 
 
-SQL["grid_solidity"] = SQL["grid_solidity"].replace("WITH ", "WITH RECURSIVE ", 1)
+@recursive_query(f", {_BROWN}, {_REGIONS}, {_BROWN_PX}, sig AS (SELECT image, x, y, s FROM brown), b AS (SELECT image, max(x) AS mx, max(y) AS my FROM brown GROUP BY image), {_SOBEL} SELECT image, region, round(edge, 4) AS edge FROM edges")
+def region_edge_strength(spark, d):
+    m = grid.brown_mask(_pixels(spark, d))
+    return grid.edge_strength(grid.regions(m), m).withColumn("edge", F.round("edge", 4))
+
+
+def patches_sql(pixels: str, bounds: str) -> str:
+    """SQL of patches (image, region, area, solidity, edge) for pixels (image, mode, x, y, h, s, v), already inset, where bounds holds."""
+    sweep = lambda kind, along, across, of, to: f"{to} AS (SELECT image, x, y, {kind}(m) OVER (PARTITION BY image, {across} ORDER BY {along} RANGE BETWEEN 4 PRECEDING AND 4 FOLLOWING) AS m FROM {of})"
+    return f"""zone AS MATERIALIZED ({pixels}),
+refs AS (SELECT image, CASE WHEN count(*) FILTER (WHERE v > 180 AND s < 55) > 200 THEN quantile_cont(s, 0.9) FILTER (WHERE v > 180 AND s < 55) ELSE 0 END AS ref FROM zone GROUP BY image),
+raw AS (SELECT image, x, y, mode = 'brown_box' AS brown, h, s, v, least(greatest(s - ref - 10, 0), 255)::DOUBLE AS above FROM zone JOIN refs USING (image)),
+sig AS MATERIALIZED (SELECT image, x, y, CASE WHEN brown THEN s ELSE floor(above) END AS s,
+  CASE WHEN brown THEN NOT (h BETWEEN 5 AND 30 AND s >= 30 AND v BETWEEN 40 AND 200) AND NOT (s <= 30 AND v >= 200) AND s >= 80 AND v BETWEEN 50 AND 240 ELSE above > 55 AND v > 40 AND v < 230 END::INT AS m FROM raw),
+b AS (SELECT image, max(x) AS mx, max(y) AS my, count(*) AS n FROM sig GROUP BY image),
+{sweep("max", "x", "y", "sig", "d1")}, {sweep("max", "y", "x", "d1", "d2")}, {sweep("min", "x", "y", "d2", "d3")}, {sweep("min", "y", "x", "d3", "closed")},
+island AS (SELECT image, x, y, x - row_number() OVER (PARTITION BY image, y ORDER BY x) AS i FROM closed WHERE m = 1),
+runs AS MATERIALIZED (SELECT image, y, min(x) AS a, max(x) AS e, y * 65536 + min(x) AS id FROM island GROUP BY image, y, i),
+reach AS (SELECT image, id, id AS seen, y, a, e FROM runs UNION SELECT r.image, r.id, o.id, o.y, o.a, o.e FROM reach r JOIN runs o ON r.image = o.image AND abs(o.y - r.y) = 1 AND o.a <= r.e + 1 AND r.a <= o.e + 1),
+low AS (SELECT image, id, min(seen) AS region FROM reach GROUP BY ALL),
+px AS MATERIALIZED (SELECT r.image, region, x, r.y FROM low JOIN runs r USING (image, id), (SELECT unnest(range(0, 4096)) AS x) g WHERE x BETWEEN a AND e),
+{_MEASURES}, {_SOBEL}, patches AS (SELECT image, region, area, solidity, edge FROM measured JOIN edges USING (image, region) JOIN b USING (image) WHERE {bounds})"""
+
+
+_INSET = "SELECT image, {0} AS mode, x - 1 AS x, y - 1 AS y, h, s, v FROM fx_pixels JOIN (SELECT image, max(x) AS mx, max(y) AS my FROM fx_pixels GROUP BY image) USING (image) WHERE x BETWEEN 1 AND mx - 1 AND y BETWEEN 1 AND my - 1 AND least(mx, my) >= 11"
+_INSET_MODES = _INSET.format("CASE WHEN image % 2 = 0 THEN 'white_box' ELSE 'brown_box' END")
 
 
-@query()
+@recursive_query(f", {patches_sql(_INSET_MODES, 'area / n >= CASE WHEN image % 3 = 0 THEN 0.1 ELSE 0.015 END AND solidity >= 0.45 AND edge >= 6')} SELECT image, region, area, round(solidity, 6) AS solidity, round(edge, 4) AS edge FROM patches")
 def foreign_patch(spark, d):
-    """Images in turn are of white and of brown boxes, and each is masked by its mode."""
+    """Images in turn are of white and of brown boxes, and each is masked by its mode; each third one's rule wants larger patches."""
     pixels = grid.inset(_pixels(spark, d))
-    modes = pixels.select("image").distinct().withColumn("mode", F.when(F.col("image") % 2 == 0, "white_box").otherwise("brown_box"))
-    return grid.foreign_patches(grid.masked(pixels, modes))
+    own = pixels.select("image").distinct().withColumn("mode", F.when(F.col("image") % 2 == 0, "white_box").otherwise("brown_box"))
+    none = F.lit(None).cast("double")
+    rules = own.select("image", F.when(F.col("image") % 3 == 0, 0.1).alias("area_ratio"), none.alias("solidity_min"), none.alias("edge_grad_min"))
+    found = grid.foreign_patches(grid.masked(pixels, own), rules)
+    return found.withColumn("solidity", F.round("solidity", 6)).withColumn("edge", F.round("edge", 4))
 
 
 # Composites

@@ -1,10 +1,14 @@
 """Sinks, hooks, streams and pixel grids."""
 
 import json
+import math
+import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from sealstone.functions import geometry as G
 from sealstone.operators import grid, reports
 from sealstone.plans import inputs
 from sealstone.sources import hooks, tables
@@ -99,20 +103,103 @@ def test_regions_and_patches(spark):
     assert grid.foreign_patches(grid.brown_mask(spark.createDataFrame([], PIXELS))).count() == 0
 
 
-def test_closing_matches_numpy(spark):
+@pytest.mark.parametrize("reach,tile", [(2, 256), (2, 8), (4, 7), (4, 256)])
+def test_closing_matches_numpy(spark, reach, tile):
     rng = np.random.default_rng(3)
-    m = rng.random((20, 20)) < 0.08
-    df = spark.createDataFrame([("a", int(x), int(y), bool(m[y, x])) for y in range(20) for x in range(20)], "image string, x int, y int, mask boolean")
+    m = rng.random((30, 30)) < 0.04
+    df = spark.createDataFrame([("a", int(x), int(y), bool(m[y, x])) for y in range(30) for x in range(30)], "image string, x int, y int, mask boolean")
 
     def sweep(a, kind, empty):
-        p = np.pad(a, 2, constant_values=empty)
-        return kind(np.stack([p[i : i + 20, j : j + 20] for i in range(5) for j in range(5)]), axis=0)
+        p = np.pad(a, reach, constant_values=empty)
+        return kind(np.stack([p[i : i + 30, j : j + 30] for i in range(2 * reach + 1) for j in range(2 * reach + 1)]), axis=0)
 
     want = sweep(sweep(m, np.max, False), np.min, True)
     got = np.zeros_like(m)
-    for r in grid.closing(df, 2).where("mask").collect():
+    closed = grid.closing(df, reach, tile) if (reach, tile) != (4, 256) else grid.closing(df)
+    for r in closed.where("mask").collect():
         got[r["y"], r["x"]] = True
-    assert (got == want).all()
+    assert (got == want).all() and closed.count() == 900
+
+
+def plain_solidity(points):
+    """By flooding the outside, counting squares, and a hull from all triples of directions."""
+    xs, ys = [p[0] for p in points], [p[1] for p in points]
+    out, todo = set(), [(min(xs) - 1, min(ys) - 1)]
+    while todo:
+        x, y = todo.pop()
+        if (x, y) in out or (x, y) in points or not (min(xs) - 1 <= x <= max(xs) + 1 and min(ys) - 1 <= y <= max(ys) + 1):
+            continue
+        out.add((x, y))
+        todo += [(x + 1, y), (x - 1, y), (x, y + 1), (x, y - 1)]
+    full = {(x, y) for x in range(min(xs), max(xs) + 1) for y in range(min(ys), max(ys) + 1)} - out
+    corners = [sum((x + i, y + j) in full for i in (0, 1) for j in (0, 1)) for x in range(min(xs) - 1, max(xs) + 1) for y in range(min(ys) - 1, max(ys) + 1)]
+    inner = corners.count(4) + corners.count(3) / 2
+    # Of each direction the farthest point is on the hull; directions between all pairs' normals are enough.
+    dirs = sorted({math.atan2(b[1] - a[1], b[0] - a[0]) + t for a in full for b in full if a != b for t in (math.pi / 2 - 1e-6, math.pi / 2 + 1e-6)})
+    hull = []
+    for t in dirs:
+        p = max(full, key=lambda p: p[0] * math.cos(t) + p[1] * math.sin(t))
+        if not hull or hull[-1] != p:
+            hull.append(p)
+    area = abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(hull, hull[1:] + hull[:1]))) / 2 if hull else 0
+    return len(points), round(min(1, inner / area), 6) if area >= 1 else 0.0
+
+
+def test_solidity_fills_holes(spark):
+    rng = np.random.default_rng(5)
+    shapes = {
+        "square": {(x, y) for x in range(3, 9) for y in range(2, 9)}, "ring": {(x, y) for x in range(7) for y in range(7) if x in (0, 6) or y in (0, 6)},
+        "diamond": {(x, y) for x in range(9) for y in range(9) if abs(x - 4) + abs(y - 4) == 4}, "line": {(x, 3) for x in range(9)}, "dot": {(4, 4)}, "slope": {(i, i) for i in range(6)},
+        "cup": {(x, y) for x in range(7) for y in range(7) if x in (0, 6) or y == 6}, "nested": {(x, y) for x in range(11) for y in range(11) if max(abs(x - 5), abs(y - 5)) in (5, 4)} | {(5, 5)},
+        "leak": {(x, y) for x in range(7) for y in range(7) if x in (0, 6) or y in (0, 6)} - {(6, 3)}, "saw": {(x, y) for x in range(10) for y in range(6) if y < 2 + x % 3},
+    }
+    shapes |= {f"noise{i}": {(int(x), int(y)) for x, y in rng.integers(0, 9, (45, 2))} for i in range(6)}
+    labelled = spark.createDataFrame([(k, 0, x, y) for k, v in shapes.items() for x, y in v], "image string, region long, x int, y int")
+    got = {r["image"]: (r["area"], round(r["solidity"], 6)) for r in grid.solidity(labelled).collect()}
+    # A region is connected; the noise isn't, and is only tested where it is.
+    linked = {r["image"] for r in grid.regions(labelled.select("image", "x", "y", F.lit(True).alias("mask"))).groupBy("image").agg(F.countDistinct("region").alias("n")).where("n = 1").collect()}
+    assert {"ring", "diamond", "leak"} <= linked
+    assert {k: got[k] for k in linked} == {k: plain_solidity(shapes[k]) for k in linked}
+
+
+def test_patches_by_rule_and_by_tile(spark):
+    on = {(x, y) for x in range(5, 15) for y in range(5, 15)} | {(x, y) for x in range(24, 36) for y in range(20, 32) if x in (24, 25, 34, 35) or y in (20, 21, 30, 31)}
+    px = spark.createDataFrame([(f"{name}", *r[1:]) for name in "ab" for r in square(40, on)], PIXELS)
+    df = grid.brown_mask(px).cache()
+    rules = spark.createDataFrame([("a", None, None, None), ("b", 0.08, None, None)], "image string, area_ratio double, solidity_min double, edge_grad_min double")
+    whole = sorted(map(tuple, grid.foreign_patches(df, rules).collect()))
+    assert [r[0] for r in whole] == ["a", "a", "b"] and whole[2][1] == 20 * 65536 + 24
+    assert sorted(map(tuple, grid.foreign_patches(df, rules, tile=8).collect())) == whole
+    assert grid.foreign_patches(df, rules.withColumn("edge_grad_min", F.lit(1e6))).count() == 0
+
+
+def test_hull_and_rectangle_of_contours(spark):
+    rng = random.Random(8)
+    clouds = [[(float(rng.randrange(20)), float(rng.randrange(20))) for _ in range(n)] for n in (1, 2, 3, 4, 9, 60, 300) for _ in range(4)]
+    clouds += [[(0.0, 0.0), (1.0, 1.0), (2.0, 2.0)], [(5.0, 5.0)] * 4, [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0), (2.0, 0.0)]]
+    turn = lambda x, y, t: (x * math.cos(t) - y * math.sin(t), x * math.sin(t) + y * math.cos(t))
+    clouds.append([turn(x, y, 0.3) for x in range(11) for y in range(6)])
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(clouds)], "i int, p array<struct<x:double,y:double>>")
+    for r in df.select("i", G.hull(F.col("p")).alias("h"), G.min_area_box(F.col("p")).alias("b")).collect():
+        points = sorted(set(clouds[r["i"]]))
+        h = [(p["x"], p["y"]) for p in r["h"]]
+        cross = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+        flat = all(abs(cross(points[0], points[-1], p)) < 1e-9 for p in points)
+        if flat:
+            assert r["b"] is None and len(h) <= 2
+            continue
+        edges = list(zip(h, h[1:] + h[:1]))
+        assert set(h) <= set(points) and all(cross(a, b, p) >= -1e-9 for a, b in edges for p in points)
+        assert all(cross(a, b, c) > (0 if r["i"] < len(clouds) - 1 else -1e-9) for a, b, c in zip(h, h[1:] + h[:1], h[2:] + h[:2]))
+        box = [(p["x"], p["y"]) for p in r["b"]]
+        area = abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(box, box[1:] + box[:1]))) / 2
+
+        def by(t):
+            q = [turn(x, y, -t) for x, y in points]  # noqa: B023
+            return (max(x for x, _ in q) - min(x for x, _ in q)) * (max(y for _, y in q) - min(y for _, y in q))
+
+        assert area <= min(by(k * math.pi / 720) for k in range(360)) + 1e-6
+        assert all(min(cross(a, b, p) for a, b in zip(box, box[1:] + box[:1])) >= -1e-6 for p in points)
 
 
 def test_reports(spark):
