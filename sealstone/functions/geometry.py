@@ -179,8 +179,8 @@ def hull(points: Column) -> Column:
 
 
 def min_area_box(contour: Column) -> Column:
-    """The four corners of the smallest rectangle around a contour of any length; of equal ones the least turned. It has a side along one of
-    the hull's. Null for fewer than three hull points."""
+    """The four corners of the smallest rectangle around a contour of any length; of equal ones the least turned; to four
+    decimals. It has a side along one of the hull's. Null for fewer than three hull points."""
 
     def around(h: Column) -> Column:
         n = F.size(h)
@@ -206,7 +206,7 @@ def min_area_box(contour: Column) -> Column:
 
     def corners(r: Column) -> Column:
         s, u = r["s"], r["s"]["u"]
-        at = lambda a, b: point(s[a] * u["x"] - s[b] * u["y"], s[a] * u["y"] + s[b] * u["x"])
+        at = lambda a, b: point(F.round(s[a] * u["x"] - s[b] * u["y"], 4), F.round(s[a] * u["y"] + s[b] * u["x"], 4))
         return F.when(r.isNotNull(), F.array(at("a0", "b0"), at("a1", "b0"), at("a1", "b1"), at("a0", "b1")))
 
     return let(let(hull(contour), around), corners)

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sealstone.functions import geometry as G
+from sealstone.rules import SPLIT_LOBS
 
 
 def united(first: Column, second: Column) -> Column:
@@ -28,6 +29,14 @@ def top_faces(quads: Column, most: int = 8, least_area: Column | None = None) ->
     return F.slice(F.array_sort(keyed), 1, most)["q"]
 
 
+def prepared(quads: Column, lob: Column, split_lobs: tuple[str, ...] = SPLIT_LOBS, most: int = 8) -> Column:
+    """The candidates to choose from: those of the general detection, for some product lines those of their own detection (source
+    split) behind them, without near duplicates, the largest first, `most` of them."""
+    of = lambda own: F.filter(quads, lambda q: (q["source"] == "split") == own)
+    both = united(of(False), F.when(lob.isin(*split_lobs), of(True)).otherwise(F.filter(quads, lambda q: F.lit(False))))
+    return top_faces(dedup_centers(both), most)
+
+
 def score(pts: Column, centers: Column, low: Column, high: Column, img_area: Column) -> Column:
     """2 if a seal's centre is inside; up to 1.5 for the aspect; up to 0.15 for the size."""
     inside = F.when(F.coalesce(F.exists(centers, lambda c: G.contains(pts, c["x"], c["y"])), F.lit(False)), 2.0).otherwise(0.0)
@@ -49,12 +58,12 @@ def axis_aligned(box: Column) -> Column:
     return F.struct(F.lit("axis_aligned").alias("method"), box["w"].cast("int").alias("w"), box["h"].cast("int").alias("h"), F.lit(None).cast("array<double>").alias("matrix"), upright.alias("corners"))
 
 
-def rectified(quads: Column, centers: Column, low: Column, high: Column, box: Column, img_w: Column, img_h: Column, rotated: Column | None = None) -> Column:
-    """struct(method, w, h, matrix, corners): perspective by the front face, else by the rotated rectangle (4 points) of the largest
-    contour where that covers 8 % of the image, else the upright box."""
+def rectified(quads: Column, centers: Column, low: Column, high: Column, box: Column, img_w: Column, img_h: Column, contour: Column | None = None) -> Column:
+    """struct(method, w, h, matrix, corners): perspective by the front face, else by the smallest rectangle around the largest contour (any
+    number of points) where that covers 8 % of the image, else the upright box."""
     nothing = F.lit(None).cast("array<struct<x:double,y:double>>")
     face = front_face(quads, centers, low, high, img_w * img_h)["pts"]
-    turned = F.when(G.area(rotated) >= 0.08 * img_w * img_h, rotated) if rotated is not None else nothing
+    turned = G.min_area_box(F.when(G.area(contour) >= 0.08 * img_w * img_h, contour)) if contour is not None else nothing
 
     def by(pts: Column, method: str) -> Column:
         def framed(cf: Column) -> Column:

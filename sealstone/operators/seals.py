@@ -64,12 +64,12 @@ def angle_check(poly: Column, box_angle: float = 0.0, most: float = ANGLE_MAX) -
     return G.let(delta, lambda d: F.struct(F.coalesce(F.abs(d) <= most, F.lit(True)).alias("ok"), F.round(d, 2).alias("angle")))
 
 
-def placement(detections: Column, seal: Column, w: Column, h: Column, zones: Column, tolerance: float = TOLERANCE) -> Column:
+def placement(detections: Column, seal: Column, w: Column, h: Column, zones: Column, tolerance: float = TOLERANCE, angle_max: float = ANGLE_MAX) -> Column:
     """struct(position_valid, rel_x, rel_y, angle, detail) of the main seal: zone (0), angle (3), flat (2), else right (1)."""
 
     def judged(p: Column) -> Column:
         zone, angle, code = p["zone"], p["angle"], p["code"]
-        turned = F.concat(F.lit("turned by "), number(angle["angle"], 1, True), F.lit(f"°, limit ±{ANGLE_MAX:.0f}°"))
+        turned = F.concat(F.lit("turned by "), number(angle["angle"], 1, True), F.lit(f"°, limit ±{angle_max:.0f}°"))
         detail = F.when(code == 3, turned).when(code == 2, "flat: its end piece shows").otherwise(Z.explained(p["x"], p["y"], zone, tolerance))
         return F.struct(code.alias("position_valid"), F.round(p["x"], 4).alias("rel_x"), F.round(p["y"], 4).alias("rel_y"), F.when(zone["ok"], angle["angle"]).alias("angle"), detail.alias("detail"))
 
@@ -78,7 +78,7 @@ def placement(detections: Column, seal: Column, w: Column, h: Column, zones: Col
         return F.struct(*[p[k].alias(k) for k in ("x", "y", "zone", "angle")], code.alias("code"))
 
     xy = F.struct(G.relative(seal["cx"], w).alias("x"), G.relative(seal["cy"], h).alias("y"))
-    both = G.let(xy, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), Z.check(p["x"], p["y"], zones, tolerance).alias("zone"), angle_check(seal["poly"]).alias("angle")))
+    both = G.let(xy, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), Z.check(p["x"], p["y"], zones, tolerance).alias("zone"), angle_check(seal["poly"], most=angle_max).alias("angle")))
     return G.let(G.let(both, tested), judged)
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sealstone.checkpoints import saved
 from sealstone.functions import geometry as G
 from sealstone.functions import text as T
-from sealstone.operators import faces, photos, seals
+from sealstone.operators import faces, grid, photos, seals
+from sealstone.rules import ANGLE_MAX, FRONT_MIN_RATIO, TOLERANCE
 from sealstone.schema import VERDICT
 
 
@@ -29,14 +31,14 @@ def verdict_v1(orders: DataFrame, of: DataFrame) -> DataFrame:
     return orders.join(found, "order_id", "left").select(*[F.col(c) for c in orders.columns], *new)
 
 
-def best_photos(of: DataFrame) -> DataFrame:
+def best_photos(of: DataFrame, front_ratio: float = FRONT_MIN_RATIO) -> DataFrame:
     """One row for each order: best, the front photo with a seal and the largest box (the first of equals); dealer, the first dealer-only text;
     stamp."""
     box, w, h = F.col("box"), F.col("img_w"), F.col("img_h")
-    candidate = T.photo_has_seal(F.col("detections")) & photos.is_front(box, w, h)
+    candidate = T.photo_has_seal(F.col("detections")) & photos.is_front(box, w, h, front_ratio)
     # What the winner needs goes along with its rank: one aggregation, no join back.
     carried = F.struct(photos.box_ratio(box, w, h).alias("ratio"), (-F.col("image_idx")).alias("first"))
-    row = F.struct("image_idx", "img_w", "img_h", "box", "detections", *(["quads"] if "quads" in of.columns else []), *(["foreign"] if "foreign" in of.columns else []))
+    row = F.struct("image_idx", "img_w", "img_h", "box", "detections", *[c for c in ("quads", "contour", "foreign") if c in of.columns])
     dealer = T.dealer_only(F.col("detections"))
     ok = of.where("status = 'ok'")
     return ok.groupBy("order_id").agg(
@@ -46,23 +48,45 @@ def best_photos(of: DataFrame) -> DataFrame:
     )
 
 
-def verdict_v2(orders: DataFrame, of: DataFrame, rules: DataFrame, double_seal_policy: str = "accept") -> DataFrame:
+def foreign_photos(orders: DataFrame, of: DataFrame, rules: DataFrame, pixels: DataFrame, front_ratio: float = FRONT_MIN_RATIO, tile: int = grid.TILE) -> DataFrame:
+    """(order_id, image_idx) of the chosen photos with a foreign sticker, by their rule's colour check.
+
+    pixels: order_id, image_idx, x, y, h, s, v, dense in the frame of the box. Two phases: the best photos of orders whose rule has its colour check
+    enabled are chosen first, and only their pixels are kept before anything is grouped; then those are judged by the rule's mode and thresholds.
+    """
+    box, w, h = F.col("box"), F.col("img_w"), F.col("img_h")
+    front = of.where("status = 'ok'").where(T.photo_has_seal(F.col("detections")) & photos.is_front(box, w, h, front_ratio))
+    best = front.groupBy("order_id").agg(F.max_by("image_idx", F.struct(photos.box_ratio(box, w, h), -F.col("image_idx"))).alias("image_idx"))
+    checked = photos.with_rules(orders, rules).where(photos.known(F.col("lob")) & F.col("color")["enabled"]).select("order_id", "color").dropDuplicates(["order_id"])
+    own = best.join(checked, "order_id").select(F.struct("order_id", "image_idx").alias("image"), "color.*")
+    own = saved(own.withColumn("mode", F.coalesce("mode", F.lit("white_box"))), "foreign-rules")
+    wanted = pixels.select(F.struct("order_id", "image_idx").alias("image"), "x", "y", "h", "s", "v").join(own.select("image"), "image", "left_semi")
+    found = grid.foreign_patches(grid.masked(grid.inset(saved(wanted, "foreign-pixels")), own), own, tile)
+    return found.select("image.*").distinct()
+
+
+def verdict_v2(
+    orders: DataFrame, of: DataFrame, rules: DataFrame, double_seal_policy: str = "accept", tolerance: float = TOLERANCE, angle_max: float = ANGLE_MAX, front_ratio: float = FRONT_MIN_RATIO
+) -> DataFrame:
     """One verdict (the columns of schema.VERDICT) beside each order's own columns.
 
     photos: order_id, image_idx, img_w, img_h, status, detections, stamp_texts, box and, where known, quads (candidate faces: array of
-    struct(source, pts)) and foreign (whether a foreign patch was found). All photos are aggregated by order; those of
+    struct(source, pts)), contour (the largest: array of points) and foreign (whether a foreign patch was found, see foreign_photos). All photos are aggregated by order; those of
     unknown product lines are dropped after the join. One exchange on order_id for each of the tables. Orders without photos, null ids and null
-    product lines get verdicts too. double_seal_policy: accept, or reject_single_only.
+    product lines get verdicts too. double_seal_policy: accept, or reject_single_only. tolerance: of zones; angle_max: degrees that a seal may be
+    turned by; front_ratio: the share of the image that a box must have.
     """
     ruled = photos.with_rules(orders, rules)
-    found = ruled.join(best_photos(of), "order_id", "left")
-    b, quads = F.col("best"), "quads" in of.columns
+    found = ruled.join(best_photos(of, front_ratio), "order_id", "left")
+    b, quads = F.col("best"), "quads" in of.columns or "contour" in of.columns
     known = photos.known(F.col("lob"))
     staged = found.withColumn("best", F.when(known, F.col("best")))
     if quads:
         centers = F.transform(seals.find_seals(b["detections"]), lambda s: G.mean_center(s["poly"]))
         none = F.array().cast("array<struct<source:string,pts:array<struct<x:double,y:double>>>>")
-        rect = faces.rectified(F.coalesce(b["quads"], none), centers, F.col("aspect_lo"), F.col("aspect_hi"), b["box"], b["img_w"], b["img_h"])
+        candidates = faces.prepared(F.coalesce(b["quads"], none), F.col("lob")) if "quads" in of.columns else none
+        contour = b["contour"] if "contour" in of.columns else None
+        rect = faces.rectified(candidates, centers, F.col("aspect_lo"), F.col("aspect_hi"), b["box"], b["img_w"], b["img_h"], contour)
     else:  # without candidate faces there is nothing to rectify
         rect = faces.axis_aligned(b["box"])
     staged = staged.withColumn("rect", F.when(b.isNotNull(), rect))
@@ -71,10 +95,10 @@ def verdict_v2(orders: DataFrame, of: DataFrame, rules: DataFrame, double_seal_p
     moved = F.transform(b["detections"], lambda d: F.struct(d["text_idx"].alias("text_idx"), d["text"].alias("text"), into(d["poly"]).alias("poly")))
     staged = staged.withColumn("dets", moved).withColumn("seals", seals.find_seals(F.col("dets")))
     staged = staged.withColumn("main", seals.main_seal(F.col("seals"), r["w"], r["h"], F.col("scan_zones")))
-    staged = staged.withColumn("place", F.when(F.col("main").isNotNull(), seals.placement(F.col("dets"), F.col("main"), r["w"], r["h"], F.col("scan_zones"))))
+    staged = staged.withColumn("place", F.when(F.col("main").isNotNull(), seals.placement(F.col("dets"), F.col("main"), r["w"], r["h"], F.col("scan_zones"), tolerance, angle_max)))
     height = F.when(r["h"] > 0, r["h"]).otherwise(b["img_h"])
     staged = staged.withColumn("dual", seals.dual_status(seals.distinct_seals(F.col("seals"), height), seals.any_auth(F.col("dets")), F.col("sticker_count")))
-    staged = staged.withColumn("auth", seals.auth_position(F.col("dets"), r["w"], r["h"], F.col("auth_zones")))
+    staged = staged.withColumn("auth", seals.auth_position(F.col("dets"), r["w"], r["h"], F.col("auth_zones"), tolerance))
 
     place, dual, auth = F.col("place"), F.col("dual"), F.col("auth")
     foreign = F.coalesce(b["foreign"], F.lit(False)) & F.coalesce(F.col("color")["enabled"], F.lit(False)) if "foreign" in of.columns else F.lit(False)

@@ -419,7 +419,7 @@ def tiered_box(spark, d):
 def tiered_rectify(spark, d):
     """Photo 1 has candidate faces, photo 2 only a rotated rectangle, the others neither."""
     f = _centered(spark, d).withColumn("q", F.when(F.col("image_idx") == 1, F.col("quads")).otherwise(F.filter("quads", lambda q: F.lit(False))))
-    turned = F.when(F.col("image_idx") == 2, F.get("quads", F.lit(0))["pts"])
+    turned = F.when(F.col("image_idx") == 2, F.get("quads", F.lit(0))["pts"])  # a contour of four points
     r = faces.rectified(F.col("q"), F.col("centers"), F.col("aspect_lo"), F.col("aspect_hi"), F.col("box"), F.col("img_w"), F.col("img_h"), turned)
     return f.withColumn("r", r).select("order_id", "image_idx", F.col("r.method").alias("rectify_method"))
 

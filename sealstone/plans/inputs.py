@@ -106,6 +106,31 @@ def faces(of: DataFrame) -> DataFrame:
     return of.withColumn("quads", F.array(*map(one, range(3)))).withColumn("detections", rings)
 
 
+def faced(of: DataFrame) -> DataFrame:
+    """Photos of each way to be rectified: the first and third with four candidate faces, one of them a near duplicate and one of a line's own
+    detection; the second with a contour, a turned rectangle with a dent; the fourth with neither. All stand off whole
+    numbers, so that no result is a tie."""
+    x, y, w, h, j = F.col("box.x") + 0.25, F.col("box.y") + 0.25, F.col("box.w"), F.col("box.h"), F.col("j")
+
+    def one(k: int, d: int, e: int, source: str) -> Column:
+        pts = F.array(point(x + 11 * k + d, y + 7 * k + e), point(x + w - 5 * k + d, y + 3 * k + j + e), point(x + w - 3 * k + d, y + h - 9 * k + e), point(x + 2 * k + j + d, y + h - 4 * k + e))
+        return F.struct(F.lit(source).alias("source"), pts.alias("pts"))
+
+    a, b = F.floor(w / 5), F.floor(h / 5)
+    at = lambda u, v: point(x + 0.25 + 3 * b + 4 * a * u - 3 * b * v, y + 0.25 + 3 * a * u + 4 * b * v)
+    quads = F.array(one(0, 0, 0, "edge"), one(0, 9, 5, "edge"), one(1, 0, 64, "split"), one(2, 120, 0, "edge"))
+    contour = F.array(at(0, 0), at(0.5, 0.25), at(1, 0), at(1, 0.5), at(1, 1), at(0, 1))
+    return faces(of).withColumn("quads", F.when(F.col("image_idx") % 2 == 1, quads)).withColumn("contour", F.when(F.col("image_idx") == 2, contour))
+
+
+def photo_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_pixels as the frames of four photos of each fortieth order; every second of these has no coloured block."""
+    plain = (F.col("image") + F.col("image_idx")) % 2 == 0
+    of = view(spark, sf_dir, "fx_pixels").withColumn("image_idx", F.explode(F.array(*map(F.lit, range(1, 5)))))
+    hsv = (F.when(plain, 15).otherwise(F.col("h")).alias("h"), F.when(plain, F.least("s", F.lit(29))).otherwise(F.col("s")).alias("s"), F.when(plain, 200).otherwise(F.col("v")).alias("v"))
+    return of.select((F.col("image") * 40).cast("string").alias("order_id"), "image_idx", "x", "y", *hsv)
+
+
 def urls(of: DataFrame) -> DataFrame:
     """order_id and four url columns, with gaps, an empty one and a literal nan."""
     url = F.when(F.col("box.method") == "fallback", "").when(F.col("j") == 3, "nan").otherwise(F.concat_ws("/", F.lit("img"), "order_id", "image_idx"))

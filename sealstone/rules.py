@@ -19,6 +19,8 @@ RULE_BOOK = (
     ("iPad", "single_or_dual", ((0.50, 0.95, 0.00, 0.30),), ((0.50, 0.95, 0.70, 1.00),), (1.2, 1.7), "white_box"),
     ("Mac", "single_or_dual", ((0.25, 0.75, 0.70, 1.00),), ((0.05, 0.50, 0.00, 0.30),), (1.2, 2.0), "brown_box"),
 )
+#: Product lines whose faces are also looked for by their own colour.
+SPLIT_LOBS = ("Mac",)
 SCAN = "扫码即领"
 STORE = "Apple授权专营店"
 DEALER = "授权经销商"
