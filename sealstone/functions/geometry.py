@@ -36,11 +36,19 @@ def scaled(poly: Column, sx: Column, sy: Column) -> Column:
 
 
 def order_corners(pts: Column) -> Column:
-    """TL, TR, BR, BL by the extremes of x + y and x - y; the first point wins, and one may be taken twice."""
-    least = lambda key: F.array_min(F.transform(pts, lambda p, i: F.struct(key(p).alias("k"), i.alias("i"), p.alias("p"))))["p"]
-    most = lambda key: F.array_max(F.transform(pts, lambda p, i: F.struct(key(p).alias("k"), (-i).alias("i"), p.alias("p"))))["p"]
+    """TL, TR, BR, BL of a face's four points, by the extremes of x + y and x - y; the first point wins, and one may be taken twice.
+
+    Written out, without functions of arrays, so that it is compiled.
+    """
+    p = [F.get(pts, F.lit(i)) for i in range(4)]
+
+    def first(key, over) -> Column:
+        k = [key(x) for x in p]
+        return F.when(over(k[0], k[1]) & over(k[0], k[2]) & over(k[0], k[3]), p[0]).when(over(k[1], k[2]) & over(k[1], k[3]), p[1]).when(over(k[2], k[3]), p[2]).otherwise(p[3])
+
     total, diff = (lambda p: p["x"] + p["y"]), (lambda p: p["x"] - p["y"])
-    return F.array(least(total), most(diff), most(total), least(diff))
+    least, most = (lambda a, b: a <= b), (lambda a, b: a >= b)
+    return F.array(first(total, least), first(diff, most), first(total, most), first(diff, least))
 
 
 def edge(a: Column, b: Column) -> Column:
@@ -74,6 +82,20 @@ def contains(pts: Column, x: Column, y: Column) -> Column:
     return F.forall(c, lambda v: v >= 0) | F.forall(c, lambda v: v <= 0)
 
 
+def face_area(pts: Column) -> Column:
+    """area() of a face's four points, written out."""
+    p = [F.get(pts, F.lit(i)) for i in range(4)]
+    terms = [a["x"] * b["y"] - b["x"] * a["y"] for a, b in zip(p, p[1:] + p[:1])]
+    return F.abs(terms[0] + terms[1] + terms[2] + terms[3]) / 2
+
+
+def face_contains(pts: Column, x: Column, y: Column) -> Column:
+    """contains() for a face's four points, written out."""
+    p = [F.get(pts, F.lit(i)) for i in range(4)]
+    c = [(b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"]) for a, b in zip(p, p[1:] + p[:1])]
+    return (F.least(*c) >= 0) | (F.greatest(*c) <= 0)
+
+
 def target_frame(corners: Column, longest: int = 1200) -> Column:
     """Whole width and height of the upright frame, shrunk so that the longer side is at most `longest`."""
 

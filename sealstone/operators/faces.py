@@ -23,7 +23,7 @@ def dedup_centers(quads: Column, threshold: float = 50.0) -> Column:
 
 def top_faces(quads: Column, most: int = 8, least_area: Column | None = None) -> Column:
     """The largest faces, largest first, equals in their order."""
-    keyed = F.transform(quads, lambda q, i: F.struct((-G.area(q["pts"])).alias("k"), i.alias("i"), q.alias("q")))
+    keyed = F.transform(quads, lambda q, i: F.struct((-G.face_area(q["pts"])).alias("k"), i.alias("i"), q.alias("q")))
     if least_area is not None:
         keyed = F.filter(keyed, lambda k: -k["k"] >= least_area)
     return F.slice(F.array_sort(keyed), 1, most)["q"]
@@ -39,16 +39,16 @@ def prepared(quads: Column, lob: Column, split_lobs: tuple[str, ...] = SPLIT_LOB
 
 def score(pts: Column, centers: Column, low: Column, high: Column, img_area: Column) -> Column:
     """2 if a seal's centre is inside; up to 1.5 for the aspect; up to 0.15 for the size."""
-    inside = F.when(F.coalesce(F.exists(centers, lambda c: G.contains(pts, c["x"], c["y"])), F.lit(False)), 2.0).otherwise(0.0)
+    inside = F.when(F.coalesce(F.exists(centers, lambda c: G.face_contains(pts, c["x"], c["y"])), F.lit(False)), 2.0).otherwise(0.0)
     fit = lambda off: F.when(off <= 0, 1.5).otherwise(F.greatest(F.lit(0.0), 1 - 0.6 * off))
     aspect = G.let(G.order_corners(pts), lambda c: G.face_size(c)["aspect"])
     shape = F.when(low.isNull() | high.isNull(), 0.0).otherwise(G.let(G.let(aspect, lambda a: F.greatest(low - a, a - high)), fit))
-    return inside + shape + 0.15 * F.least(F.lit(1.0), F.sqrt(G.area(pts) / F.greatest(img_area, F.lit(1))))
+    return inside + shape + 0.15 * F.least(F.lit(1.0), F.sqrt(G.face_area(pts) / F.greatest(img_area, F.lit(1))))
 
 
 def front_face(quads: Column, centers: Column, low: Column, high: Column, img_area: Column) -> Column:
     """The face with the highest score, then the largest, then the first; a single face is it without a score."""
-    keyed = F.transform(quads, lambda q, i: F.struct(F.round(score(q["pts"], centers, low, high, img_area), 9).alias("s"), G.area(q["pts"]).alias("a"), (-i).alias("i"), q.alias("q")))
+    keyed = F.transform(quads, lambda q, i: F.struct(F.round(score(q["pts"], centers, low, high, img_area), 9).alias("s"), G.face_area(q["pts"]).alias("a"), (-i).alias("i"), q.alias("q")))
     return F.when(F.size(quads) == 1, F.get(quads, F.lit(0))).otherwise(F.array_max(keyed)["q"])
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,11 +41,13 @@ def rate_by_lob(verdicts: DataFrame) -> DataFrame:
 
 
 def throughput(events: DataFrame, order: list[str], time: str, every: int = 50, by: list[str] = ()) -> DataFrame:
-    """Each `every`-th completion: how many are done, and the average seconds of one since the first.
+    """Each `every`-th completion: how many are done and which share of all (percent), the average seconds of one since the first, and the hours
+    that the rest will take at that pace (eta_h).
 
     Without `by` (a day, a worker), ranges of the order are numbered each by itself, on top of the rows before it.
     """
     n, begins = F.lit(0), F.lit(None)
+    totals = events.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.count("*").alias("_total"))
     if not by:
         events = saved(events.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
         before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
@@ -54,4 +58,8 @@ def throughput(events: DataFrame, order: list[str], time: str, every: int = 50,
     begun = F.least(begins, F.min(time).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     seconds = F.col(time).cast("timestamp").cast("double") - begun.cast("timestamp").cast("double")
     numbered = events.select("*", (F.row_number().over(w) + n).alias("done"), seconds.alias("_s"))
-    return numbered.where(F.col("done") % every == 0).select(*by, "done", F.round(F.col("_s") / F.col("done"), 4).alias("avg_s"))
+    steps = numbered.where(F.col("done") % every == 0)
+    steps = steps.join(totals, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])) if by else steps.crossJoin(F.broadcast(totals))  # one row
+    pace = F.col("_s") / F.col("done")
+    left = (F.col("_total") - F.col("done")) * pace / 3600
+    return steps.select(*by, "done", F.round(pace, 4).alias("avg_s"), F.round(left, 4).alias("eta_h"), F.round(100 * F.col("done") / F.col("_total"), 4).alias("percent"))

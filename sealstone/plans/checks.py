@@ -210,8 +210,8 @@ corners AS (SELECT order_id, image_idx, k, 100 + 11 * k + d AS x0, 80 + 7 * k AS
   FROM (SELECT *, CASE WHEN k = 2 THEN 120 ELSE 0 END AS d FROM fx_photos, (VALUES (0), (1), (2)) t(k))),
 quads AS MATERIALIZED (SELECT *, abs((x0 * y1 - x1 * y0) + (x1 * y2 - x2 * y1) + (x2 * y3 - x3 * y2) + (x3 * y0 - x0 * y3)) / 2 AS area, (x0 + x1 + x2 + x3) / 4 AS mx, (y0 + y1 + y2 + y3) / 4 AS my FROM corners),
 sized AS (SELECT *, greatest(sqrt(power(x0 - x1, 2) + power(y0 - y1, 2)), sqrt(power(x3 - x2, 2) + power(y3 - y2, 2))) AS qw, greatest(sqrt(power(x0 - x3, 2) + power(y0 - y3, 2)), sqrt(power(x1 - x2, 2) + power(y1 - y2, 2))) AS qh FROM quads),
-inside AS (SELECT q.order_id, q.image_idx, q.k, b.text_idx, ((x1 - x0) * (b.my - y0) - (y1 - y0) * (b.mx - x0)) AS c0, ((x2 - x1) * (b.my - y1) - (y2 - y1) * (b.mx - x1)) AS c1, ((x3 - x2) * (b.my - y2) - (y3 - y2) * (b.mx - x2)) AS c2, ((x0 - x3) * (b.my - y3) - (y0 - y3) * (b.mx - x3)) AS c3
-  FROM quads q JOIN (SELECT *, (5 * cx - hw) / 5.0::DOUBLE AS mx, (5 * cy - hh - sk) / 5.0::DOUBLE AS my FROM pb) b ON q.order_id = b.order_id AND q.image_idx = b.image_idx WHERE b.is_seal),
+inside AS (SELECT q.order_id, q.image_idx, q.k, b.text_idx, ((x1 - x0) * (b.ring_y - y0) - (y1 - y0) * (b.ring_x - x0)) AS c0, ((x2 - x1) * (b.ring_y - y1) - (y2 - y1) * (b.ring_x - x1)) AS c1, ((x3 - x2) * (b.ring_y - y2) - (y3 - y2) * (b.ring_x - x2)) AS c2, ((x0 - x3) * (b.ring_y - y3) - (y0 - y3) * (b.ring_x - x3)) AS c3
+  FROM quads q JOIN (SELECT *, (5 * cx - hw) / 5.0::DOUBLE AS ring_x, (5 * cy - hh - sk) / 5.0::DOUBLE AS ring_y FROM pb) b ON q.order_id = b.order_id AND q.image_idx = b.image_idx WHERE b.is_seal),
 within AS MATERIALIZED (SELECT order_id, image_idx, k, text_idx FROM inside WHERE least(c0, c1, c2, c3) >= 0 OR greatest(c0, c1, c2, c3) <= 0),
 scored AS (SELECT s.*, o.aspect_lo, o.aspect_hi, CASE WHEN i.k IS NOT NULL THEN 2 ELSE 0 END
     + CASE WHEN aspect_lo IS NULL THEN 0 WHEN greatest(qw, qh) / greatest(least(qw, qh), 1) BETWEEN aspect_lo AND aspect_hi THEN 1.5
@@ -332,7 +332,8 @@ def baseline_percentile(spark, d):
     return grid.baseline(inputs.view(spark, d, "fx_pixels"))
 
 
-@query("SELECT done, round((epoch_us(ts) - epoch_us(first)) / 1e6 / done, 4) AS avg_s FROM (SELECT ts, row_number() OVER (ORDER BY ts, event_id) AS done, min(ts) OVER () AS first FROM events) t WHERE done % 50 = 0")
+@query("""SELECT done, round(s / done, 4) AS avg_s, round((total - done) * (s / done) / 3600, 4) AS eta_h, round(100 * done / total, 4) AS percent
+  FROM (SELECT (epoch_us(ts) - epoch_us(min(ts) OVER ())) / 1e6 AS s, row_number() OVER (ORDER BY ts, event_id) AS done, count(*) OVER () AS total FROM events) t WHERE done % 50 = 0""")
 def throughput_every_50(spark, d):
     return reports.throughput(spark.read.parquet(f"{d}/events.parquet"), ["ts", "event_id"], "ts")
 

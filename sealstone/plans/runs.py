@@ -11,6 +11,7 @@ from sealstone.plans import inputs
 from sealstone.plans.checks import _fresh
 from sealstone.plans.oracle import FX
 from sealstone.plans.verdicts import verdict_v1
+from sealstone.rules import load_rules
 from sealstone.sources import hooks, tables
 from sealstone.streaming import incremental
 
@@ -94,6 +95,49 @@ def live_progress(spark, d):
     return spark.createDataFrame(told, "batch int, done long, failed long")
 
 
+@query("SELECT 50 * (i + 1) AS done, CAST(50 * (i + 1) // 500 * 0 AS BIGINT) AS failed, round(100 * 50 * (i + 1) / n, 4) AS percent FROM (SELECT unnest(range(n // 50)) AS i, n FROM (SELECT count(*) AS n FROM fx_orders))")
+def progress_steps(spark, d):
+    """What a run tells at each fiftieth order, over two batches; times are left out."""
+    src, out, mark, told = _fresh(spark, "orders"), _fresh(spark, "judged"), _fresh(spark, "progress"), []
+    orders = saved(inputs.orders(spark, d), "orders")
+    for part in _halves(orders):
+        part.coalesce(1).write.mode("append").parquet(src)
+    stream = incremental.new_orders(spark, src, "parquet", "order_id string, lob string", files_per_batch=1)
+    run = incremental.run_available(stream, lambda df: df.select("order_id"), out, mark, steps=told.append, total=orders.count())
+    run.awaitTermination()
+    return spark.createDataFrame([(p.done, p.failed, round(p.percent, 4)) for p in told if p.eta_h >= 0], "done long, failed long, percent double")
+
+
+@query("SELECT DISTINCT CAST(user_id AS VARCHAR) AS order_id FROM events")
+def once_within_delay(spark, d):
+    """A stream of events, of which each user's first counts; all lie within the delay."""
+    src, out = _fresh(spark, "events"), _fresh(spark, "once")
+    spark.read.parquet(f"{d}/events.parquet").select(F.col("user_id").cast("string").alias("order_id"), F.col("ts").cast("timestamp").alias("at")).repartition(2).write.parquet(src)
+    stream = spark.readStream.schema("order_id string, at timestamp").option("maxFilesPerTrigger", 1).parquet(src)
+    once = incremental.once_within(stream, "at", "36500 days")
+    once.writeStream.format("parquet").option("path", out).option("checkpointLocation", _fresh(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("order_id string").parquet(out)
+
+
+_RULE = """SELECT CASE p_partkey % 11 WHEN 0 THEN ' ' WHEN 1 THEN 'twice' WHEN 2 THEN 'UNKNOWN LOB' ELSE 'line ' || p_partkey END AS lob,
+  CASE p_partkey % 7 WHEN 0 THEN '{broken' ELSE '{"sticker_count": "' || CASE p_partkey % 5 WHEN 0 THEN 'three' WHEN 1 THEN 'single_only' ELSE 'dual_required' END
+    || '", "scan_sticker": ' || CASE p_partkey % 4 WHEN 0 THEN '{"x_min": 0.1, "x_max": 0.' || (p_size % 10) || '5}' WHEN 1 THEN '[{"y_max": 0.5}, "no", {"y_min": 0.5}]' WHEN 2 THEN '[]' ELSE '{"y_max": 1.5}' END
+    || ', "front_face_aspect_range": [1.5, ' || (p_size % 3) || '.0], "unofficial_color": {"mode": "' || CASE p_partkey % 3 WHEN 0 THEN 'brown_box' ELSE 'white_box' END || '"}}' END AS rule, p_partkey, p_size FROM part"""
+
+
+@query(f""", book AS ({_RULE}), tests AS (SELECT *, trim(lob) AS name, count(*) OVER (PARTITION BY trim(lob)) > 1 AS twice, p_partkey % 7 = 0 AS broken FROM book)
+  SELECT name AS lob, CASE WHEN len(list_filter(reasons, lambda x: x IS NOT NULL)) = 0 THEN CASE p_partkey % 4 WHEN 1 THEN 2 ELSE 1 END END AS n_zones, list_filter(reasons, lambda x: x IS NOT NULL)::VARCHAR AS reasons FROM (
+    SELECT *, [CASE WHEN name = '' THEN 'no name' END, CASE WHEN name = 'UNKNOWN LOB' THEN 'reserved name' END, CASE WHEN twice THEN 'name comes twice' END, CASE WHEN broken THEN 'not JSON' END,
+      CASE WHEN NOT broken AND p_partkey % 5 = 0 THEN 'unknown sticker_count' END, CASE WHEN NOT broken AND p_partkey % 4 = 2 THEN 'no scan zone' END, CASE WHEN NOT broken AND (p_partkey % 4 = 3 OR p_partkey % 4 = 0 AND p_size % 10 = 0) THEN 'bad zone' END,
+      CASE WHEN NOT broken AND p_size % 3 < 2 THEN 'bad aspect range' END] AS reasons FROM tests) t""")
+def rule_book_load(spark, d):
+    """A book of one rule for each part, good and bad ones."""
+    book = spark.sql(_RULE.replace("{", "{{").replace("}", "}}").replace("FROM part", "FROM {part}"), part=spark.read.parquet(f"{d}/part.parquet")).select("lob", "rule")
+    good, refused = load_rules(saved(book, "book"))
+    told = F.concat(F.lit("["), F.array_join("reasons", ", "), F.lit("]"))
+    return good.select("lob", F.size("scan_zones").alias("n_zones"), F.lit("[]").alias("reasons")).unionByName(refused.select("lob", F.lit(None).cast("int").alias("n_zones"), told.alias("reasons")))
+
+
 @query("SELECT order_id, count(*) AS n FROM fx_orders GROUP BY order_id")
 def once_per_order(spark, d):
     """Orders sent twice in one batch, judged once each."""
@@ -128,12 +172,16 @@ def recogniser_hook(spark, d):
     return found.select("order_id", "image_idx", F.size("detections").cast("long").alias("n_texts"), F.size(F.filter("detections", lambda x: x["text"].contains("扫码即领"))).cast("long").alias("n_seals"))
 
 
-@query("SELECT lpad(CAST(i AS VARCHAR), 5, '0') AS photo, true AS there FROM range(4) t(i)")
+@query("""SELECT c_custkey::VARCHAR AS order_id, (1 + c_custkey % 2)::INT AS image_idx, CASE WHEN c_custkey % 7 = 0 OR c_custkey % 5 = 0 THEN 'missing' ELSE 'ok' END AS status,
+  CASE WHEN c_custkey % 7 = 0 OR c_custkey % 5 = 0 THEN 0 ELSE length(n_name) + 1 END AS n_bytes FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def photo_source(spark, d):
-    """Photos as files of an object store; here the parts of a written table stand for them."""
+    """Photos in an object store, found by their urls: a file for each nation, which its customers' photos share; some have a wrong url or none."""
     path = _fresh(spark, "photos")
-    inputs.orders(spark, d).repartition(4).write.parquet(path)
-    return tables.read_photos(spark, path).select(F.regexp_extract("path", r"part-(\d+)", 1).alias("photo"), (F.col("length") > 0).alias("there"))
+    spark.read.parquet(f"{d}/nation.parquet").select(F.col("n_nationkey").alias("nation"), "n_name").repartition("nation").write.partitionBy("nation").text(path)
+    url = F.when(F.col("c_custkey") % 7 == 0, "elsewhere").when(F.col("c_custkey") % 5 != 0, F.concat(F.lit("nation="), F.col("c_nationkey").cast("string")))
+    of = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").cast("string").alias("order_id"), (1 + F.col("c_custkey") % 2).cast("int").alias("image_idx"), url.alias("url"))
+    got = tables.stored(of, tables.read_photos(spark, path), F.regexp_extract("path", r"(nation=\d+)", 1))
+    return got.select("order_id", "image_idx", "status", F.coalesce(F.length("content"), F.lit(0)).alias("n_bytes"))
 
 
 @query("SELECT order_id, stamp_time FROM stamps")

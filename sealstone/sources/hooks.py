@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, wait
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sealstone.schema import DETECTIONS
 
+#: The recognisers that this Python worker has built, by the hash of their maker.
+_BUILT: dict[str, Callable[[bytes], str]] = {}
+
+
+def built(key: str, make: Callable[[], Callable[[bytes], str]]) -> Callable[[bytes], str]:
+    """The worker's recogniser; Spark reuses workers, so later tasks find it built."""
+    if key not in _BUILT:
+        _BUILT[key] = make()
+    return _BUILT[key]
+
+
 RECOGNISED = "res struct<rec_texts:array<string>,dt_polys:array<array<array<double>>>,boxes:array<array<array<double>>>>"
 
 
@@ -46,18 +59,19 @@ def fetched(photos: DataFrame, fetch: Callable[[str], bytes], threads: int = 8,
 
 def recognised(photos: DataFrame, make: Callable[[], Callable[[bytes], str]]) -> DataFrame:
     """photos (order_id, image_idx, content, status) with the recogniser's JSON as detections. make() builds the recogniser once in
-    each task, when its first photo comes; what fails has no detections and an error."""
+    each Python worker, when its first photo comes, and all tasks that run there use it; what fails has no detections and an error."""
+    key = hashlib.sha256(cloudpickle.dumps(make)).hexdigest()
 
     def run(batches):
-        recognise = None
+        from sealstone.sources import hooks  # the worker's own module, whose table outlives the task
+
         for pdf in batches:
             found, errors = [], []
             for content, status in zip(pdf["content"], pdf["status"]):
                 text = error = None
                 if status == "ok":
                     try:
-                        recognise = recognise or make()
-                        text = recognise(content)
+                        text = hooks.built(key, make)(content)
                     except Exception as e:  # as above
                         error = f"{type(e).__name__}: {e}"
                 found.append(text)

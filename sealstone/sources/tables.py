@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -61,3 +61,14 @@ def export(spark: SparkSession, path: str, to: str, fmt: str = "parquet", files:
 def read_photos(spark: SparkSession, path: str) -> DataFrame:
     """path, length and content of photos in an object store."""
     return spark.read.format("binaryFile").load(path).select("path", "length", "content")
+
+
+def stored(photos: DataFrame, files: DataFrame, name: Column) -> DataFrame:
+    """photos (order_id, image_idx, url) with content and status: ok, or missing where there is no url or no file (path, length, content) of that name.
+
+    name: a file's url, of its path. A photo that several orders share goes to each; of files with one name the first path counts. What fetched() gives
+    for photos on the web, this gives for those in an object store.
+    """
+    own = files.groupBy(name.alias("_name")).agg(F.min_by("content", "path").alias("content"))
+    both = photos.select("order_id", "image_idx", "url").join(own, F.col("url") == F.col("_name"), "left")
+    return both.select("order_id", "image_idx", "url", "content", F.when(F.col("content").isNull(), "missing").otherwise("ok").alias("status"))

@@ -87,7 +87,62 @@ def test_verdict_through_a_homography(spark):
 def test_plan_has_no_python_and_broadcasts_the_rules(spark):
     orders, of, rules = tables(spark)
     plan = verdict.verdict_v2(orders, of, rules)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Cartesian" not in plan
+    assert "Python" not in plan and "Cartesian" not in plan and "BroadcastHashJoin [regexp_replace(lob" in plan
+
+
+CODES = ("is_compliant", "seal_exists", "position_valid", "dual_code")
+
+
+def test_contours_turn_photos_upright(spark):
+    """A contour that is the box itself gives the same verdicts by rotation, also where the faces are degenerate; a small one does nothing."""
+    orders, of, rules = tables(spark)
+    ring = lambda *p: F.array(*[G.point(F.lit(x), F.lit(y)) for x, y in p])
+    whole = ring((0, 0), (50, 0), (100, 0), (100, 90), (100, 200), (0, 200), (0, 7))
+    plain = {r["order_id"]: [r[c] for c in CODES] for r in verdict.verdict_v2(orders, of, rules).collect()}
+    flat = F.array(F.struct(F.lit("edge").alias("source"), ring(*[(5, 5)] * 4).alias("pts")))
+    for more in (of.withColumn("contour", whole), of.withColumn("contour", whole).withColumn("quads", flat)):
+        seen = {r["order_id"]: r for r in verdict.verdict_v2(orders, more, rules).collect()}
+        assert {k: [r[c] for c in CODES] for k, r in seen.items()} == plain
+        assert seen["G12"]["rectify_method"] == "rotation" and seen["G12"]["box_quad_src"] == "[[0.0,0.0],[100.0,0.0],[100.0,200.0],[0.0,200.0]]"
+    small = of.withColumn("contour", ring((0, 0), (60, 0), (60, 60)))
+    assert {r["rectify_method"] for r in verdict.verdict_v2(orders, small, rules).collect()} == {"axis_aligned"}
+
+
+def test_prepared_faces(spark):
+    at = lambda x, s, size=100.0: (s, [(x, 0.0), (x + size, 0.0), (x + size, size), (x, size)])
+    quads = [at(0.0, "split"), at(10.0, "edge"), at(40.0, "edge"), at(90.0, "edge", 50.0), *[at(1000.0 + 200 * i, "edge", 10.0 + i) for i in range(9)]]
+    df = spark.createDataFrame([("Mac", quads), ("iPad", quads), ("iPad", [])], "lob string, q array<struct<source:string,pts:array<struct<x:double,y:double>>>>")
+    got = [[(q["source"], q["pts"][0]["x"]) for q in r["p"]] for r in df.select(faces.prepared(F.col("q"), F.col("lob")).alias("p")).collect()]
+    assert got[0][:2] == [("edge", 10.0), ("edge", 90.0)] and got[0] == got[1] and len(got[1]) == 8 and got[1][2] == ("edge", 2600.0) and got[2] == []
+    far = df.withColumn("q", F.transform("q", lambda q, i: F.when(i == 0, F.struct(q["source"].alias("source"), F.transform(q["pts"], lambda p: G.point(p["x"] - 400, p["y"])).alias("pts"))).otherwise(q)))
+    kept = [{q["source"] for q in r["p"]} for r in far.select(faces.prepared(F.col("q"), F.col("lob")).alias("p")).collect()]
+    assert kept == [{"split", "edge"}, {"edge"}, set()]
+
+
+def test_foreign_stickers_of_chosen_photos(spark):
+    orders, of, rules = tables(spark)
+    patch = "case when x between 8 and 19 and y between 8 and 19 then 200 else 10 end"
+    grid_ = spark.range(1600).selectExpr("int(id % 40) x", "int(id div 40) y").selectExpr("x", "y", "100 h", f"{patch} s", f"case when {patch} = 200 then 120 else 200 end v")
+    keys = spark.createDataFrame([("G12", 1), ("G11", 2), ("G1", 1), ("G3", 1), ("G8", 1)], "order_id string, image_idx int")
+    plain = spark.createDataFrame([("G9", 1)], "order_id string, image_idx int").crossJoin(grid_.withColumn("s", F.lit(10)))
+    pixels = keys.crossJoin(grid_).unionByName(plain)
+    off = rules.withColumn("color", F.when(F.col("lob") != "Strict", F.col("color")).otherwise(F.col("color").withField("enabled", F.lit(False))))
+    found = {(r["order_id"], r["image_idx"]) for r in verdict.foreign_photos(orders.unionByName(orders), of, off, pixels).collect()}
+    assert found == {("G12", 1)}  # G11's is of another photo, G1's line is unknown, G3 has no seal, G8's rule is off
+    strict = rules.withColumn("color", F.col("color").withField("area_ratio", F.lit(0.5)))
+    assert verdict.foreign_photos(orders, of, strict, pixels).count() == 0
+    flagged = of.drop("foreign").join(verdict.foreign_photos(orders, of, off, pixels).withColumn("foreign", F.lit(True)), ["order_id", "image_idx"], "left")
+    got = {r["order_id"]: r for r in verdict.verdict_v2(orders, flagged, off).collect()}
+    assert [got["G12"][c] for c in CODES] == [0, 1, 4, -1] and got["G4"]["position_valid"] == 1 and got["G9"]["position_valid"] == 1
+    assert verdict.foreign_photos(orders, of, off, pixels.limit(0)).count() == 0
+
+
+def test_parameters_of_the_verdict(spark):
+    orders, of, rules = tables(spark)
+    by = lambda **more: {r["order_id"]: r for r in verdict.verdict_v2(orders, of, rules, **more).collect()}
+    none = by(tolerance=0.0)
+    assert none["G13"]["position_valid"] == 0 and none["G12"]["detail"].endswith("tolerance ±0.00)")
+    assert by(angle_max=60.0)["G6b"]["position_valid"] == 1 and by(front_ratio=0.9)["G12"]["position_valid"] == -1
 
 
 @pytest.mark.parametrize("x, y, ok", [(0.35, 0.2, True), (0.349, 0.2, False), (0.7, 0.45, False), (0.7, 0.449, True), (1.10, 0.2, False), (None, None, True)])
