@@ -4,11 +4,11 @@ Each url falls under a host, and its path is a sequence of segments. A segment t
 hexadecimal or coded names) becomes a wildcard; then, level by level, so does every child of a template that has more than
 MOST_CHILDREN different children. What is left is a tree: overall, registered domain, host, and each beginning of a template.
 Sibling branches whose share of blocked urls does not differ significantly are merged and pool their labels. A template's purity
-is smoothed along its path, from the root down: a node's estimate is what it has itself, shrunk towards its parent's estimate by
-PRIOR_WEIGHT. The template itself has its labelled urls; a node above has its labelled branches, each of which counts once, so
-that many labels in one branch don't condemn the others. Purity of MIN_PURITY rejects a template that has labels itself or in a
-branch of its host that it lies in; what host and domain alone suggest raises or lowers purity, but condemns nothing. Labels come from a table of labelled urls;
-the query uses the urls that its rules decide, and asks the tree only about the others.
+is smoothed along its path, from the root down: a node's estimate is what it has itself, shrunk by PRIOR_WEIGHT towards a prior, the mean of
+its parent's estimate and of what the same template has on other hosts (of its domain, shrunk towards all domains; nowhere labelled: the overall share).
+The template itself has its labelled urls; a node above has its labelled branches, each of which counts once, so that many labels in one branch don't
+condemn the others. Purity of MIN_PURITY rejects a template. Labels come from a table of labelled urls; the query uses the urls that
+its rules decide, and asks the tree only about the others.
 """
 
 from __future__ import annotations
@@ -46,13 +46,17 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def templates(urls: DataFrame) -> DataFrame:
-    """Adds `segments`, the template of the path, to (host, path, ...), level by level down to the deepest path."""
+    """Adds `segments`, the template of the path, to (host, path, ...).
+
+    Only levels at which a host has more than MOST_CHILDREN different segments can have a template with so many children; one pass finds them.
+    """
     parts = F.filter(F.split("path", "/", -1), lambda s: s != "")
     out = urls.withColumn("segments", F.transform(parts, lambda s: F.when(s.rlike(VARIABLE) | (s.rlike(CODED) & s.rlike("[0-9]")), F.lit("*")).otherwise(s)))
-    for level in range(out.agg(F.max(F.size("segments"))).first()[0] or 0):
+    # Distinct first, so that a hot host is counted before it is shuffled.
+    wide = out.select("host", F.posexplode("segments").alias("level", "segment")).distinct().groupBy("host", "level").agg(F.count("*").alias("n"))
+    for level in sorted(r[0] for r in wide.where(F.col("n") > MOST_CHILDREN).select("level").distinct().collect()):
         above = F.concat_ws("/", F.slice("segments", 1, level)) if level else F.lit("")
         here = F.get("segments", F.lit(level))
-        # Distinct first, by host, template and child, so that a hot host is counted before it is shuffled.
         children = out.where(here.isNotNull()).select(F.col("host").alias("h"), above.alias("above"), here.alias("child")).distinct()
         many = saved(children.groupBy("h", "above").agg(F.count("*").alias("n")).where(F.col("n") > MOST_CHILDREN).select("h", "above"), f"url-wide-{level}")
         if many.isEmpty():
@@ -76,7 +80,8 @@ def _merged(nodes: DataFrame) -> DataFrame:
 
 def tree(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Labelled urls (host, segments, bad) to the nodes (host, node, depth; m and b, what a url below it goes by; own_n and own_k, what
-    a url that ends there goes by), siblings merged, and the root's levels (host, start: the estimate above the host's own)."""
+    a url that ends there goes by), siblings merged, and the priors (domain, node, start): of a domain, of a template there, of a template
+    anywhere (domain null), and overall (both null)."""
     counts = labelled.groupBy("host", "segments").agg(F.count("*").alias("n"), F.sum("bad").alias("k"))
     at = counts.select("host", "segments", "n", "k", F.explode(F.sequence(F.lit(0), F.size("segments"))).alias("depth"))
     node = lambda d: F.concat_ws("/", F.slice("segments", F.lit(1), d))
@@ -91,9 +96,17 @@ def tree(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     merged = merged.select("host", "node", "depth", F.coalesce("m", F.lit(0)).alias("m"), F.coalesce("b", F.lit(0.0)).alias("b"), "own_n", "own_k")
     hosts = nodes.where("depth = 0").select(registered(F.col("host")).alias("domain"), (F.col("k") / F.col("n")).alias("share"))
     domains = hosts.groupBy("domain").agg(F.count("*").alias("m"), F.sum("share").alias("b"))
-    overall = domains.agg((F.sum(F.col("b") / F.col("m")) / F.count("*")).alias("overall"))  # one row
-    domains = domains.crossJoin(F.broadcast(overall)).select("domain", ((F.col("b") + PRIOR_WEIGHT * F.col("overall")) / (F.col("m") + PRIOR_WEIGHT)).alias("start"))
-    return merged, domains.unionByName(overall.select(F.lit(None).cast("string").alias("domain"), F.coalesce("overall", F.lit(0.0)).alias("start")))
+    overall = domains.agg((F.coalesce(F.sum(F.col("b") / F.col("m")), F.lit(0.0)) / (F.count("*") + 1)).alias("overall"))  # one row; a domain not seen yet counts as clean
+    shrunk = lambda b, m, prior: (F.col(b) + PRIOR_WEIGHT * F.col(prior)) / (F.col(m) + PRIOR_WEIGHT)
+    starts = domains.crossJoin(F.broadcast(overall)).select("domain", F.lit(None).cast("string").alias("node"), shrunk("b", "m", "overall").alias("start"))
+    alike = nodes.where("depth > 0").groupBy("node", registered(F.col("host")).alias("domain")).agg(F.count("*").alias("m"), F.sum(F.col("k") / F.col("n")).alias("b"))
+    alike = saved(alike, "url-alike")
+    of_all = alike.groupBy("node").agg(F.count("*").alias("m_all"), F.sum(F.col("b") / F.col("m")).alias("b_all")).crossJoin(F.broadcast(overall))
+    of_all = of_all.select("node", shrunk("b_all", "m_all", "overall").alias("start"))
+    of_domain = alike.join(of_all, "node").select("domain", "node", shrunk("b", "m", "start").alias("start"))
+    of_all = of_all.select(F.lit(None).cast("string").alias("domain"), "node", "start")
+    none = F.lit(None).cast("string")
+    return merged, starts.unionByName(of_domain).unionByName(of_all).unionByName(overall.select(none.alias("domain"), none.alias("node"), F.col("overall").alias("start")))
 
 
 def registered(host: Column) -> Column:
@@ -102,18 +115,22 @@ def registered(host: Column) -> Column:
 
 
 def purities(found: DataFrame, nodes: DataFrame, starts: DataFrame) -> DataFrame:
-    """host, template, purity and known (whether it lies in a labelled branch) of each template (host, segments)."""
+    """host, template and purity of each template (host, segments)."""
     found = found.select("host", "segments").distinct()
     at = found.select("host", F.concat_ws("/", "segments").alias("template"), F.size("segments").alias("size"), F.posexplode(F.transform(F.sequence(F.lit(0), F.size("segments")), lambda d: F.concat_ws("/", F.slice("segments", F.lit(1), d)))).alias("depth", "node"))
-    at = at.join(nodes.withColumnRenamed("depth", "_d"), ["host", "node"], "left")
+    at = at.join(nodes.withColumnRenamed("depth", "_d"), ["host", "node"], "left").withColumn("domain", registered(F.col("host")))
+    at = at.join(starts.where("domain is not null and node is not null").withColumnRenamed("start", "t_own"), ["domain", "node"], "left")
+    at = at.join(starts.where("domain is null and node is not null").select("node", F.col("start").alias("t_all")), "node", "left")
+    overall = starts.where("domain is null and node is null").select(F.col("start").alias("overall"))  # one row
+    at = at.crossJoin(F.broadcast(overall))
     ends = F.col("depth") == F.col("size")
-    mine = F.struct("depth", F.coalesce(F.when(ends, F.col("own_k")).otherwise(F.col("b")), F.lit(0.0)).alias("b"), F.coalesce(F.when(ends, F.col("own_n")).otherwise(F.col("m")), F.lit(0)).cast("double").alias("m"))
-    chain = at.groupBy("host", "template").agg(F.array_sort(F.collect_list(mine)).alias("chain"))  # of one path
-    overall = starts.where("domain is null").select(F.col("start").alias("overall"))  # one row
-    chain = chain.join(starts.where("domain is not null"), registered(F.col("host")) == F.col("domain"), "left").crossJoin(F.broadcast(overall))
-    fold = F.aggregate("chain", F.coalesce("start", "overall"), lambda p, x: (x["b"] + PRIOR_WEIGHT * p) / (x["m"] + PRIOR_WEIGHT))
-    known = F.exists("chain", lambda x: (x["m"] > 0) & ((x["depth"] > 0) | (F.size("chain") == 1)))
-    return chain.select("host", "template", fold.alias("purity"), known.alias("known"))
+    b, m = F.coalesce(F.when(ends, F.col("own_k")).otherwise(F.col("b")), F.lit(0.0)), F.coalesce(F.when(ends, F.col("own_n")).otherwise(F.col("m")), F.lit(0)).cast("double")
+    mine = F.struct("depth", b.alias("b"), m.alias("m"), F.coalesce("t_own", "t_all", "overall").alias("t"))
+    chain = at.groupBy("host", "domain", "template", "overall").agg(F.array_sort(F.collect_list(mine)).alias("chain"))  # of one path
+    chain = chain.join(starts.where("domain is not null and node is null").select("domain", "start"), "domain", "left")
+    prior = lambda p, x: F.when(x["depth"] == 0, p).otherwise((p + x["t"]) / 2)
+    fold = F.aggregate("chain", F.coalesce("start", "overall"), lambda p, x: (x["b"] + PRIOR_WEIGHT * prior(p, x)) / (x["m"] + PRIOR_WEIGHT))
+    return chain.select("host", "template", fold.alias("purity"))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -127,9 +144,9 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     urls = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("rule", name).withColumn("by_rule", verdict)
     found = saved(templates(urls), "url-templates")
     nodes, starts = tree(found.where("by_rule is not null").withColumn("bad", (F.col("by_rule") == "block").cast("long")))
-    known = saved(purities(found, nodes, saved(starts, "url-starts")), "url-tree").select(F.col("host").alias("h"), F.col("template").alias("t"), "purity", "known")
+    known = saved(purities(found, nodes, saved(starts, "url-starts")), "url-tree").select(F.col("host").alias("h"), F.col("template").alias("t"), "purity")
     out = found.join(known, (F.col("host") == F.col("h")) & (F.concat_ws("/", "segments") == F.col("t")))
-    own = F.when(F.col("known") & (F.col("purity") >= MIN_PURITY), F.lit("block")).otherwise(F.lit("allow"))
+    own = F.when(F.col("purity") >= MIN_PURITY, F.lit("block")).otherwise(F.lit("allow"))
     return out.select("page_id", "host", "path", "rule", F.coalesce("by_rule", own).alias("verdict"), F.round("purity", 6).alias("purity"))
 
 
@@ -174,15 +191,19 @@ merged AS (
 branches AS (SELECT host, parent, count(*) AS m, sum(k / n) AS b FROM merged WHERE parent IS NOT NULL GROUP BY host, parent),
 full_nodes AS MATERIALIZED (SELECT t.host, t.node, coalesce(m, 0) AS m, coalesce(b, 0) AS b, own_n, own_k FROM merged t LEFT JOIN branches c ON t.host = c.host AND t.node = c.parent),
 domains AS (SELECT {_DOMAIN} AS domain, count(*) AS m, sum(k / n) AS b FROM nodes WHERE depth = 0 GROUP BY 1),
-overall AS (SELECT coalesce(avg(b / m), 0) AS overall FROM domains),
+overall AS (SELECT coalesce(sum(b / m), 0) / (count(*) + 1) AS overall FROM domains),
+alike AS (SELECT node, {_DOMAIN} AS domain, count(*) AS m, sum(k / n) AS b FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+alike_all AS (SELECT node, (sum(b / m) + {PRIOR_WEIGHT} * overall) / (count(*) + {PRIOR_WEIGHT}) AS t FROM alike, overall GROUP BY node, overall),
+alike_own AS (SELECT node, domain, (b + {PRIOR_WEIGHT} * t) / (m + {PRIOR_WEIGHT}) AS t FROM alike JOIN alike_all USING (node)),
 own AS (SELECT DISTINCT host, template, segments FROM found),
 chains AS (
-  SELECT o.host, template, list({{'b': (CASE WHEN depth = len(segments) THEN coalesce(own_k, 0) ELSE coalesce(b, 0) END)::DOUBLE, 'm': (CASE WHEN depth = len(segments) THEN coalesce(own_n, 0) ELSE coalesce(m, 0) END)::DOUBLE}} ORDER BY depth) AS chain
-  FROM (SELECT *, unnest(range(len(segments) + 1)) AS depth FROM own) o LEFT JOIN full_nodes f ON o.host = f.host AND array_to_string(segments[1:depth], '/') = f.node GROUP BY ALL),
+  SELECT o.host, template, list({{'t': CASE WHEN depth > 0 THEN coalesce(d.t, a.t, overall)::DOUBLE END, 'b': (CASE WHEN depth = len(segments) THEN coalesce(own_k, 0) ELSE coalesce(b, 0) END)::DOUBLE, 'm': (CASE WHEN depth = len(segments) THEN coalesce(own_n, 0) ELSE coalesce(m, 0) END)::DOUBLE}} ORDER BY depth) AS chain
+  FROM (SELECT *, unnest(range(len(segments) + 1)) AS depth FROM own) o LEFT JOIN full_nodes f ON o.host = f.host AND array_to_string(segments[1:depth], '/') = f.node
+  LEFT JOIN alike_all a ON array_to_string(segments[1:depth], '/') = a.node LEFT JOIN alike_own d ON array_to_string(segments[1:depth], '/') = d.node AND {_DOMAIN.replace("host", "o.host")} = d.domain, overall GROUP BY o.host, template),
 purity AS (
-  SELECT host, template, len(list_filter(chain[2:], lambda x: x.m > 0)) > 0 OR len(chain) = 1 AND chain[1].m > 0 AS known, list_reduce(list_prepend({{'b': coalesce((d.b + {PRIOR_WEIGHT} * overall) / (d.m + {PRIOR_WEIGHT}), overall)::DOUBLE, 'm': 0::DOUBLE}}, chain),
-    lambda p, x: {{'b': (x.b + {PRIOR_WEIGHT} * p.b) / (x.m + {PRIOR_WEIGHT}), 'm': 0::DOUBLE}}).b AS purity
+  SELECT host, template, list_reduce(list_prepend({{'t': NULL::DOUBLE, 'b': coalesce((d.b + {PRIOR_WEIGHT} * overall) / (d.m + {PRIOR_WEIGHT}), overall)::DOUBLE, 'm': 0::DOUBLE}}, chain),
+    lambda p, x: {{'t': NULL::DOUBLE, 'b': (x.b + {PRIOR_WEIGHT} * coalesce((p.b + x.t) / 2, p.b)) / (x.m + {PRIOR_WEIGHT}), 'm': 0::DOUBLE}}).b AS purity
   FROM chains c LEFT JOIN domains d ON {_DOMAIN} = domain, overall)
-SELECT page_id, f.host, path, rule, coalesce(by_rule, CASE WHEN known AND purity >= {MIN_PURITY} THEN 'block' ELSE 'allow' END) AS verdict, round(purity, 6) AS purity
+SELECT page_id, f.host, path, rule, coalesce(by_rule, CASE WHEN purity >= {MIN_PURITY} THEN 'block' ELSE 'allow' END) AS verdict, round(purity, 6) AS purity
 FROM found f JOIN purity p ON f.host = p.host AND f.template = p.template
 """
