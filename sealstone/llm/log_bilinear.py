@@ -32,10 +32,12 @@ SHORT, BUCKETS = 127, 128
 CLASSES = 1 + SHORT + BUCKETS
 END, BEGIN = 0, CLASSES
 CONTEXT, DIMS, NOISE, BATCH, ROUNDS, RATE = 4, 32, 64, 512, 4, 0.15
+#: A batch has lines of so many tokens each, from all over a chunk: neighbours share their contexts' vectors.
+LINE = 32
 #: Words whose counts each worker knows, at most; the others' counts are joined. Distinct words that a worker counts before it hands them on.
 HEAD, FLUSH = 1 << 16, 1 << 18
 #: Tokens of a matrix product in scoring; tokens that are shuffled together in training.
-PRODUCT, CHUNK = 1 << 10, 1 << 14
+PRODUCT, CHUNK = 1 << 9, 1 << 14
 FOLDS, HELD_OUT = 5, 1
 
 
@@ -76,30 +78,51 @@ class Model:
             q += (self.inputs * self.places[k]).take(before[:, k], axis=0)
         return q
 
-    def log_probs(self, before: np.ndarray, target: np.ndarray | None = None) -> np.ndarray:
-        """The natural log-probability of each class, for each row of before; or only of the row's target."""
-        score = self.context(before) @ self.outputs.T
-        score += self.bias
+    def log_probs(self, before: np.ndarray) -> np.ndarray:
+        """The natural log-probability of each class, for each row of before."""
+        score = self.context(before) @ self.outputs.T + self.bias
         score -= score.max(axis=1, keepdims=True)
-        own = score.copy() if target is None else score[np.arange(len(target)), target]
-        total = np.log(np.exp(score, out=score).sum(axis=1))
-        return own - (total[:, None] if target is None else total)
-
-    def gradients(self, before: np.ndarray, target: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of the loss of telling targets from noise, summed over the batch: inputs, outputs, bias, places."""
-        parts = [self.inputs.take(before[:, k], axis=0) for k in range(CONTEXT)]
-        q = sum(x * s for x, s in zip(parts, self.places))
+        return score - np.log(np.exp(score).sum(axis=1, keepdims=True))
+
+    def target_log_probs(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Of each row's target alone: minus the logarithm of the sum of the exponentials of all scores less the target's own, which one matrix
+        product gives; where that sum is too large, by log_probs."""
+        q = self.context(before)
+        own = np.einsum("ij,ij->i", q, self.outputs.take(target, axis=0)) + self.bias.take(target)
+        one = np.ones((len(q), 1), dtype=q.dtype)
+        classes = np.column_stack((self.outputs, self.bias, np.ones(CLASSES, dtype=q.dtype)))
+        more = np.concatenate((q, one, -own[:, None]), axis=1) @ classes.T
+        with np.errstate(over="ignore"):
+            out = -np.log(np.exp(more, out=more) @ np.ones(CLASSES, dtype=q.dtype))
+        for i in np.flatnonzero(~np.isfinite(out)):
+            out[i] = self.log_probs(before[i : i + 1])[0, target[i]]
+        return out
+
+    def gradients(self, lines: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of the loss of telling the tokens of lines from noise, summed: inputs, outputs, bias, places. A line begins with the CONTEXT classes before
+        its first token; where a begin stands there is no token."""
+        x = self.inputs.take(lines, axis=0)
+        at = lambda k: slice(CONTEXT - 1 - k, lines.shape[1] - 1 - k)  # noqa: E731  the classes k + 1 places before the tokens
+        q = sum(x[:, at(k)] * self.places[k] for k in range(CONTEXT)).reshape(-1, DIMS)
+        target = lines[:, CONTEXT:].ravel()
+        there = target != BEGIN
+        target = np.where(there, target, END)
         expected = self.outputs.take(target, axis=0)
         log_noise = np.log(len(noise) * self.noise).astype("f4")
         right = np.einsum("ij,ij->i", q, expected) + self.bias[target] - log_noise[target]
         wrong = q @ self.outputs[noise].T + (self.bias - log_noise)[noise]
-        g_right, g_wrong = -1 / (1 + np.exp(np.clip(right, -30, 30))), 1 / (1 + np.exp(-np.clip(wrong, -30, 30)))
-        d_q = g_right[:, None] * expected + g_wrong @ self.outputs[noise]
-        d_outputs, d_bias = _summed(target, g_right[:, None] * q, CLASSES), np.bincount(target, g_right, CLASSES)
-        np.add.at(d_outputs, noise, g_wrong.T @ q)
-        np.add.at(d_bias, noise, g_wrong.sum(axis=0))
-        d_inputs = _summed(before.T.ravel(), np.concatenate([d_q * s for s in self.places]), CLASSES + 1)
-        return d_inputs, d_outputs, d_bias, np.stack([(d_q * x).sum(axis=0) for x in parts])
+        there = there.astype("f4")
+        g_right, g_wrong = -there / (1 + np.exp(np.clip(right, -30, 30))), there[:, None] / (1 + np.exp(-np.clip(wrong, -30, 30)))
+        g_right, g_wrong = g_right.astype(q.dtype), g_wrong.astype(q.dtype)
+        d_q = (g_right[:, None] * expected + g_wrong @ self.outputs[noise]).reshape(len(lines), -1, DIMS)
+        outs = np.concatenate((target, noise))
+        d_outputs = _summed(outs, np.concatenate((g_right[:, None] * q, g_wrong.T @ q)), CLASSES)
+        d_bias = np.bincount(outs, np.concatenate((g_right, g_wrong.sum(axis=0))), CLASSES)
+        d_x = np.zeros_like(x)
+        for k in range(CONTEXT):
+            d_x[:, at(k)] += d_q * self.places[k]
+        d_places = np.stack([np.einsum("ijk,ijk->k", x[:, at(k)], d_q) for k in range(CONTEXT)])
+        return _summed(lines.ravel(), d_x.reshape(-1, DIMS), CLASSES + 1), d_outputs, d_bias, d_places
 
     def loss(self, before: np.ndarray, target: np.ndarray, noise: np.ndarray) -> float:
         score = self.context(before).astype("f8") @ self.outputs.T.astype("f8") + self.bias - np.log(len(noise) * self.noise)
@@ -109,13 +132,22 @@ class Model:
 def _summed(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Rows of values summed by where they go."""
     out = np.zeros((n, values.shape[1]), dtype=values.dtype)
-    order = np.argsort(at, kind="stable")
-    at = at[order]
-    first = np.flatnonzero(np.diff(at, prepend=-1))
-    out[at[first]] = np.add.reduceat(values.take(order, axis=0), first) if len(at) else 0
+    if len(at):
+        order = np.argsort(at, kind="stable")
+        at = at.take(order)
+        first = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1))
+        out[at[first]] = np.add.reduceat(values.take(order, axis=0), first)
     return out
 
 
+def segments(docs: list[np.ndarray], length: int) -> np.ndarray:
+    """The documents' classes one behind the other, each after CONTEXT begins, in lines of `length` tokens and the CONTEXT classes before them."""
+    pad = np.full(CONTEXT, BEGIN, dtype=np.int16)
+    line = np.concatenate([pad, *[x for d in docs for x in (pad, d)]])
+    line = np.concatenate((line, np.full(-(len(line) - CONTEXT) % length, BEGIN, dtype=np.int16)))
+    return np.lib.stride_tricks.sliding_window_view(line, CONTEXT + length)[::length]
+
+
 def windows(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The documents' classes, and those before each, nearest first, beginning anew with each document."""
     pad = np.full(CONTEXT, BEGIN, dtype=np.int16)
@@ -131,15 +163,17 @@ def train(model: Model, docs: Iterator[np.ndarray], seed: int) -> int:
     cumulated, done = np.cumsum(model.noise), 0
 
     def learn(some: list[np.ndarray]) -> None:
-        target, before = windows(some)
-        order = rng.permutation(len(target))
-        for at in range(0, len(order), BATCH):
-            own = order[at : at + BATCH]
+        lines = segments(some, LINE)
+        order = rng.permutation(len(lines))
+        for at in range(0, len(order), BATCH // LINE):
+            own = lines[order[at : at + BATCH // LINE]]
             noise = np.minimum(np.searchsorted(cumulated, rng.random(NOISE)), CLASSES - 1)
-            for x, s, g in zip((model.inputs, model.outputs, model.bias, model.places), squares, model.gradients(before[own], target[own], noise)):
-                g = g.astype("f4")
+            for x, s, g in zip((model.inputs, model.outputs, model.bias, model.places), squares, model.gradients(own, noise)):
+                g = g.astype("f4", copy=False)
                 s += g * g
-                x -= RATE * g / np.sqrt(s)
+                g /= np.sqrt(s)
+                g *= RATE
+                x -= g
 
     some, size = [], 0
     for d in docs:
@@ -156,7 +190,7 @@ def train(model: Model, docs: Iterator[np.ndarray], seed: int) -> int:
 def score_classes(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     """The natural log-probability of each document's classes."""
     target, before = windows(docs)
-    own = np.concatenate([model.log_probs(before[a : a + PRODUCT], target[a : a + PRODUCT]) for a in range(0, len(target), PRODUCT)])
+    own = np.concatenate([model.target_log_probs(before[a : a + PRODUCT], target[a : a + PRODUCT]) for a in range(0, len(target), PRODUCT)])
     return np.add.reduceat(own.astype("f8"), np.cumsum([0, *[len(d) for d in docs[:-1]]]))
 
 
@@ -228,16 +262,19 @@ def encode(docs: DataFrame, v: Vocabulary) -> DataFrame:
                 at = np.fromiter(map(v.index.get, words, repeat(-1)), dtype=np.int32, count=len(words))
                 known = at[at >= 0]
                 ids = np.zeros(len(words) + 1, dtype="<i2")
-                rare = np.flatnonzero(at < 0)
+                rare = np.flatnonzero(at < 0).tolist()
                 if len(known):
                     ids[:-1] = v.classes[at]
                 inner, rest = v.inner[known].sum(), Counter()
-                if len(rare):
-                    rest = Counter([words[i] for i in rare])
-                    b = np.array([bucket(words[i]) for i in rare])
+                others = [words[i] for i in rare]
+                if others:
+                    rest = Counter(others)
+                    of = {w: bucket(w) for w in rest}
+                    b = np.fromiter(map(of.__getitem__, others), dtype=np.int64, count=len(others))
                     ids[rare] = 1 + SHORT + b
                     inner -= log_sums[b].sum()
-                out.append((len(ids), len(known) + v.end_known, v.base[known].sum() + v.end_base, inner, ids.tobytes(), [w.decode() for w in rest], [bucket(w) for w in rest], list(rest.values())))
+                buckets = list(of.values()) if others else []
+                out.append((len(ids), len(known) + v.end_known, v.base[known].sum() + v.end_base, inner, ids.tobytes(), [w.decode() for w in rest], buckets, list(rest.values())))
             yield pd.concat([pdf[["r", "doc_id", "held_out"]].astype({"doc_id": "Int64"}).reset_index(drop=True), pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score", "inner", "ids", "words", "buckets", "ns"])], axis=1)
 
     return docs.mapInPandas(each, "r long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, inner double, ids binary, words array<string>, buckets array<int>, ns array<long>")

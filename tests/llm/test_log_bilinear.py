@@ -35,8 +35,11 @@ def test_gradients_are_derivatives():
     model = L.Model(rng.random(L.CLASSES) + 0.1)
     for k in ("inputs", "outputs", "bias", "places"):
         setattr(model, k, getattr(model, k).astype("f8"))
-    before, target, noise = rng.integers(0, L.CLASSES + 1, (30, L.CONTEXT)), rng.integers(0, 9, 30), rng.integers(0, 9, 8)
-    for k, g in zip(("inputs", "outputs", "bias", "places"), model.gradients(before, target, noise)):
+    docs, noise = [rng.integers(0, 9, n).astype(np.int16) for n in (1, 7, 22)], rng.integers(0, 9, 8)
+    target, before = L.windows(docs)
+    lines = L.segments(docs, 8)
+    assert (lines[:, L.CONTEXT :] != L.BEGIN).sum() == 30
+    for k, g in zip(("inputs", "outputs", "bias", "places"), model.gradients(lines, noise)):
         x = getattr(model, k)
         for at in zip(*(rng.choice(i, 12) for i in np.nonzero(g))):
             was, e = x[at], 1e-5
@@ -56,6 +59,8 @@ def test_classes_sum_to_one_and_windows_begin_anew():
     assert (target == np.concatenate(docs)).all()
     assert (before[0] == L.BEGIN).all() and (before[1] == L.BEGIN).all() and before[4].tolist() == [*docs[1][2::-1], L.BEGIN]
     assert np.exp(model.log_probs(before)).sum(axis=1) == pytest.approx(1, abs=1e-4)
+    model.bias[3] = 200  # too far above the others for float32
+    assert np.isfinite(model.target_log_probs(before, target)).all() and model.target_log_probs(before, target) == pytest.approx(model.log_probs(before)[np.arange(len(target)), target], rel=1e-4, abs=1e-4)
     each = [sum(model.log_probs(L.windows([d])[1])[np.arange(len(d)), d]) for d in docs]
     assert L.score_classes(model, docs) == pytest.approx(each, rel=1e-4)
 
