@@ -95,7 +95,7 @@ def _blocks(vectors: DataFrame, size: int, scale: float) -> DataFrame:
             yield from block(left)
 
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    usable = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    usable = vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & whole).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     usable = usable.repartition(max(1, -(-usable.count() // size)))  # full blocks, however many partitions the table has
     return usable.mapInPandas(build, "ids binary, dims int, kind string, vals binary")
 
@@ -104,7 +104,7 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, scale: float =
     """vectors (vec_id, embedding) to query_id, rank, vec_id, score: for each row where is_query holds, the `top` largest inner
     products of floor(scale x) with the other rows, ties to the smaller vec_id.
 
-    Vectors that are null, or hold null or non-finite components, and rows with null ids take no part; vectors are compared with
+    Vectors that are null or have no components, or hold null or non-finite ones, and rows with null ids take no part; vectors are compared with
     those of their own length; rows with a query's vec_id are its own row; other rows with equal ids each count; queries with no
     candidate have no rows; an empty table gives an empty result. Scores are exact below 2^53.
     """
@@ -151,7 +151,7 @@ def op5_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP5_SQL = f"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE}::DOUBLE * x::DOUBLE)) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % {EVERY} = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))

@@ -236,7 +236,7 @@ def test_line_dedup_keeps_a_repeat_of_repeats_whole(spark):
 def test_topk_against_all_pairs(spark):
     rng = np.random.default_rng(2)
     made = [(int(i), [float(x) for x in rng.normal(size=8)]) for i in range(300)]
-    made += [(300, made[0][1]), (301, made[0][1]), (302, None), (303, [1.0, None] + [0.0] * 6), (304, [math.nan] * 8), (305, [math.inf] * 8), (None, [1.0] * 8), (306, [0.0] * 8), (307, [1.0, 2.0])]
+    made += [(300, made[0][1]), (301, made[0][1]), (302, None), (303, [1.0, None] + [0.0] * 6), (304, [math.nan] * 8), (305, [math.inf] * 8), (None, [1.0] * 8), (306, [0.0] * 8), (307, [1.0, 2.0]), (350, []), (351, [])]
     df = spark.createDataFrame(made, "vec_id long, embedding array<float>")
     good = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in made if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     want = []
@@ -291,6 +291,27 @@ def test_packing(spark, docs, plain):
         assert at <= 2048
 
 
+def slow_best_two_fit(counts, capacity):
+    """Bin by bin and piece by piece: how often each content occurs."""
+    left, bins = Counter(counts), Counter()
+    while +left:
+        free, used, gap = Counter(left), [], capacity
+        while fits := [k for k, n in free.items() if n and k <= gap]:
+            used.append(max(fits))
+            free[used[-1]] -= 1
+            gap -= used[-1]
+        if gap and len(used) > 1:
+            room, there = gap + min(used), sorted(k for k, n in free.items() if n)
+            pairs = [(a + b, -a, b) for a in there for b in there if a + b <= room and (a != b or free[a] > 1)]
+            if pairs and max(pairs)[0] > min(used):
+                _, a, b = max(pairs)
+                used.remove(min(used))
+                used += [-a, b]
+        left -= Counter(used)
+        bins[tuple(sorted(Counter(used).items()))] += 1
+    return bins
+
+
 def test_best_two_fit_uses_each_piece_once():
     rng = random.Random(4)
     for _ in range(20):
@@ -300,6 +321,7 @@ def test_best_two_fit_uses_each_piece_once():
         assert all(sum(k * n for k, n in p.items()) <= 100 for p, _ in patterns)
         least = max(-(-sum(k * n for k, n in counts.items()) // 100), sum(n for k, n in counts.items() if k > 50))
         assert sum(n for _, n in patterns) <= 1.25 * least + 1
+        assert Counter({b: n for b, n in slow_best_two_fit(counts, 100).items()}) == sum((Counter({tuple(sorted(p.items())): n}) for p, n in patterns), Counter())
     # 60 + 30 leaves a gap of 10; with 30 out, 20 + 20 fill all of the 40
     assert packing.best_two_fit({60: 1, 30: 1, 20: 2}, 100)[0] == ({60: 1, 20: 2}, 1)
 
@@ -613,6 +635,29 @@ def test_near_copies_against_all_pairs(spark, monkeypatch):
     assert len(set(label)) > 8 and len({(got[i], x) for i, x in enumerate(label)}) == len(set(label)) == len(set(got.values()))
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_near_copies_of_the_given_documents(spark):
+    """All pairs of five-word shingle sets at 0.8 or more, found by counting what sets share, and what they connect."""
+    df = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    sets, of, pairs = {}, {}, Counter()
+    for r in df.collect():
+        w = (r["text"] or "").encode().lower().split()
+        sets[r["doc_id"]] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    for i in sorted(sets):
+        for s in sets[i]:
+            for j in of.setdefault(s, []):
+                pairs[j, i] += 1
+            of[s].append(i)
+    label = {i: i for i in sets}
+    near = [(j, i) for (j, i), n in pairs.items() if n >= 0.8 * (len(sets[i]) + len(sets[j]) - n) - 1e-12]
+    near += [(j, i) for j, i in zip(*(sorted(k for k in sets if not sets[k])[x:] for x in (0, 1)))]
+    while any(label[i] != label[j] for i, j in near):
+        for j, i in near:
+            label[i] = label[j] = min(label[i], label[j])
+    got = {r["doc_id"]: r["component"] for r in simhash.near_copies(df).collect()}
+    assert len(near) > 20 and len({(got[i], label[i]) for i in sets}) == len(set(label.values())) == len(set(got.values()))
+
+
 # The pipeline and the SQL
 
 
