@@ -175,6 +175,8 @@ def filled(labelled: DataFrame) -> DataFrame:
     gap = lambda r, i: F.struct((r["b"] + 1).alias("a"), (F.get("runs", i + 1)["a"] - 1).alias("b"))
     gaps = rows.select("image", "region", "y", F.explode(F.transform(F.slice("runs", 1, F.size("runs") - 1), gap)).alias("g")).select("image", "region", "y", "g.a", "g.b")
     gaps = saved(gaps.withColumn("run", F.col("y").cast("long") * 65536 + F.col("a")), "grid-gaps")
+    if gaps.isEmpty():
+        return rows.select("image", "region", "y", F.explode("runs").alias("r")).select("image", "region", "y", "r.a", "r.b")
     ends = rows.select("image", "region", "y", F.get("runs", F.lit(0))["a"].alias("first"), F.element_at("runs", -1)["b"].alias("last"))
     beside = gaps.select("image", "region", "run", "a", "b", F.explode(F.array(F.col("y") - 1, F.col("y") + 1)).alias("y"))
     outer = beside.join(ends, ["image", "region", "y"], "left").where("first is null or a < first or b > last").select("image", "region", "run").distinct()

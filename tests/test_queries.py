@@ -8,7 +8,7 @@ import __spark_entry__
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-SOME = ("verdict_v1", "verdict_v2", "unpivot_photos", "zone_explain", "main_seal", "front_face", "map_polys", "min_area_rect", "tiered_box", "grid_regions", "stamp_parse", "throughput_every_50", "quarantine", "live_progress", "grid_solidity", "dedup_centers", "score_face", "photo_source", "detail_text", "auth_pick", "export_results")
+SOME = ("verdict_v1", "verdict_v2", "unpivot_photos", "zone_explain", "main_seal", "front_face", "map_polys", "min_area_rect", "tiered_box", "grid_regions", "stamp_parse", "throughput_every_50", "quarantine", "live_progress", "grid_solidity", "dedup_centers", "score_face", "photo_source", "detail_text", "auth_pick", "export_results", "verdict_full", "foreign_patch", "rule_book_load", "progress_steps", "once_within_delay")
 
 
 def text(v):
