@@ -224,3 +224,16 @@ def test_decimals_are_rounded_by_exact_value(spark):
     for r in got:
         assert [r["d0"], r["d1"], r["d2"], r["d3"], r["s"]] == [format(r["v"], f) for f in (".0f", ".1f", ".2f", ".3f", "+.1f")], r
     assert spark.range(1).select(T.number(F.lit(None).cast("double"), 3)).first()[0] is None
+
+
+def test_widths_are_exact_where_distances_tie(spark):
+    """The width of a box of whole numbers, and whether a text is farther than twice that: equal isn't farther."""
+    boxes = [(cx, cy, hw, hh, sk) for cx, cy in ((3, 7), (517, 311)) for hw in (11, 12, 24, 37, 60) for hh in (5, 8) for sk in range(-10, 11)]
+    poly = lambda cx, cy, hw, hh, sk: [(float(cx - hw), float(cy - hh - sk)), (float(cx + hw), float(cy - hh + sk)), (float(cx + hw), float(cy + hh + sk)), (float(cx - hw), float(cy + hh - sk))]
+    df = spark.createDataFrame([(*b, poly(*b)) for b in boxes], "cx int, cy int, hw int, hh int, sk int, p array<struct<x:double,y:double>>")
+    rows = df.select("*", G.min_area_rect(F.col("p"))["short"].alias("short")).collect()
+    assert len(rows) == len(boxes) and all(r["short"] == 2 * r["hh"] * r["hw"] / (r["hw"] ** 2 + r["sk"] ** 2) ** 0.5 for r in rows)
+    seal = (0, SCAN, poly(100, 100, 12, 5, 9))  # 8 wide: 16 away is not farther than twice that
+    df = spark.createDataFrame([(i, [seal, (1, "Authorized Reseller", poly(100, 100 + d, 12, 5, 9))]) for i, d in enumerate((16, 17))], "i int, d array<struct<text_idx:int,text:string,poly:array<struct<x:double,y:double>>>>")
+    main = seals.find_seals(F.col("d"))[0]
+    assert [r["flat"] for r in df.withColumn("m", main).select("i", seals.flat(F.col("d"), F.col("m"), F.lit(1000), F.lit(800)).alias("flat")).orderBy("i").collect()] == [False, True]
