@@ -14,6 +14,8 @@ from sealstone.functions import geometry as G
 
 #: Pixels of a tile's side.
 TILE = 256
+#: Pixels that a task holds while it sorts tiles, unless its tiles alone are more.
+TASK_PIXELS = 500_000
 # Thresholds of the colour rules.
 WHITE = {"ref_v": 180, "ref_s": 55, "ref_rows": 200, "offset": 10, "above": 55, "v_min": 40, "v_max": 230}
 BROWN = {"h": (5, 30), "s_min": 30, "v": (40, 200), "white_s": 30, "white_v": 200, "own_s": 80, "own_v": (50, 240)}
@@ -25,7 +27,7 @@ def inset(pixels: DataFrame, share: float = 0.02, least: int = 10) -> DataFrame:
     frame = pixels.groupBy("image").agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("ht"))
     mx, my = (F.greatest(F.floor(F.col(c) * share), F.lit(1)) for c in ("w", "ht"))
     frame = frame.select(F.col("image").alias("_i"), "w", "ht", mx.alias("mx"), my.alias("my")).where(f"least(w, ht) >= {least} and least(w - 2 * mx, ht - 2 * my) >= {least}")
-    inner = pixels.join(frame, F.col("image") == F.col("_i")).where("x >= mx and x < w - mx and y >= my and y < ht - my")
+    inner = pixels.join(_merged(frame), F.col("image") == F.col("_i")).where("x >= mx and x < w - mx and y >= my and y < ht - my")
     return inner.select("image", (F.col("x") - F.col("mx")).cast("int").alias("x"), (F.col("y") - F.col("my")).cast("int").alias("y"), "h", "s", "v")
 
 
@@ -51,7 +53,7 @@ def white_mask(pixels: DataFrame) -> DataFrame:
     """Adds signal, the whole part of the saturation above the baseline, and mask."""
     ref = baseline(pixels).select(F.col("image").alias("_i"), "ref")
     signal, mask = _white(F.col("s"), F.col("v"), F.col("ref"))
-    return pixels.join(ref, F.col("image") == F.col("_i")).select("image", "x", "y", "h", "s", "v", signal.alias("signal"), mask.alias("mask"))
+    return pixels.join(_merged(ref), F.col("image") == F.col("_i")).select("image", "x", "y", "h", "s", "v", signal.alias("signal"), mask.alias("mask"))
 
 
 def brown_mask(pixels: DataFrame) -> DataFrame:
@@ -64,9 +66,9 @@ def masked(pixels: DataFrame, modes: DataFrame) -> DataFrame:
     """Adds signal and mask by each image's mode (image, mode): brown_box, or else white_box. Images without a row, or with a null mode, are
     left out: their colour isn't checked."""
     own = modes.where("mode is not null").select(F.col("image").alias("_m"), "mode")
-    wanted = pixels.join(own, F.col("image") == F.col("_m"))
+    wanted = pixels.join(_merged(own), F.col("image") == F.col("_m"))
     ref = baseline(wanted.where("mode <> 'brown_box'")).select(F.col("image").alias("_i"), "ref")
-    both = wanted.join(ref, F.col("image") == F.col("_i"), "left")
+    both = wanted.join(_merged(ref), F.col("image") == F.col("_i"), "left")
     brown = F.col("mode") == "brown_box"
     of_brown, of_white = _brown(F.col("h"), F.col("s"), F.col("v")), _white(F.col("s"), F.col("v"), F.col("ref"))
     signal, mask = (F.when(brown, x).otherwise(y) for x, y in zip(of_brown, of_white))
@@ -74,10 +76,18 @@ def masked(pixels: DataFrame, modes: DataFrame) -> DataFrame:
 
 
 def _tiled(pixels: DataFrame, halo: int, tile: int) -> DataFrame:
-    """Each pixel in its tile (tx, ty) and in those that see it in their halo; one exchange on the tile."""
+    """Each pixel in its tile (tx, ty) and in those that see it in their halo; one exchange on the tile. Its parts follow the number of pixels: Spark
+    would join parts by their compressed bytes, of which pixels have few."""
     near = lambda c: F.sequence(F.greatest(F.floor((F.col(c) - halo) / tile), F.lit(0)), F.floor((F.col(c) + halo) / tile))
     out = pixels.withColumn("tx", F.explode(near("x"))).withColumn("ty", F.explode(near("y")))
-    return out.repartition("image", "tx", "ty")
+    parts = max(pixels.sparkSession.sparkContext.defaultParallelism, -(-pixels.count() // TASK_PIXELS))
+    return out.repartition(parts, "image", "tx", "ty")
+
+
+def _merged(df: DataFrame) -> DataFrame:
+    """df for a join with what grows as it does. The size of a saved table is that of its compressed files: by it, Spark would collect and broadcast
+    tables of many times the bound."""
+    return df.hint("merge")
 
 
 def _own(tiled: DataFrame, tile: int) -> DataFrame:
@@ -109,23 +119,23 @@ def regions(masked: DataFrame) -> DataFrame:
     on = masked.where("mask").select("image", "x", "y", F.col("signal") if "signal" in masked.columns else F.lit(0.0).alias("signal"))
     row = Window.partitionBy("image", "y").orderBy("x")
     on = on.withColumn("i", F.col("x") - F.row_number().over(row))
-    on = on.withColumn("run", F.col("y").cast("long") * 65536 + F.min("x").over(Window.partitionBy("image", "y", "i"))).drop("i")
+    on = saved(on.withColumn("run", F.col("y").cast("long") * 65536 + F.min("x").over(Window.partitionBy("image", "y", "i"))).drop("i"), "grid-on")
     runs = saved(on.groupBy("image", "y", "run").agg(F.min("x").alias("a"), F.max("x").alias("b")), "grid-runs")
     labels = _linked(runs, 1, "image")
-    return on.join(labels, ["image", "run"]).select("image", "x", "y", F.col("label").alias("region"))
+    return on.join(_merged(labels), ["image", "run"]).select("image", "x", "y", F.col("label").alias("region"))
 
 
 def _linked(runs: DataFrame, apart: int, *keys: str) -> DataFrame:
     """Runs (keys, y, run, a, b) to (keys, run, label): runs of neighbouring rows are linked if they overlap or are at most `apart` columns apart."""
     below = runs.select(*keys, (F.col("y") - 1).alias("y"), F.col("run").alias("other"), F.col("a").alias("c"), F.col("b").alias("d"))
-    touch = runs.join(below, [*keys, "y"]).where(f"a <= d + {apart} and c <= b + {apart}").select(*keys, "run", "other")
+    touch = runs.join(_merged(below), [*keys, "y"]).where(f"a <= d + {apart} and c <= b + {apart}").select(*keys, "run", "other")
     links = saved(touch.unionByName(touch.select(*keys, F.col("other").alias("run"), F.col("run").alias("other"))), "grid-links")
     labels, before = runs.select(*keys, "run", F.col("run").alias("label")), None
     while True:
-        reach = links.join(labels.withColumnsRenamed({"run": "other", "label": "l"}), [*keys, "other"]).groupBy(*keys, "run").agg(F.min("l").alias("l"))
-        labels = labels.join(reach, [*keys, "run"], "left").select(*keys, "run", F.least("label", F.coalesce("l", "label")).alias("label"))
+        reach = links.join(_merged(labels.withColumnsRenamed({"run": "other", "label": "l"})), [*keys, "other"]).groupBy(*keys, "run").agg(F.min("l").alias("l"))
+        labels = labels.join(_merged(reach), [*keys, "run"], "left").select(*keys, "run", F.least("label", F.coalesce("l", "label")).alias("label"))
         jump = labels.select(*keys, F.col("run").alias("label"), F.col("label").alias("l"))
-        labels = saved(labels.join(jump, [*keys, "label"]).select(*keys, "run", F.col("l").alias("label")), "grid-labels")
+        labels = saved(labels.join(_merged(jump), [*keys, "label"]).select(*keys, "run", F.col("l").alias("label")), "grid-labels")
         now = labels.agg(F.sum("label")).first()[0]
         if now == before:
             return labels
@@ -154,8 +164,8 @@ def edge_strength(labelled: DataFrame, masked: DataFrame, tile: int = TILE) -> D
     near = near.groupBy("image", "region", "x", "y").agg(F.count("*").alias("own"))
     frame = masked.groupBy("image").agg(F.max("x").alias("mx"), F.max("y").alias("my"))
     there = lambda c, m: 3 - (F.col(c) == 0).cast("int") - (F.col(c) == F.col(m)).cast("int")
-    ring = near.join(frame, "image").where(F.col("own") < there("x", "mx") * there("y", "my"))
-    return ring.join(gradient(masked, tile), ["image", "x", "y"]).groupBy("image", "region").agg(F.avg("grad").alias("edge"))
+    ring = near.join(_merged(frame), "image").where(F.col("own") < there("x", "mx") * there("y", "my"))
+    return ring.join(_merged(gradient(masked, tile)), ["image", "x", "y"]).groupBy("image", "region").agg(F.avg("grad").alias("edge"))
 
 
 def _rows(labelled: DataFrame) -> DataFrame:
@@ -179,10 +189,10 @@ def filled(labelled: DataFrame) -> DataFrame:
         return rows.select("image", "region", "y", F.explode("runs").alias("r")).select("image", "region", "y", "r.a", "r.b")
     ends = rows.select("image", "region", "y", F.get("runs", F.lit(0))["a"].alias("first"), F.element_at("runs", -1)["b"].alias("last"))
     beside = gaps.select("image", "region", "run", "a", "b", F.explode(F.array(F.col("y") - 1, F.col("y") + 1)).alias("y"))
-    outer = beside.join(ends, ["image", "region", "y"], "left").where("first is null or a < first or b > last").select("image", "region", "run").distinct()
+    outer = beside.join(_merged(ends), ["image", "region", "y"], "left").where("first is null or a < first or b > last").select("image", "region", "run").distinct()
     labels = _linked(gaps, 0, "image", "region")
-    open_ = labels.join(outer, ["image", "region", "run"]).select("image", "region", "label").distinct()
-    holes = labels.join(open_, ["image", "region", "label"], "left_anti").join(gaps, ["image", "region", "run"]).select("image", "region", "y", "a", "b")
+    open_ = labels.join(_merged(outer), ["image", "region", "run"]).select("image", "region", "label").distinct()
+    holes = labels.join(_merged(open_), ["image", "region", "label"], "left_anti").join(_merged(gaps), ["image", "region", "run"]).select("image", "region", "y", "a", "b")
     parts = rows.select("image", "region", "y", F.explode("runs").alias("r")).select("image", "region", "y", "r.a", "r.b").unionByName(holes)
     row = Window.partitionBy("image", "region", "y").orderBy("a")
     begins = F.coalesce(F.col("a") > F.lag("b").over(row) + 1, F.lit(True)).cast("int")  # runs and the holes between them meet
@@ -201,13 +211,13 @@ def solidity(labelled: DataFrame) -> DataFrame:
     half = lambda *tests: sum((F.expr(t).cast("int") for t in tests), F.lit(0))
     full = F.greatest(F.least("b", "d") - F.greatest("a", "c"), F.lit(0))
     halves = half("d between a and b - 1", "c - 1 between a and b - 1", "b between c and d - 1", "a - 1 between c and d - 1")
-    inner = solid.join(below, ["image", "region", "y"]).groupBy("image", "region").agg(F.sum(full + halves / 2).alias("inner"))
+    inner = solid.join(_merged(below), ["image", "region", "y"]).groupBy("image", "region").agg(F.sum(full + halves / 2).alias("inner"))
     ends = solid.groupBy("image", "region", "y").agg(F.min("a").alias("a"), F.max("b").alias("b"))
     points = ends.select("image", "region", F.explode(F.array(G.point(F.col("a"), F.col("y")), G.point(F.col("b"), F.col("y")))).alias("p"))
     hulls = points.groupBy("image", "region").agg(G.area(G.hull(F.collect_list("p"))).alias("hull"))  # two points for each row of an image
     size = labelled.groupBy("image", "region").agg(F.count("*").alias("area"))
     share = F.when(F.col("hull") >= 1, F.coalesce("inner", F.lit(0.0)) / F.col("hull")).otherwise(0.0)
-    return size.join(hulls, ["image", "region"]).join(inner, ["image", "region"], "left").select("image", "region", "area", share.alias("solidity"))
+    return size.join(_merged(hulls), ["image", "region"]).join(_merged(inner), ["image", "region"], "left").select("image", "region", "area", share.alias("solidity"))
 
 
 def foreign_patches(masked: DataFrame, rules: DataFrame | None = None, tile: int = TILE) -> DataFrame:
@@ -215,16 +225,16 @@ def foreign_patches(masked: DataFrame, rules: DataFrame | None = None, tile: int
 
     rules: image, area_ratio, solidity_min, edge_grad_min, as the rule book's color has them; where they are missing or null, AREA_SHARE, SOLIDITY and EDGE hold.
     """
-    closed = saved(closing(masked, tile=tile), "grid-closed")
+    closed = saved(closing(saved(masked.select("image", "x", "y", "signal", "mask"), "grid-masked"), tile=tile), "grid-closed")
     labelled = saved(regions(closed), "grid-regions")
     size = closed.groupBy("image").agg(F.count("*").alias("zone"))
     bounds = {"area_ratio": AREA_SHARE, "solidity_min": SOLIDITY, "edge_grad_min": EDGE}
     if rules is not None:
-        size = size.join(rules.select(F.col("image").alias("_r"), *bounds), F.col("image") == F.col("_r"), "left").drop("_r")
+        size = size.join(_merged(rules.select(F.col("image").alias("_r"), *bounds)), F.col("image") == F.col("_r"), "left").drop("_r")
     size = size.select("image", "zone", *[F.coalesce(F.col(c) if rules is not None else F.lit(None), F.lit(v)).alias(c) for c, v in bounds.items()])
-    large = labelled.groupBy("image", "region").agg(F.count("*").alias("n")).join(size, "image").where(F.col("n") / F.col("zone") >= F.col("area_ratio")).drop("n", "zone")
+    large = labelled.groupBy("image", "region").agg(F.count("*").alias("n")).join(_merged(size), "image").where(F.col("n") / F.col("zone") >= F.col("area_ratio")).drop("n", "zone")
     large = saved(large, "grid-large")
-    compact = solidity(labelled.join(large, ["image", "region"], "left_semi")).join(large, ["image", "region"]).where("solidity >= solidity_min")
+    compact = solidity(labelled.join(_merged(large), ["image", "region"], "left_semi")).join(_merged(large), ["image", "region"]).where("solidity >= solidity_min")
     compact = saved(compact, "grid-compact")
-    sharp = edge_strength(labelled.join(compact, ["image", "region"], "left_semi"), closed.join(compact, "image", "left_semi"), tile)
-    return compact.join(sharp, ["image", "region"]).where("edge >= edge_grad_min").select("image", "region", "area", "solidity", "edge")
+    sharp = edge_strength(labelled.join(_merged(compact), ["image", "region"], "left_semi"), closed.join(_merged(compact), "image", "left_semi"), tile)
+    return compact.join(_merged(sharp), ["image", "region"]).where("edge >= edge_grad_min").select("image", "region", "area", "solidity", "edge")

@@ -335,3 +335,13 @@ def test_masks_by_mode(spark):
     got = {r["image"]: r["n"] for r in grid.masked(px, modes).where("mask").groupBy("image").agg(F.count("*").alias("n")).collect()}
     want = {0: grid.white_mask(px.where("image = 0")).where("mask").count(), 1: grid.brown_mask(px.where("image = 1")).where("mask").count()}
     assert got == want and all(want.values())
+
+
+def test_pixels_are_neither_broadcast_nor_joined_into_few_parts(spark, monkeypatch):
+    """Tables that grow with the pixels are merged, whatever their files' size; parts of tiles follow the number of pixels."""
+    px = spark.range(1600).selectExpr("id div 400 as image", "int(id % 20) as x", "int(id div 20 % 20) as y", "15 as h", "20 as s", "200 as v", "id % 3 = 0 as mask", "double(id % 7) as signal")
+    labelled = grid.regions(px)
+    for df in (labelled, grid.inset(px), grid.solidity(labelled), grid.edge_strength(labelled, px)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(grid, "TASK_PIXELS", 100)
+    assert grid._tiled(px, 4, 256).rdd.getNumPartitions() == 16
