@@ -345,3 +345,13 @@ def test_pixels_are_neither_broadcast_nor_joined_into_few_parts(spark, monkeypat
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(grid, "TASK_PIXELS", 100)
     assert grid._tiled(px, 4, 256).rdd.getNumPartitions() == 16
+
+
+def test_photos_are_exchanged_once_and_stay_in_place(spark):
+    """One exchange on order_id serves the boxes of a photo, the photo and its order; the photos are not broadcast."""
+    from sealstone.plans import checks
+
+    plan = lambda name: checks.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    ruled = plan("dual_status")
+    assert ruled.count("Exchange hashpartitioning") == 2 and ruled.count("ShuffledHashJoin") == 1 and "Window" not in ruled
+    assert plan("min_area_rect").count("Exchange hashpartitioning") == 1
