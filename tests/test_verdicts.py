@@ -237,3 +237,41 @@ def test_widths_are_exact_where_distances_tie(spark):
     df = spark.createDataFrame([(i, [seal, (1, "Authorized Reseller", poly(100, 100 + d, 12, 5, 9))]) for i, d in enumerate((16, 17))], "i int, d array<struct<text_idx:int,text:string,poly:array<struct<x:double,y:double>>>>")
     main = seals.find_seals(F.col("d"))[0]
     assert [r["flat"] for r in df.withColumn("m", main).select("i", seals.flat(F.col("d"), F.col("m"), F.lit(1000), F.lit(800)).alias("flat")).orderBy("i").collect()] == [False, True]
+
+
+def test_scores_in_columns(spark):
+    """Up to twelve faces and five seals, more than are written out; null faces, ties, no seals, no aspect range."""
+    import random
+
+    rng = random.Random(8)
+    point = lambda: (rng.randint(0, 40) / 4, rng.randint(0, 40) / 4)
+    rows = []
+    for i in range(60):
+        quads = [("edge", None if i % 12 == 11 and k == 1 else [point() for _ in range(4)]) for k in range(i % 12)]
+        quads += quads[:1] if i % 5 == 0 else []  # a tie
+        rows.append((i, quads if i != 50 else None, [point() for _ in range(i % 6)] if i % 7 else None, *((None, None) if i % 4 == 0 else (1.1, 1.6))))
+    pt = "array<struct<x:double,y:double>>"
+    df = spark.createDataFrame(rows, f"i int, quads array<struct<source:string,pts:{pt}>>, centers {pt}, low double, high double")
+    args = (F.col("centers"), F.col("low"), F.col("high"), F.lit(100))
+    each = df.select("*", F.posexplode("quads").alias("k", "q"))
+    both = faces.scored(each.withColumn("one", faces.score(F.col("q.pts"), *args)), F.col("q.pts"), *args).where("q.pts is not null").collect()
+    assert len(both) > 300 and all(r["one"] == r["score"] for r in both)
+    area = {(r["i"], r["k"]): r["a"] for r in each.select("i", "k", G.face_area(F.col("q.pts")).alias("a")).collect()}
+    scores = {(r["i"], r["k"]): (round(r["one"], 9), area[r["i"], r["k"]], -r["k"]) for r in both}
+    one = df.select("i", faces.front_face(F.col("quads"), *args).alias("face"))
+    many = faces.front_faces(df, ["i"], F.col("quads"), *args)
+    for got, of_all in (({r["i"]: r["face"] for r in one.collect()}, True), ({r["i"]: r["face"] for r in many.collect()}, False)):
+        for i, quads, *_ in rows:
+            of = [k for k in range(len(quads or [])) if (i, k) in scores]
+            best = 0 if len(quads or []) == 1 else max(of, key=lambda k: scores[i, k], default=None)
+            assert of_all or (i in got) == bool(quads)
+            face = got.get(i)
+            assert (face and [tuple(p) for p in face["pts"]]) == (None if best is None else quads[best][1]), i
+
+
+def test_scores_are_compiled(spark):
+    """Above the faces' rows no value is bound by a function over an array, which Spark interprets."""
+    import __spark_entry__
+
+    plan = __spark_entry__.queries()["score_face"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(array(" not in plan
