@@ -24,8 +24,6 @@ EXTRA = 2
 #: Longs of the bitmap of a set: bit i is the parity of how many tokens fall on it, so two sets differ in as many tokens at least as their bitmaps do in bits.
 LONGS = 4
 BITS = [f"b{i}" for i in range(LONGS)]
-#: Shingles of lines with at most so many are written out, which Spark compiles; a function over an array, which longer lines need, it interprets.
-WRITTEN_OUT = (40, 160)
 #: Tokens in at most so many prefixes are rare, and need no order among them.
 RARE = 8
 #: Null ids come before all others.
@@ -51,13 +49,13 @@ def _words() -> Column:
 
 
 def _tokens() -> Column:
-    """The distinct shingles' hashes in the order of these, of the hashes h of a line's words; a shorter line is one as it stands."""
+    """The distinct shingles' hashes in the order of these, of the hashes h of a line's words; a shorter line is one as it stands.
+
+    Shingles by their number, written out for Spark to compile, cost more: all of them are computed, and each JVM compiles long code.
+    """
     n = F.size("h")
-    shingle = lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(SHINGLE)])
-    each = F.when(n < SHINGLE, F.array(F.xxhash64("h")))
-    for most in WRITTEN_OUT:
-        each = each.when(n < most + SHINGLE, F.slice(F.array(*[shingle(F.lit(i)) for i in range(most)]), F.lit(1), n - (SHINGLE - 1)))
-    return F.sort_array(F.array_distinct(each.otherwise(F.transform(F.sequence(F.lit(0), n - SHINGLE), shingle))))
+    shingles = F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(SHINGLE)]))
+    return F.sort_array(F.array_distinct(F.when(n < SHINGLE, F.array(F.xxhash64("h"))).otherwise(shingles)))
 
 
 def _prefix(tokens: Column, extra: int = 0) -> Column:

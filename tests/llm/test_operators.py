@@ -695,3 +695,14 @@ def test_sql_agrees(spark, name):
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     assert out and all(0 < r["length"] <= 2048 for r in out)
+
+
+def test_line_tokens(spark):
+    """Shingles of short and long lines; few are written out, as code for many of them costs more than it saves."""
+    df = spark.createDataFrame([(n, list(range(n))) for n in (1, 4, 5, 6, 44, 45, 164, 165, 300)], "n int, h array<long>")
+    at = df.select("n", F.posexplode("h").alias("i", "x"), "h").where("i + 5 <= n or i = 0")
+    want = at.groupBy("n").agg(F.sort_array(F.collect_set(F.when(F.col("n") < 5, F.xxhash64("h")).otherwise(F.xxhash64(*[F.get("h", F.col("i") + j) for j in range(5)])))).alias("want"))
+    got = df.select("n", line_dedup._tokens().alias("got"))
+    rows = got.join(want, "n").collect()
+    assert len(rows) == 9 and all(r["got"] == r["want"] and len(r["got"]) == max(r["n"] - 4, 1) for r in rows)
+    assert got._jdf.queryExecution().analyzed().toString().count("xxhash64") <= 20
