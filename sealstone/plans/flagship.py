@@ -15,7 +15,7 @@ from sealstone.rules import rule_book
 
 def verdict_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, rules = inputs.orders(spark, sf_dir), rule_book(spark)
-    of = saved(inputs.faced(inputs.photos(spark, sf_dir)), "photos")
+    of = saved(inputs.faced(spark, sf_dir), "photos")
     alien = verdict.foreign_photos(orders, of, rules, inputs.photo_pixels(spark, sf_dir)).withColumn("foreign", F.lit(True))
     return verdict.verdict_v2(orders, of.join(alien.hint("merge"), ["order_id", "image_idx"], "left"), rules)
 

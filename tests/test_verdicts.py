@@ -275,3 +275,24 @@ def test_scores_are_compiled(spark):
 
     plan = __spark_entry__.queries()["score_face"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "transform(array(" not in plan
+
+
+def test_photos_are_collected_in_order(spark):
+    """A photo's boxes come sorted to what collects them: no grouping in two steps, no lists sorted or closed to rings by interpreted code, and
+    no method that is too long for the JVM to compile (8,000 bytes)."""
+    import re
+
+    import __spark_entry__
+
+    for name in ("score_face", "front_face", "points_in_quads"):
+        text = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "sort_array(" not in text and "concat(" not in text, name
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            df = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")
+            code = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+        assert sizes and max(sizes) < 8000, (name, sizes)
+    assert "ObjectHashAggregate" not in __spark_entry__.queries()["score_face"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
