@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sealstone.checkpoints import Tables
+from sealstone.functions.geometry import let
 from sealstone.llm.common import SPACE, bounded, table
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -54,7 +55,8 @@ def _tokens() -> Column:
     Shingles by their number, written out for Spark to compile, cost more: all of them are computed, and each JVM compiles long code.
     """
     n = F.size("h")
-    shingles = F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(SHINGLE)]))
+    of = lambda h: F.transform(F.slice(h, 1, F.greatest(n - SHINGLE + 1, F.lit(0))), lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, SHINGLE)]))
+    shingles = let(F.col("h"), of)  # bound, the hashes aren't taken from the row for each word
     return F.sort_array(F.array_distinct(F.when(n < SHINGLE, F.array(F.xxhash64("h"))).otherwise(shingles)))
 
 

@@ -706,3 +706,14 @@ def test_line_tokens(spark):
     rows = got.join(want, "n").collect()
     assert len(rows) == 9 and all(r["got"] == r["want"] and len(r["got"]) == max(r["n"] - 4, 1) for r in rows)
     assert got._jdf.queryExecution().analyzed().toString().count("xxhash64") <= 20
+
+
+def test_line_tokens_bind_the_hashes(spark):
+    """The hashes of a line's words are bound once, not taken from the row for each of its shingles; lines of any length keep their tokens."""
+    df = spark.range(0, 12).select("id", F.expr("transform(sequence(1, id), x -> x % 4 * 1000)").alias("h")).where("id > 0").unionByName(spark.createDataFrame([(0, [])], "id long, h array<long>"))
+    got = df.select("id", "h", line_dedup._tokens().alias("got"))
+    assert "sequence(" not in got.select("got")._jdf.queryExecution().analyzed().toString().split("AS got")[0]
+    each = got.select("id", F.explode(F.sequence(F.lit(0), F.greatest(F.size("h") - line_dedup.SHINGLE, F.lit(0)))).alias("i"), "h", "got")
+    one = F.when(F.size("h") < line_dedup.SHINGLE, F.xxhash64("h")).otherwise(F.xxhash64(*[F.get("h", F.col("i") + j) for j in range(line_dedup.SHINGLE)]))
+    rows = each.groupBy("id").agg(F.sort_array(F.collect_set(one)).alias("want"), F.first("got").alias("got")).collect()
+    assert len(rows) == 12 and all(r["want"] == r["got"] for r in rows)
