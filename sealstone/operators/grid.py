@@ -200,6 +200,19 @@ def filled(labelled: DataFrame) -> DataFrame:
     return parts.withColumn("begins", begins).withColumn("nth", nth).groupBy("image", "region", "y", "nth").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("nth")
 
 
+def _corners(solid: DataFrame) -> DataFrame:
+    """image, region, p: the ends of a region's rows that may be corners of its hull: its first and last row, and where an end stands out
+    between those of the rows above and below (any others lie on a line between two ends, or inside)."""
+    ends = solid.groupBy("image", "region", "y").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    rows = Window.partitionBy("image", "region").orderBy("y")
+    both = lambda c: F.lag(c).over(rows) + F.lead(c).over(rows)
+    ends = ends.withColumns({"_a": both("a"), "_b": both("b"), "_near": F.lead("y").over(rows) - F.lag("y").over(rows)})
+    inner = F.coalesce(F.col("_near") == 2, F.lit(False))  # the rows beside it are the next ones
+    out = lambda c, stands: F.when(~inner | stands, G.point(F.col(c), F.col("y")))
+    points = F.array(out("a", 2 * F.col("a") < F.col("_a")), out("b", 2 * F.col("b") > F.col("_b")))
+    return ends.select("image", "region", F.explode(points).alias("p")).where("p is not null")
+
+
 def solidity(labelled: DataFrame) -> DataFrame:
     """image, region, area (pixels), solidity: the area within the outer contour, through pixel centres, over its hull's; 0 if the hull has less than 1.
 
@@ -212,9 +225,7 @@ def solidity(labelled: DataFrame) -> DataFrame:
     full = F.greatest(F.least("b", "d") - F.greatest("a", "c"), F.lit(0))
     halves = half("d between a and b - 1", "c - 1 between a and b - 1", "b between c and d - 1", "a - 1 between c and d - 1")
     inner = solid.join(_merged(below), ["image", "region", "y"]).groupBy("image", "region").agg(F.sum(full + halves / 2).alias("inner"))
-    ends = solid.groupBy("image", "region", "y").agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    points = ends.select("image", "region", F.explode(F.array(G.point(F.col("a"), F.col("y")), G.point(F.col("b"), F.col("y")))).alias("p"))
-    hulls = points.groupBy("image", "region").agg(G.area(G.hull(F.collect_list("p"))).alias("hull"))  # two points for each row of an image
+    hulls = _corners(solid).groupBy("image", "region").agg(G.area(G.hull(F.collect_list("p"))).alias("hull"))
     size = labelled.groupBy("image", "region").agg(F.count("*").alias("area"))
     share = F.when(F.col("hull") >= 1, F.coalesce("inner", F.lit(0.0)) / F.col("hull")).otherwise(0.0)
     return size.join(_merged(hulls), ["image", "region"]).join(_merged(inner), ["image", "region"], "left").select("image", "region", "area", share.alias("solidity"))

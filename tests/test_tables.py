@@ -355,3 +355,23 @@ def test_photos_are_exchanged_once_and_stay_in_place(spark):
     ruled = plan("dual_status")
     assert ruled.count("Exchange hashpartitioning") == 2 and ruled.count("ShuffledHashJoin") == 1 and "Window" not in ruled
     assert plan("min_area_rect").count("Exchange hashpartitioning") == 1
+
+
+def test_hulls_need_few_points(spark):
+    """Of a region's rows only ends that stand out are kept, and the hull is that of all ends."""
+    import random
+
+    rng = random.Random(4)
+    rows = [(0, 1, y, 3, 42) for y in range(40)]  # a rectangle
+    for r in range(1, 30):
+        a, b = 50, 60
+        for y in range(rng.randint(1, 25)):
+            a, b = max(0, a + rng.randint(-3, 3)), b + rng.randint(-3, 3)
+            b = max(a, b)
+            rows.append((r % 3, r + 1, 2 * y if r == 7 else y, a, b))  # rows of the seventh aren't next to each other
+    solid = spark.createDataFrame(rows, "image int, region int, y int, a int, b int")
+    kept = grid._corners(solid)
+    assert kept.where("region = 1").count() == 4 and kept.count() < len(rows)
+    all_ = solid.select("image", "region", F.explode(F.array(G.point(F.col("a"), F.col("y")), G.point(F.col("b"), F.col("y")))).alias("p"))
+    hulls = lambda of: {(r["image"], r["region"]): r["h"] for r in of.groupBy("image", "region").agg(G.hull(F.collect_list("p")).alias("h")).collect()}
+    assert hulls(kept) == hulls(all_)

@@ -296,3 +296,32 @@ def test_photos_are_collected_in_order(spark):
         sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
         assert sizes and max(sizes) < 8000, (name, sizes)
     assert "ObjectHashAggregate" not in __spark_entry__.queries()["score_face"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_full_verdict_at_scale(spark):
+    """The faces of photos are made by compiled code; a seal is measured once; pixels are made of the wanted photos only."""
+    import re
+
+    from sealstone.plans import inputs
+
+    sf = "/root/testdata/sf0.001"
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        code = spark._jvm.PythonSQLUtils.explainString(inputs.faced(spark, sf)._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
+    box = "struct<text_idx:int,text:string,poly:array<struct<x:double,y:double>>,cx:double,cy:double>"
+    ring = [(100.0, 95.0), (124.0, 104.0), (124.0, 112.0), (100.0, 103.0), (100.0, 95.0)]
+    own, other = (0, SCAN, ring, 112.0, 103.5), (1, "Authorized Reseller", [(x, y + 40) for x, y in ring], 112.0, 143.5)
+    zone = [(0.0, 1.0, 0.0, 1.0)]
+    df = spark.createDataFrame([(1, [own], own, zone), (2, [own, other], own, zone), (3, [own], own, [(0.9, 1.0, 0.9, 1.0)])], f"i int, d array<{box}>, m {box}, z array<struct<x_min:double,x_max:double,y_min:double,y_max:double>>")
+    placed = df.select("i", seals.placement(F.col("d"), F.col("m"), F.lit(400), F.lit(300), F.col("z")).alias("p"), F.round(G.min_area_rect(F.col("m.poly"))["angle"], 2).alias("angle"))
+    got = {r["i"]: r for r in placed.collect()}
+    assert [got[i]["p"]["position_valid"] for i in (1, 2, 3)] == [1, 2, 0] and got[1]["p"]["angle"] == got[1]["angle"] and got[3]["p"]["angle"] is None
+    plan = df.select(seals.placement(F.col("d"), F.col("m"), F.lit(400), F.lit(300), F.col("z")).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ATAN2") == 2  # the main seal's and, where there is one, a dealer's text's
+    wanted = spark.createDataFrame([("0", 2), ("40", 1), ("80", 9), ("7", 1)], "order_id string, image_idx int")
+    every = inputs.photo_pixels(spark, sf).join(wanted, ["order_id", "image_idx"], "left_semi")
+    some = inputs.photo_pixels(spark, sf, wanted).select(every.columns)
+    assert some.count() == every.count() > 1600 and some.exceptAll(every).isEmpty()
